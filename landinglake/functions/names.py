@@ -7,6 +7,7 @@ expression for values. Both share the table of accented characters below.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -34,20 +35,30 @@ def accent_table() -> dict[str, str]:
     return table
 
 
+@lru_cache(maxsize=None)
+def accent_marks() -> str:
+    """Every character that is only a mark on another one."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Mn")
+
+
 def clean_name(name: str) -> str:
     """Clean one name on the driver, e.g. a column or an entity."""
-    folded = name.translate(str.maketrans(accent_table()))
-    marks_gone = "".join(filter(lambda c: unicodedata.category(c) != "Mn", folded))
-    words = re.sub(CAMEL_HUMP, r"\1_\2", re.sub(SEPARATORS, "_", marks_gone))
+    sources, bases = accent_table().keys(), accent_table().values()
+    folded = name.translate(str.maketrans("".join(sources), "".join(bases), accent_marks()))
+    words = re.sub(CAMEL_HUMP, r"\1_\2", re.sub(SEPARATORS, "_", folded))
     return words.lower()
 
 
 def clean_text(text: Column | str) -> Column:
-    """The same rule on the values of a string column, inside the JVM."""
+    """The same rule on the values of a string column, inside the JVM.
+
+    ``translate`` looks each character up in a table, which folds accents and, for want of
+    a counterpart, deletes the marks; the JVM's own Unicode version does not matter.
+    """
     column = F.col(text) if isinstance(text, str) else text
     sources, bases = map("".join, zip(*accent_table().items()))
-    column = F.translate(column, sources, bases)
-    for pattern, replacement in ((r"\p{Mn}+", ""), (SEPARATORS, "_"), (CAMEL_HUMP, "$1_$2")):
+    column = F.translate(column, sources + accent_marks(), bases)
+    for pattern, replacement in ((SEPARATORS, "_"), (CAMEL_HUMP, "$1_$2")):
         column = F.regexp_replace(column, pattern, replacement)
     return F.lower(column)
 

@@ -149,7 +149,7 @@ def bulk_load(df: DataFrame, table: str, *, path: str | None = None, truncate: b
     staged = fresh_folder(spark, "bulk")
     stage_csv(df, staged)
     rows = read_staged_csv(spark, staged, df)
-    rows.write.insertInto(table, overwrite=truncate)
+    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=truncate)
     Storage(spark, staged).delete(staged)
 
 

@@ -129,10 +129,11 @@ def stage(landing: Landing, run_id: int, table_types: Mapping[str, str] | None =
     """
     rows = landing.rows.withColumn(RUN_ID, F.lit(run_id))
     columns, payload = rows.columns, landing.payload
+    base_column = base_column and find_column(payload, base_column)
     names = {c: clean_name(c) for c in payload}
     lost = lost_casts(rows.select(*[_quoted(c) for c in payload if c != base_column]),
                       table_types, names)
-    if base_column in payload:
+    if base_column:
         moment = _quoted(base_column)
         lost = lost + F.count_if(moment.isNotNull() & parse_time(moment).isNull())
     seen = Observation()
@@ -150,12 +151,18 @@ def _quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def find_column(columns: Iterable[str], name: str) -> str | None:
+    """The column Spark would resolve ``name`` to, upper or lower case alike."""
+    return next((c for c in columns if c.lower() == name.lower()), None)
+
+
 def shape(staged: Staged, base_column: str | None) -> DataFrame:
     """Accepted rows with time columns and without the columns that held no value."""
     rows = accepted_rows(staged.rows)
     if base_column:
-        if base_column not in rows.columns:
-            raise ValueError(f"no column {base_column!r} to derive partitions from")
+        wanted, base_column = base_column, find_column(rows.columns, base_column)
+        if base_column is None:
+            raise ValueError(f"no column {wanted!r} to derive partitions from")
         rows = rows.withColumn(base_column, parse_time(_quoted(base_column)))
         rows = add_time_parts(rows, base_column)
     return drop_null_columns(rows, staged.profile)

@@ -113,6 +113,7 @@ _COLUMN_PROFILE = " union all ".join(
         "tags": "case when event_type <> 'view' then 1 end",
         "origin": "case when event_type = 'view' then 1 end"}.items())
 
+_TAKEN = "event_type <> 'signup'"
 _LOADED = f"event_type <> '{BROKEN_ENTITY}' and {GOOD}"
 
 ORACLES: dict[str, str] = {
@@ -190,6 +191,15 @@ ORACLES: dict[str, str] = {
     "array_columns": """
         select vec_id, cast(label as bigint) as label, cast(len(embedding) as bigint) as dims,
           cast(embedding[1] as double) as first from embeddings""",
+    "bulk_write": """
+        select year(l_shipdate) as year, month(l_shipdate) as month, count(*) as records,
+          cast(sum(cast(l_quantity as decimal(38,6))) as varchar) as quantity
+        from lineitem group by 1, 2""",
+    "bulk_profile": " union all ".join(
+        f"select '{c}' as column_name, count({c}) as non_null_cnt from lineitem" for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            "l_shipdate")),
     "partition_pruned": """
         select day(ts) as day, count(*) as records, count(distinct user_id) as users
         from events where year(ts) = 2024 and month(ts) = 1 and day(ts) between 10 and 12
@@ -255,7 +265,7 @@ ORACLES: dict[str, str] = {
     "empty_like": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier where false",
     "purge_sources": "select max(event_id) as event_id from events",
     "staged_publish": f"select {_event_text()} from events",
-    "ingest_all": f"select {_HOURS} from events where {_LOADED} and event_type <> 'signup'",
+    "ingest_all": f"select {_HOURS} from events where {_LOADED} and {_TAKEN}",
     "ingest_audit": f"""
         select event_type as entity, step, case when step = 'raw_data_to_datalake' and
             event_type = '{BROKEN_ENTITY}' then 'Failed' else 'Success' end as status,
@@ -272,26 +282,27 @@ ORACLES: dict[str, str] = {
         from events join (values ('Load_datalake'), ('Update_glue_schema'),
           ('raw_data_to_datalake')) steps(step)
           on event_type <> '{BROKEN_ENTITY}' or step = 'raw_data_to_datalake'
-        group by event_type, step""",
+        where {_TAKEN} group by event_type, step""",
     "ingest_schema_rows": f"""
         select column_name, data_type, event_type as entity,
           cast(11 as bigint) as process_execution_id
-        from (select distinct event_type from events where event_type <> '{BROKEN_ENTITY}'),
+        from (select distinct event_type from events
+            where event_type <> '{BROKEN_ENTITY}' and {_TAKEN}),
           (values ('event_id', 'bigint'), ('ts', 'timestamp'), ('user_id', 'bigint'),
             ('evenement_type', 'string'), ('value', 'decimal(38,6)'), ('props', 'string'),
             ('source_file_name', 'string')) types(column_name, data_type)""",
     "ingest_rejects": f"""
         select event_type as entity, cast(11 as bigint) as process_execution_id,
           count(*) as rejects, cast(sum(length({BROKEN_LINE})) as bigint) as characters
-        from events where event_type = '{BROKEN_ENTITY}' or value >= {BROKEN_FROM}
+        from events where {_TAKEN} and (event_type = '{BROKEN_ENTITY}' or value >= {BROKEN_FROM})
         group by event_type""",
-    "ingest_status": """
+    "ingest_status": f"""
         select distinct event_type as entity, true as ok, true as run_ok,
-          cast(0 as bigint) as files_left from events""",
+          cast(0 as bigint) as files_left from events where {_TAKEN}""",
     "curated_layer": f"""
         select event_type as evenement_type, month({READ_TS}) as month, day({READ_TS}) as day,
           count(*) as records, count(distinct user_id) as users
-        from events where {_LOADED} group by 1, 2, 3""",
+        from events where {_LOADED} and {_TAKEN} group by 1, 2, 3""",
     "timeline_layer": f"""
         select o_custkey as customer, count(*) as orders,
           strftime(min(o_orderdate), {MICROS}) as first_order, o_orderstatus as entity

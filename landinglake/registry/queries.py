@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,11 @@ def column_profile(spark, sf_dir):
         "origin": F.when(odd, F.struct("user_id", "event_id"))}))
 
 
+@query
+def bulk_profile(spark, sf_dir):
+    return quality.column_profile(table(spark, sf_dir, "lineitem"))
+
+
 @query
 def drop_null_columns(spark, sf_dir):
     df = _event_text(events(spark, sf_dir)).withColumns({
@@ -279,6 +285,15 @@ def array_columns(spark, sf_dir):
         F.col("embedding")[0].cast("double").alias("first"))
 
 
+@query
+def bulk_write(spark, sf_dir):
+    """The largest table into month partitions, read back from the lake."""
+    df = add_time_parts(table(spark, sf_dir, "lineitem"), "l_shipdate").drop("day", "hour")
+    name, _ = _lake(spark, (df, "append"), partition_cols=("year", "month"))
+    return spark.table(name).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("l_quantity").cast("string").alias("quantity"))
+
+
 @query
 def partition_pruned(spark, sf_dir):
     name, _ = _lake(spark, (_by_day(spark, sf_dir), "append"))
@@ -531,12 +546,13 @@ def staged_publish(spark, sf_dir):
 # Whole dataflows
 
 HOURLY = ingest.LoadOptions(partition_cols=TIME_PARTS, base_column="ts")
+DAILY = ingest.LoadOptions(partition_cols=tuple(DAY_PARTS), base_column="ts")
 
 
 class _Run:
-    """One ingest of all entities of a landing prefix, with its tables."""
+    """One ingest of the entities of a landing prefix but one, with its tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, exclude=(), options=HOURLY):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         root, tag = fresh_folder(spark, "run"), uuid.uuid4().hex
         self.spark, self.landing = spark, write_tree(spark, sf_dir)
         self.records, self.errors = join_path(root, "records"), join_path(root, "error")
@@ -544,7 +560,7 @@ class _Run:
         self.recorder = ingest.Recorder(self.records)
         self.outcomes = ingest.ingest_all(
             spark, self.landing, self.lake, self.errors, self.recorder, run_id=11,
-            job_run_id=21, options=options, exclude=exclude, table_name=self.table_name)
+            job_run_id=21, options=DAILY, exclude=["signup"], table_name=self.table_name)
 
     def table_name(self, entity: str) -> str:
         return f"{clean_name(entity)}_{self.tag}"
@@ -561,10 +577,20 @@ class _Run:
         return audit.union_steps(*parts)
 
 
+def _run(spark: SparkSession, sf_dir: str) -> _Run:
+    """The run that the queries below look at from several sides; once per session."""
+    return _run_of(spark.sparkContext.applicationId, sf_dir)
+
+
+@lru_cache(maxsize=None)
+def _run_of(_session: str, sf_dir: str) -> _Run:
+    return _Run(SparkSession.active(), sf_dir)
+
+
 @query
 def ingest_all(spark, sf_dir):
     """Rows of all entity tables after a run; one entity is excluded, one wholly broken."""
-    run = _Run(spark, sf_dir, exclude=["signup"])
+    run = _run(spark, sf_dir)
     return run.rows().select(
         "entity", "event_id", utc_text(F.col("ts")).alias("ts"), "user_id", "evenement_type",
         F.col("value").cast("string").alias("value"), "props", "process_execution_id", *TIME_PARTS)
@@ -573,7 +599,7 @@ def ingest_all(spark, sf_dir):
 @query
 def ingest_audit(spark, sf_dir):
     """Audit steps of the run, without their times."""
-    run = _Run(spark, sf_dir)
+    run = _run(spark, sf_dir)
     return run.record("jobs_execution_detail").select(
         "entity", "step", "status", "records_cnt", "reject_records_cnt", "description",
         F.col("jobs_execution_id").cast("bigint").alias("jobs_execution_id"),
@@ -582,13 +608,13 @@ def ingest_audit(spark, sf_dir):
 
 @query
 def ingest_schema_rows(spark, sf_dir):
-    return _bigints(_Run(spark, sf_dir).record("entity_schema_details"), "process_execution_id")
+    return _bigints(_run(spark, sf_dir).record("entity_schema_details"), "process_execution_id")
 
 
 @query
 def ingest_rejects(spark, sf_dir):
     """Rejects of the run by entity, from the files under the error prefix."""
-    found = lake.read_rejects(spark, _Run(spark, sf_dir).errors).withColumn(
+    found = lake.read_rejects(spark, _run(spark, sf_dir).errors).withColumn(
         "entity", F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1))
     return found.groupBy("entity", tables.RUN_ID).agg(
         F.count(CORRUPT_RECORD).alias("rejects"),
@@ -598,7 +624,7 @@ def ingest_rejects(spark, sf_dir):
 @query
 def ingest_status(spark, sf_dir):
     """Flag per entity, the status of the run, and what is left in the landing folders."""
-    run = _Run(spark, sf_dir)
+    run = _run(spark, sf_dir)
     flags = ingest.status_frame(spark, [(o.entity, o.ok) for o in run.outcomes])
     left = entity_files(spark, run.landing).select("entity", "files")
     return flags.join(left, "entity", "left").select(
@@ -609,7 +635,7 @@ def ingest_status(spark, sf_dir):
 @query
 def curated_layer(spark, sf_dir):
     """Users per entity and day, refreshed for the entities the run has loaded."""
-    run = _Run(spark, sf_dir)
+    run = _run(spark, sf_dir)
     path, name = fresh_folder(spark, "curated"), lambda e: f"curated_{run.table_name(e)}"
     layers.refresh_curated(
         spark, run.record("entity_process_execution_mapping"), 11,

@@ -78,8 +78,8 @@ def read_landing(spark: SparkSession, path: str, file_format: str,
         rows = rows.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
     elif not payload.fields:
         # Nothing but malformed records: there is no column to parse into.
-        whole = str(options.get("multiLine", "false")).lower()
-        lines = spark.read.option("wholetext", whole).text(path)
+        whole = str(options.get("multiLine", "false")).lower() == "true"
+        lines = spark.read.options(**options).text(path, wholetext=whole)
         rows = lines.filter(F.trim("value") != "").withColumnRenamed("value", CORRUPT_RECORD)
     else:
         with_corrupt = StructType([*payload.fields, StructField(CORRUPT_RECORD, StringType())])
