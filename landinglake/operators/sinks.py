@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,8 +18,9 @@ from landinglake.storage import Storage, fresh_folder, join_path
 # Rows per JDBC batch.
 BATCH_SIZE = "10000"
 
-# Text form that gives back what went in: quotes doubled, null bare and '' quoted.
-CSV_EXCHANGE = {"quote": '"', "escape": '"', "multiLine": "true",
+# Text form that gives back what went in: quotes doubled, null as a bare \N; a text that
+# begins with a backslash gets another one, so that none reads as null.
+CSV_EXCHANGE = {"quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\\N",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -124,14 +125,24 @@ def create_empty(df: DataFrame, table: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """Apply ``change`` to the text columns' values that begin with a backslash."""
+    texts = [n for n, t in df.dtypes if t == "string"]
+    return df.withColumns({
+        n: F.when(F.col(f"`{n}`").startswith("\\"), change(F.col(f"`{n}`")))
+        .otherwise(F.col(f"`{n}`")) for n in texts}) if texts else df
+
+
 def stage_csv(df: DataFrame, path: str) -> None:
     """Write the text files a bulk copy takes, headerless."""
-    df.write.mode("overwrite").options(**CSV_EXCHANGE).option("header", "false").csv(path)
+    escaped = _texts(df, lambda text: F.concat(F.lit("\\"), text))
+    escaped.write.mode("overwrite").options(**CSV_EXCHANGE).option("header", "false").csv(path)
 
 
 def read_staged_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return (spark.read.options(**CSV_EXCHANGE).option("header", "false")
+    rows = (spark.read.options(**CSV_EXCHANGE).option("header", "false")
             .option("mode", "FAILFAST").schema(like.schema).csv(path))
+    return _texts(rows, lambda text: F.substring(text, 2, 2**31 - 1))
 
 
 def bulk_load(df: DataFrame, table: str, *, path: str | None = None, truncate: bool = False,
