@@ -54,7 +54,8 @@ def union_steps(*frames: DataFrame) -> DataFrame:
 
 
 def order_steps(df: DataFrame) -> DataFrame:
-    return df.orderBy("start_dt")
+    """Steps by start; the other columns break ties, so that equal starts sort in many tasks."""
+    return df.orderBy("start_dt", *[c for c in df.columns if c != "start_dt"])
 
 
 def parse_step_cells(df: DataFrame, cell: str, *keep: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landinglake.operators.joins import skew_join
 from landinglake.sources.lake import query_rows
 
 # Run states, and who signs an update.
@@ -34,7 +35,8 @@ def parent_states(edges: DataFrame, latest: DataFrame) -> DataFrame:
     states = latest.select(F.col("jobs_id").alias("parent_jobs_id"),
                            F.col("job_status").alias("parent_status"))
     status = F.col("parent_status")
-    return (edges.select("jobs_id", "parent_jobs_id").join(states, "parent_jobs_id", "left")
+    # Most edges may hang on one parent, or have none.
+    return (skew_join(edges.select("jobs_id", "parent_jobs_id"), states, "parent_jobs_id", "left")
             .groupBy("jobs_id").agg(
                 F.count(status).alias("parent_jobs_total_count"),
                 F.count_if(status == DONE).alias("parent_jobs_success_count"),
@@ -50,8 +52,8 @@ def ready_jobs(runs: DataFrame, jobs: DataFrame, classes: DataFrame, edges: Data
     ``run_id`` restricts the parents; the ready runs too only with ``own_run_only``.
 
     Parents are counted per job before they meet the runs, so the join does not multiply
-    runs by edges. Equal run records are folded before it (``n``), which leaves it last in
-    the plan, where AQE may split a job with very many runs.
+    runs by edges. Equal run records are folded before it (``n``), which leaves the join
+    last in the plan, where a job with very many runs can be split.
     """
     parents = parent_states(edges, latest_status(runs, run_id))
     named = (jobs.select(F.col("id").alias("job_id"), F.col("name").alias("job_name"),
@@ -69,7 +71,7 @@ def ready_jobs(runs: DataFrame, jobs: DataFrame, classes: DataFrame, edges: Data
              .agg(F.count(F.lit(1)).alias("n")))
     counts = [c for c in parents.columns if c != "jobs_id"]
     described = named.join(parents.withColumnRenamed("jobs_id", "job_id"), "job_id")
-    return ready.join(described, "job_id").select(
+    return skew_join(ready, described, "job_id").select(
         "job_execution_id", "process_execution_id", "job_id", "job_name", "execution_class",
         "job_status", *[(F.col(c) * F.col("n") * F.col("job_n")).alias(c) for c in counts])
 
@@ -91,8 +93,8 @@ def job_params(jobs: DataFrame, classes: DataFrame, class_params: DataFrame, edg
                                        F.col("name").alias("subscriber")), "subsriber_id")
               .join(applications.select(F.col("id").alias("applications_id"),
                                         F.col("name").alias("application")), "applications_id"))
-    params = (class_params.join(classes.select(F.col("id").alias("jobs_execution_class_id")),
-                                "jobs_execution_class_id", "left_semi")
+    known = classes.select(F.col("id").alias("jobs_execution_class_id")).distinct()
+    params = (class_params.join(known, "jobs_execution_class_id", "left_semi")
               .select(F.col("id").alias("param_id"), "jobs_execution_class_id",
                       F.lower("name").alias("param_key"), "default_param_value", "is_mandatory"))
     owned = (members.distinct()
@@ -104,7 +106,7 @@ def job_params(jobs: DataFrame, classes: DataFrame, class_params: DataFrame, edg
     raw = F.coalesce("param_value", "default_param_value")
     value = F.replace(F.replace(raw, F.lit("<application>"), F.col("application")),
                       F.lit("<subscriber>"), F.col("subscriber"))
-    resolved = (owned.join(params, "jobs_execution_class_id")
+    resolved = (skew_join(owned, params, "jobs_execution_class_id")
                 .join(own_values, ["jobs_id", "param_id"], "left")
                 .select("process_id", F.col("jobs_id").alias("job_id"), "job_name", "param_key",
                         value.alias("param_value"), "is_mandatory"))
@@ -128,10 +130,12 @@ def timeline_entities(entities: DataFrame, narrations: DataFrame, fields: DataFr
     """Enabled entities that have both narrations and fields.
 
     Semi joins: the other tables only have to contain the entity, their rows do not multiply.
+    Each side is reduced to its entities first, in the tasks that read it, so that the many
+    rows of one entity are not sent to one task.
     """
-    return (entities.filter(F.col("status") == "Enabled").select("entity").distinct()
-            .join(narrations.select("entity"), "entity", "left_semi")
-            .join(fields.select("entity"), "entity", "left_semi"))
+    enabled = entities.filter(F.col("status") == "Enabled").select("entity").distinct()
+    return (enabled.join(narrations.select("entity").distinct(), "entity", "left_semi")
+            .join(fields.select("entity").distinct(), "entity", "left_semi"))
 
 
 def _updates(changes: DataFrame) -> DataFrame:
