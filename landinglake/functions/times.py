@@ -18,7 +18,7 @@ def _quoted(name: str) -> Column:
 
 def parse_time(column: Column) -> Column:
     """Timestamp of a text, date, timestamp or number (epoch seconds); null where unreadable."""
-    return column.try_cast("timestamp")
+    return F.try_to_timestamp(column)
 
 
 def add_time_parts(df: DataFrame, column: str) -> DataFrame:

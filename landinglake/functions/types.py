@@ -12,6 +12,11 @@ WIDENED = {"int": "bigint"}
 EXACT_DOUBLE = "decimal(38,6)"
 EXACT_DOUBLE_LIMIT = 1e32
 
+# Text that reads as a number; for integers the sign and the whole digits.
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+NUMBER = r"^\s*([+-]?)(?=[.0-9])([0-9]*)(?:\.[0-9]*)?\s*$"
+EXPONENT_NUMBER = r"^\s*[+-]?(?=\.?\p{Nd})\p{Nd}*\.?\p{Nd}*(?:[eE][+-]?\p{Nd}+)?\s*$"
+
 
 def catalog_type(dtype: str) -> str:
     """Type text under which a top-level column is registered."""
@@ -43,6 +48,21 @@ def _column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def lenient_cast(column: Column, dtype: str, target: str) -> Column:
+    """Cast that gives null where a value does not fit.
+
+    Text becomes an integer by its whole part, as a cast without ANSI does. What cannot be a
+    number is sorted out by pattern: a failing cast costs an exception per value.
+    """
+    if dtype == "string" and target in INTEGRAL:
+        whole = F.concat(F.regexp_extract(column, NUMBER, 1), F.lit("0"),
+                         F.regexp_extract(column, NUMBER, 2))
+        return F.when(column.rlike(NUMBER), whole.try_cast(target))
+    if dtype == "string" and target.startswith("decimal"):
+        return F.when(column.rlike(EXPONENT_NUMBER), column.try_cast(target))
+    return column.try_cast(target)
+
+
 def align_columns(df: DataFrame, table_types: Mapping[str, str] | None = None) -> DataFrame:
     """Columns the table knows first, new ones after them, all in the types above.
 
@@ -53,7 +73,8 @@ def align_columns(df: DataFrame, table_types: Mapping[str, str] | None = None) -
     for name, dtype in sorted(df.dtypes, key=lambda pair: pair[0] not in known):
         target = aligned_type(dtype, known.get(name))
         column = _column(name)
-        select.append(column if target == dtype else column.try_cast(target).alias(name))
+        select.append(column if target == dtype
+                      else lenient_cast(column, dtype, target).alias(name))
     return df.select(*select)
 
 
@@ -73,6 +94,6 @@ def lost_casts(df: DataFrame, table_types: Mapping[str, str] | None = None,
         if (dtype, target) == ("double", EXACT_DOUBLE):
             lost = F.isnan(column) | (F.abs(column) >= F.lit(EXACT_DOUBLE_LIMIT))
         else:
-            lost = column.isNotNull() & column.try_cast(target).isNull()
+            lost = column.isNotNull() & lenient_cast(column, dtype, target).isNull()
         total = total + F.count_if(lost)
     return total

@@ -58,12 +58,32 @@ def order_steps(df: DataFrame) -> DataFrame:
     return df.orderBy("start_dt", *[c for c in df.columns if c != "start_dt"])
 
 
+def _outside_texts(word: str, not_in: str) -> str:
+    """Pattern of ``word`` where it is not part of a quoted text; group 1 is what precedes it."""
+    single, double = r"'(?:[^'\\]++|\\.)*+'", r'"(?:[^"\\]++|\\.)*+"'
+    return rf"(?s)\G((?:[^'\"{not_in}]++|{single}|{double}|(?!{word})[{not_in}])*+){word}"
+
+
+# What Python writes differently from JSON, as (mark, pattern, JSON).
+PYTHON_MARKS = ((",", r",\s*\)", ")"), ("(", r"\(", "["), (")", r"\)", "]"), ("N", "None", "null"))
+
+
+def step_list_text(cell: str | Column) -> Column:
+    """A list of tuples, as procedures write it, as JSON text; JSON stays what it is."""
+    text = F.col(cell) if isinstance(cell, str) else cell
+    column = text
+    for mark, pattern, replacement in PYTHON_MARKS:
+        column = F.regexp_replace(column, _outside_texts(pattern, mark), "$1" + replacement)
+    return F.when(text.contains("(") | text.contains("None"), column).otherwise(text)
+
+
 def parse_step_cells(df: DataFrame, cell: str, *keep: str) -> DataFrame:
-    """Rows of a step-result cell: JSON text, a list of six-element lists.
+    """Rows of a step-result cell: text of a list of six-element lists or tuples.
 
     An empty or missing list gives no rows. Elements are read as text; nothing is evaluated.
     """
-    steps = F.from_json(F.col(cell), "array<array<string>>")
+    steps = F.from_json(step_list_text(cell), "array<array<string>>",
+                        {"allowBackslashEscapingAnyCharacter": "true"})
     rows = df.select(*keep, F.explode(steps).alias("_step"))
     fields = [F.get("_step", F.lit(i)).alias(name) for i, name in enumerate(CELL_COLUMNS)]
     return rows.select(*keep, *fields)

@@ -150,6 +150,18 @@ def test_step_cells(spark):
     assert {r.k: r.any_failed for r in audit.any_failed(steps, "k").collect()} == {1: True, 4: False}
 
 
+def test_step_cells_as_tuples(spark):
+    chance = random.Random(3)
+    texts = ["Success", "Failed", "it's", 'a "b"', "(x)", "None", "f('y', [1])", "", "\\", "é, ü", None,
+             "x" * 20_000, "None)", "a\\'b\"c("]
+    answers = {k: [tuple(chance.choice(texts) for _ in range(6)) for _ in range(chance.randrange(5))]
+               for k in range(200)}
+    cells = [(k, repr(v if k % 2 else tuple(v))) for k, v in answers.items()]
+    got = audit.parse_step_cells(frame(spark, cells, "k int, cell string"), "cell", "k").collect()
+    expected = Counter((k, *row) for k, rows in answers.items() for row in rows)
+    assert Counter(tuple(r) for r in got) == expected
+
+
 def test_step_frames(spark):
     step = audit.Step.start("e", "s").end(audit.FAILED, "why")
     row = audit.step_frame(spark, [step], 3).first()

@@ -2,10 +2,11 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from landinglake.functions.times import add_time_parts, parse_time, utc_text
-from landinglake.functions.types import align_columns, catalog_types, lost_casts
+from landinglake.functions.types import align_columns, catalog_types, lenient_cast, lost_casts
 
 
 def test_new_columns(spark):
@@ -39,6 +40,26 @@ def test_lost_values_are_null_and_counted(spark):
     assert df.agg(lost_casts(df, {"a": "bigint"}).alias("n")).first().n == 2 + 3
 
 
+TEXTS = ["1", "-1", "+7", " 12 ", "12.5", "-12.9", ".5", "-.5", "5.", ".", "+.", "-.", " . ", "", " ", "+", "-", "1e3",
+         "1.5E2", "1e", "0x1", "1 2", "1.2.3", "9223372036854775807", "9223372036854775808",
+         "-9223372036854775808", "300", "99999999999999999999999999", "NaN", "Infinity", "١",
+         "1d", "1.0f", "--1", "1_000", "\t3\n", "0007", "1234567.1234565", "1" * 40]
+
+
+@pytest.mark.parametrize("target", ["bigint", "int", "smallint", "tinyint", "decimal(38,6)",
+                                    "double", "boolean", "date", "timestamp"])
+def test_text_casts_as_without_ansi(spark, target):
+    df = spark.createDataFrame([(t,) for t in [*TEXTS, "true", "n", "2024-02-29", "2024-2-9 1:2"]], "t string")
+    ours = {r.t: r.c for r in df.select("t", lenient_cast(F.col("t"), "string", target).alias("c")).collect()}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        theirs = {r.t: r.c for r in df.selectExpr("t", f"cast(t as {target}) c").collect()}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    same = lambda a, b: a == b or (a != a and b != b)
+    assert {t: (ours[t], theirs[t]) for t in ours if not same(ours[t], theirs[t])} == {}
+
+
 def test_quoted_names(spark):
     df = spark.sql("select 1.5D `a b`, 'x' `select`")
     assert align_columns(df, {"select": "bigint"}).columns == ["select", "a b"]
