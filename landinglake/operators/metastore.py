@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from landinglake.operators.joins import skew_join
 from landinglake.sources.lake import query_rows
 
-# Run states, and who signs an update.
+# Run states.
 READY, IN_PROGRESS, DONE, BROKEN = "R", "I", "S", "F"
-UPDATED_BY = "dataPipeLine"
+
+# Who signs an update unless the caller says so.
+UPDATED_BY = "landinglake"
 
 
 def latest_status(runs: DataFrame, run_id: int | None = None) -> DataFrame:
@@ -145,30 +147,34 @@ def _updates(changes: DataFrame) -> DataFrame:
 
 
 def _change_status(rows: DataFrame, changes: DataFrame, status: str, time_column: str,
-                   now: Column | None) -> DataFrame:
+                   now: Column | None, updated_by: str) -> DataFrame:
     now = F.current_timestamp() if now is None else now
     changed = F.coalesce(F.col("changed"), F.lit(False))
     fresh = {status: F.col("new_status"), time_column: now, "updated_dt": now,
-             "updated_by": F.lit(UPDATED_BY)}
+             "updated_by": F.lit(updated_by)}
     joined = rows.join(_updates(changes), "id", "left")
     return joined.select(*[
         F.when(changed, fresh[c]).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c)
         for c in rows.columns])
 
 
-def start_jobs(runs: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
+def start_jobs(runs: DataFrame, changes: DataFrame, now: Column | None = None,
+               updated_by: str = UPDATED_BY) -> DataFrame:
     """Job runs after ``changes`` (id, seq, status) that set the start time."""
-    return _change_status(runs, changes, "jobs_status", "jobs_start_dt", now)
+    return _change_status(runs, changes, "jobs_status", "jobs_start_dt", now, updated_by)
 
 
-def end_jobs(runs: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
+def end_jobs(runs: DataFrame, changes: DataFrame, now: Column | None = None,
+             updated_by: str = UPDATED_BY) -> DataFrame:
     """The same for changes that set the end time."""
-    return _change_status(runs, changes, "jobs_status", "jobs_end_dt", now)
+    return _change_status(runs, changes, "jobs_status", "jobs_end_dt", now, updated_by)
 
 
-def start_processes(runs: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
-    return _change_status(runs, changes, "status", "process_start_dt", now)
+def start_processes(runs: DataFrame, changes: DataFrame, now: Column | None = None,
+                    updated_by: str = UPDATED_BY) -> DataFrame:
+    return _change_status(runs, changes, "status", "process_start_dt", now, updated_by)
 
 
-def end_processes(runs: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
-    return _change_status(runs, changes, "status", "process_end_dt", now)
+def end_processes(runs: DataFrame, changes: DataFrame, now: Column | None = None,
+                  updated_by: str = UPDATED_BY) -> DataFrame:
+    return _change_status(runs, changes, "status", "process_end_dt", now, updated_by)

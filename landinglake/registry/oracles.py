@@ -96,7 +96,7 @@ def _changed(status: str, start: str, end: str, new: str, touched: str, times: d
     return _with("runs") + f"""
       select id, process_execution_id, jobs_id, {new} as {status}, {time(start)}, {time(end)},
         case when {touched} then '{CLOCK}' end as updated_dt,
-        case when {touched} then 'dataPipeLine' else 'setup' end as updated_by
+        case when {touched} then 'landinglake' else 'setup' end as updated_by
       from runs"""
 
 

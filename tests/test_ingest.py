@@ -241,3 +241,11 @@ def test_incremental_needs_a_schema(place):
     with pytest.raises(ValueError, match="schema"):
         ingest_new_files(place.spark, "orders", place.landing, place.table, place.lake,
                          place.errors, place.folder + "/checkpoint")
+
+
+def test_archived_files_are_not_loaded_again(spark, place):
+    archive = place.folder + "/archive"
+    for i in range(3):
+        put(place.landing, f"{i}.json", GOOD)
+        stream(place, archive=archive)
+    assert spark.table(place.table).count() == 3
