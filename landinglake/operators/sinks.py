@@ -78,7 +78,7 @@ def write_rejects(df: DataFrame, path: str, run_id: int, load_id: str | None = N
     if load_id:
         prefix = load_prefix(load_id)
         storage = Storage(df.sparkSession, path)
-        storage.delete_all(storage.glob(join_path(path, prefix + "*")))
+        storage.delete_all(storage.glob(path, prefix + "*"))
         writer = writer.option("mapreduce.output.basename", prefix)
     writer.json(path)
 

@@ -50,7 +50,7 @@ class LoadOptions:
 
     source_format: str = "json"
     read_options: Mapping[str, str] = field(default_factory=dict)
-    schema: StructType | None = None
+    schema: StructType | Mapping[str, StructType] | None = None
     file_format: str = "parquet"
     mode: str = "append"
     compression: str | None = None
@@ -61,6 +61,12 @@ class LoadOptions:
         if self.partition_cols and not self.base_column:
             raise ValueError(f"{', '.join(self.partition_cols)} need a base column")
 
+    def schema_of(self, entity: str) -> StructType | None:
+        """The given schema of an entity; one for all, or one per entity."""
+        if isinstance(self.schema, Mapping):
+            return self.schema.get(entity)
+        return self.schema
+
 
 @dataclass
 class Ingested:
@@ -180,8 +186,8 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
     outcome = Ingested(entity, ok=False)
     staged = None
     try:
-        landing = landing or read_landing(spark, source, options.source_format, options.schema,
-                                          options.read_options)
+        landing = landing or read_landing(spark, source, options.source_format,
+                                          options.schema_of(entity), options.read_options)
         outcome.files = landing.files
         definition = find_table(spark, table)
         staged = stage(landing, run_id, definition and definition.columns, options.base_column,

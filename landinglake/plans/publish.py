@@ -41,11 +41,13 @@ class Published:
     skipped: bool = False
 
 
+def load_files(spark: SparkSession, path: str, load_id: str, depth: int) -> list[str]:
+    return Storage(spark, path).glob(path, *["*=*"] * depth, load_prefix(load_id) + "*")
+
+
 def remove_load(spark: SparkSession, path: str, load_id: str, depth: int) -> int:
     """Delete the files one load has written, and nothing else."""
-    storage = Storage(spark, path)
-    pattern = join_path(path, *["*=*"] * depth, load_prefix(load_id) + "*")
-    return storage.delete_all(storage.glob(pattern))
+    return Storage(spark, path).delete_all(load_files(spark, path, load_id, depth))
 
 
 def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
@@ -66,7 +68,7 @@ def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
         elif not touched_only:
             storage.delete(folder)
 
-    folders = storage.glob(join_path(path, *["*=*"] * depth)) if depth else [path]
+    folders = storage.glob(path, *["*=*"] * depth) if depth else [path]
     with ThreadPoolExecutor(DELETE_THREADS) as pool:
         list(pool.map(clear, folders))
 
@@ -171,6 +173,11 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
         published.partitions = [row.asDict() for row in seen.get.get("partitions", [])]
         published.steps.append(step.end())
 
+        # Replacing goes by file name; a commit protocol that ignores it must not cost data.
+        if mode != "append" and published.rows and \
+                not load_files(spark, path, published.load_id, depth):
+            raise RuntimeError(f"the files written to {path} do not carry the load's name")
+
         step = Step.start(entity, "Update_glue_schema")
         if before_commit:
             before_commit(published)

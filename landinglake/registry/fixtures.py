@@ -125,7 +125,7 @@ def write_tree(spark: SparkSession, sf_dir: str) -> str:
     (df.select(F.col("event_type").alias("entity"), lines.alias("value"))
      .write.partitionBy("entity").text(prefix))
     storage = Storage(spark, prefix)
-    for folder in storage.glob(join_path(prefix, "entity=*")):
+    for folder in storage.glob(prefix, "entity=*"):
         storage.rename(folder, join_path(prefix, base_name(folder).split("=")[1]))
     storage.make_folder(join_path(prefix, "nothing_yet"))
     return prefix

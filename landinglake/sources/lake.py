@@ -64,7 +64,7 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a snapshot table, oldest first."""
-    done = Storage(spark, path).glob(join_path(path, "version=*/_SUCCESS"))
+    done = Storage(spark, path).glob(path, "version=*", "_SUCCESS")
     return sorted(int(base_name(marker.rsplit("/", 1)[0]).split("=")[1]) for marker in done)
 
 

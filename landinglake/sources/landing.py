@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from landinglake.storage import Storage
+
 # The added columns, and the formats whose reader sets bad records apart.
 CORRUPT_RECORD = "_corrupt_record"
 SOURCE_FILE = "source_file_name"
@@ -34,8 +36,8 @@ def landing_files(spark: SparkSession, prefix: str) -> DataFrame:
     Only the listing is used: the pruned scan never opens a file. The entity is the first
     folder after the prefix; files that lie directly in it belong to none.
     """
-    root = re.escape(prefix.rstrip("/").split("://")[-1].removeprefix("file:"))
-    entity = F.regexp_extract("path", f"{root}/+([^/]+)/", 1)
+    root = re.escape(Storage(spark, prefix).qualified(prefix))
+    entity = F.regexp_extract("path", f"^{root}/+([^/]+)/", 1)
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
             .select(entity.alias("entity"), "path", "length", "modificationTime")
             .filter(F.col("entity") != ""))

@@ -47,8 +47,14 @@ class Storage:
     def delete_on_exit(self, path: str) -> None:
         self._fs.deleteOnExit(self._path(path))
 
-    def glob(self, pattern: str) -> list[str]:
-        found = self._fs.globStatus(self._path(pattern))
+    def qualified(self, path: str) -> str:
+        """The path with scheme and from the root, as listings show it."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
+    def glob(self, folder: str, *patterns: str) -> list[str]:
+        """Entries below ``folder``, one pattern per level; the folder itself is taken as is."""
+        literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", folder)
+        found = self._fs.globStatus(self._path(join_path(literal, *patterns)))
         return [status.getPath().toString() for status in found or []]
 
     def children(self, path: str) -> list[tuple[str, bool]]:

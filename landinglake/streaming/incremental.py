@@ -22,11 +22,12 @@ def ingest_new_files(spark: SparkSession, entity: str, source: str, table: str,
     away instead of deleting them; Spark does so with a delay. ``files_per_batch`` cuts a
     backlog into batches.
     """
-    if options.schema is None:
+    schema = options.schema_of(entity)
+    if schema is None:
         raise ValueError("incremental ingest needs a schema")
     if not Storage(spark, source).exists(source):
         return []
-    fields = [f for f in options.schema if f.name != CORRUPT_RECORD]
+    fields = [f for f in schema if f.name != CORRUPT_RECORD]
     reader = spark.readStream.format(options.source_format).options(**options.read_options)
     if options.source_format in RECORD_FORMATS:
         fields.append(StructField(CORRUPT_RECORD, StringType()))

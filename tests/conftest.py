@@ -1,4 +1,4 @@
-"""One local session for all tests; scratch folders below pytest's own."""
+"""One local session for all tests; a task may fail once, scratch is below pytest's own folder."""
 
 import os
 import sys
@@ -16,7 +16,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
-    session = build_session("tests", "local[8]", {
+    session = build_session("tests", "local[8,2]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(root / "scratch"),

@@ -249,3 +249,12 @@ def test_archived_files_are_not_loaded_again(spark, place):
         put(place.landing, f"{i}.json", GOOD)
         stream(place, archive=archive)
     assert spark.table(place.table).count() == 3
+
+
+def test_schema_per_entity(spark, place):
+    put(place.landing, "one/a.json", '{"a": 1}\n')
+    put(place.landing, "two/a.json", '{"a": 1}\n')
+    options = LoadOptions(schema={"one": StructType.fromDDL("a string")})
+    assert all(d.ok for d in place.all(options))
+    assert [dict(spark.table(f"{place.table}_{e}").dtypes)["a"] for e in ("one", "two")] == [
+        "string", "bigint"]

@@ -4,14 +4,17 @@ import glob
 import os
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from landinglake.errors import LocationMismatch, NameCollision
 from landinglake.operators.partitions import partition_map
 from landinglake.operators.sinks import write_files
 from landinglake.operators.tables import schema_rows
+from landinglake.plans.ingest import stage
 from landinglake.plans.publish import publish
 from landinglake.sources.lake import find_table
+from landinglake.sources.landing import CORRUPT_RECORD, SOURCE_FILE, Landing
 
 
 def rows(spark, sql):
@@ -199,3 +202,55 @@ def test_compression_and_format(spark, folder, new_table):
     publish(rows(spark, "select 1 a"), new_table, folder, file_format="orc", compression="zlib")
     assert any(".zlib" in f for f in os.listdir(folder))
     assert content(spark, new_table, "a") == [(1,)]
+
+
+def test_path_with_pattern_characters(spark, folder, new_table):
+    path = folder + "/a [b] {c,d}"
+    load(spark, "('a', 1), ('b', 2)", table=new_table, path=path)
+    load(spark, "('x', 2)", table=new_table, mode="overwrite")
+    with pytest.raises(Refused):
+        load(spark, "('y', 2)", table=new_table, before_commit=refuse)
+    assert content(spark, new_table, "v", "day") == [("x", 2)]
+
+
+def test_replacing_needs_named_files(spark, folder, new_table, monkeypatch):
+    import landinglake.plans.publish as module
+    load(spark, "('a', 1), ('b', 2)", table=new_table, path=folder)
+    write = module.write_files
+
+    def nameless(df, *args, **kwargs):
+        *head, _options = args
+        write(df, *head, {}, **kwargs)
+    monkeypatch.setattr(module, "write_files", nameless)
+    with pytest.raises(RuntimeError, match="name"):
+        load(spark, "('x', 3)", table=new_table, mode="overwrite")
+    assert content(spark, new_table, "v", "day") == [("a", 1), ("b", 2)]
+
+
+def flaky(spark, rows):
+    """Rows of which every second task fails at its end, the first time it runs."""
+    @F.udf("bigint")
+    def last_row_fails(value, is_last):
+        context = TaskContext.get()
+        if is_last and context.attemptNumber() == 0 and context.partitionId() % 2:
+            raise RuntimeError("lost")
+        return value
+    per_task = rows // 8
+    df = spark.range(0, rows, 1, 8)
+    return df.select(last_row_fails("id", F.col("id") % per_task == per_task - 1).alias("v"),
+                     (F.col("id") % 3).alias("day"))
+
+
+@pytest.mark.parametrize("partition_cols", [[], ["day"]])
+def test_repeated_tasks_count_once(spark, folder, new_table, partition_cols):
+    done = publish(flaky(spark, 8000), new_table, folder, partition_cols=partition_cols)
+    assert (done.rows, spark.table(new_table).count()) == (8000, 8000)
+    assert sorted(p["day"] for p in done.partitions) == [0, 1, 2][:3 * len(partition_cols)]
+
+
+def test_staging_counts_once_over_repeated_tasks(spark):
+    rows = flaky(spark, 8000).withColumns(
+        {CORRUPT_RECORD: F.when(F.col("v") % 4 == 0, "x"), SOURCE_FILE: F.lit("f")})
+    staged = stage(Landing(rows, ()), run_id=1)
+    assert (staged.records, staged.rejects, staged.profile["v"]) == (8000, 2000, 8000)
+    assert staged.rows.count() == 8000
