@@ -39,6 +39,12 @@ def touched_metric(partition_cols: Iterable[str]) -> Column:
     return F.collect_set(F.struct(*partition_cols)).alias("partitions")
 
 
+def read_touched(rows: Iterable[Mapping[str, object]]) -> list[dict[str, object]]:
+    """The tuples of the metric as stored: Spark keeps an empty text in the null partition."""
+    stored = [{k: None if v == "" else v for k, v in row.items()} for row in rows]
+    return list({tuple(row.values()): row for row in stored}.values())
+
+
 def partition_clause(values: Mapping[str, object]) -> str:
     """``PARTITION (...)`` text of one tuple."""
     def literal(value: object) -> str:

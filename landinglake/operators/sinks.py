@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.operators.quality import rejected_rows
@@ -46,16 +46,15 @@ def spread(df: DataFrame, partition_cols: Iterable[str] | None) -> DataFrame:
 def write_files(df: DataFrame, path: str, file_format: str | None = None,
                 partition_cols: list[str] | None = None, compression: str | None = None,
                 mode: str | None = None, options: Mapping[str, str] | None = None,
-                observe: tuple[Observation, list[Column]] | None = None) -> None:
+                finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write files, Parquet and overwrite unless told otherwise.
 
-    ``mode="dynamic"`` replaces only the partitions that occur in ``df``. ``observe`` takes
-    metrics between the shuffle and the files.
+    ``mode="dynamic"`` replaces only the partitions that occur in ``df``. ``finish`` is
+    applied between the shuffle and the files.
     """
     df = spread(df, partition_cols)
-    if observe:
-        seen, metrics = observe
-        df = df.observe(seen, *metrics)
+    if finish:
+        df = finish(df)
     writer = df.write.format(file_format or "parquet")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

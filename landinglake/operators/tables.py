@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from landinglake.errors import LocationMismatch
 from landinglake.functions.times import TIME_PARTS
@@ -39,16 +40,17 @@ def _plain(path: str) -> str:
     return path.rstrip("/")
 
 
-def _column_list(columns: Mapping[str, str]) -> str:
-    return ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
+def _ddl(fields: Iterable[StructField]) -> str:
+    return StructType([StructField(f.name, f.dataType) for f in fields]).toDDL()
 
 
-def create_table(spark: SparkSession, table: str, path: str, columns: Mapping[str, str],
-                 partitions: Mapping[str, str], provider: str = "parquet") -> None:
-    partitioned = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+def create_table(spark: SparkSession, table: str, path: str, schema: StructType,
+                 partition_cols: list[str], provider: str = "parquet") -> None:
+    names = ", ".join(f"`{p}`" for p in partition_cols)
+    partitioned = f"PARTITIONED BY ({names})" if names else ""
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {table} ({_column_list({**columns, **partitions})}) "
-              f"USING {provider} {partitioned} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING {provider} {partitioned} "
+              f"LOCATION '{location}'")
 
 
 def drop_definition(spark: SparkSession, table: str) -> None:
@@ -56,21 +58,19 @@ def drop_definition(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def extend_table(spark: SparkSession, definition: TableDefinition,
-                 columns: Mapping[str, str]) -> None:
+def extend_table(spark: SparkSession, definition: TableDefinition, schema: StructType) -> None:
     """Add the columns the table does not have yet."""
-    new = {n: t for n, t in columns.items()
-           if n not in definition.columns and n not in definition.partitions}
+    new = [field for field in schema if field.name not in definition.schema.names]
     if new:
-        spark.sql(f"ALTER TABLE {definition.name} ADD COLUMNS ({_column_list(new)})")
+        spark.sql(f"ALTER TABLE {definition.name} ADD COLUMNS ({_ddl(new)})")
 
 
 def restore_table(spark: SparkSession, definition: TableDefinition) -> None:
     """Bring back a definition that was replaced, partitions from the folders."""
     drop_definition(spark, definition.name)
-    create_table(spark, definition.name, definition.location, definition.columns,
-                 definition.partitions, definition.provider)
-    if definition.partitions:
+    create_table(spark, definition.name, definition.location, definition.schema,
+                 definition.partition_cols, definition.provider)
+    if definition.partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {definition.name}")
 
 

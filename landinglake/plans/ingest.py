@@ -277,6 +277,8 @@ def ingest_all(spark: SparkSession, landing_prefix: str, lake_prefix: str, error
     A table takes one load at a time, as concurrent file commits into one folder are not
     safe on every store; different tables are loaded side by side.
     """
+    if not Storage(spark, landing_prefix).exists(landing_prefix):
+        return []
     listed = entity_files(spark, landing_prefix, exclude).filter("files > 0")
     entities = sorted(row.entity for row in listed.select("entity").collect())
 

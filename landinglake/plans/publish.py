@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.functions.names import clean_columns, clean_name
-from landinglake.functions.types import align_columns, catalog_types
+from landinglake.functions.types import align_columns
 from landinglake.operators.audit import Step
-from landinglake.operators.partitions import touched_metric
+from landinglake.operators.partitions import read_touched, touched_metric
 from landinglake.operators.sinks import load_prefix, write_files
 from landinglake.operators.tables import (add_partitions, create_table, drop_definition,
                                           extend_table, resolve_location, restore_table)
@@ -101,13 +101,12 @@ class LoadMarker:
 
 def _register(spark: SparkSession, definition: TableDefinition | None, published: Published,
               df: DataFrame, partition_cols: list[str], mode: str, provider: str) -> None:
-    columns, partitions = catalog_types(df, partition_cols)
     if definition is not None and mode != "overwrite":
-        extend_table(spark, definition, columns)
+        extend_table(spark, definition, df.schema)
     else:
         if definition is not None:
             drop_definition(spark, published.table)
-        create_table(spark, published.table, published.path, columns, partitions, provider)
+        create_table(spark, published.table, published.path, df.schema, partition_cols, provider)
     add_partitions(spark, published.table, published.partitions)
     spark.catalog.refreshTable(published.table)
 
@@ -140,11 +139,13 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
     definition = find_table(spark, table)
     path = resolve_location(definition, path)
     partition_cols = [clean_name(c) for c in partition_cols or []]
-    if definition is not None and partition_cols != list(definition.partitions):
-        raise ValueError(f"{table} is partitioned by {list(definition.partitions)}, "
+    if definition is not None and partition_cols != definition.partition_cols:
+        raise ValueError(f"{table} is partitioned by {definition.partition_cols}, "
                          f"not by {partition_cols}")
-    # The former definition rules the types of an overwrite too, as it does for an append.
-    aligned = _stored_types(align_columns(cleaned, definition and definition.columns), definition)
+
+    def aligned(rows: DataFrame) -> DataFrame:
+        # The former definition rules the types of an overwrite too, as it does for an append.
+        return _stored_types(align_columns(rows, definition and definition.columns), definition)
 
     marker = LoadMarker(spark, path, load_id) if load_id else None
     published = Published(table, path, load_id or uuid.uuid4().hex)
@@ -164,13 +165,15 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
         metrics = [F.count(F.lit(1)).alias("rows")]
         if partition_cols:
             metrics.append(touched_metric(partition_cols))
-        # Observed after the shuffle, in the tasks that write: these count once even if an
-        # executor is lost and earlier stages run again.
-        write_files(aligned, path, file_format, partition_cols, compression, "append",
+        # Aligned after the shuffle, which then moves the narrower types. Observed there too,
+        # in the tasks that write: these count once even if an executor is lost and earlier
+        # stages run again.
+        write_files(cleaned, path, file_format, partition_cols, compression, "append",
                     {"mapreduce.output.basename": load_prefix(published.load_id)},
-                    observe=(seen, metrics))
+                    finish=lambda rows: aligned(rows).observe(seen, *metrics))
         published.rows = seen.get["rows"]
-        published.partitions = [row.asDict() for row in seen.get.get("partitions", [])]
+        published.partitions = read_touched(
+            row.asDict() for row in seen.get.get("partitions", []))
         published.steps.append(step.end())
 
         # Replacing goes by file name; a commit protocol that ignores it must not cost data.
@@ -182,7 +185,8 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
         if before_commit:
             before_commit(published)
         replaced_definition = definition is not None and mode == "overwrite"
-        _register(spark, definition, published, aligned, partition_cols, mode, file_format)
+        _register(spark, definition, published, aligned(cleaned), partition_cols, mode,
+                  file_format)
         published.steps.append(step.end())
     except Exception:
         remove_load(spark, path, published.load_id, depth)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from landinglake.storage import Storage, base_name, join_path
 
@@ -18,8 +19,17 @@ class TableDefinition:
     name: str
     location: str
     provider: str
-    columns: dict[str, str]
-    partitions: dict[str, str]
+    schema: StructType
+    partition_cols: list[str]
+
+    @property
+    def columns(self) -> dict[str, str]:
+        return {f.name: f.dataType.simpleString() for f in self.schema
+                if f.name not in self.partition_cols}
+
+    @property
+    def partitions(self) -> dict[str, str]:
+        return {p: self.schema[p].dataType.simpleString() for p in self.partition_cols}
 
 
 def find_table(spark: SparkSession, table: str) -> TableDefinition | None:
@@ -28,11 +38,10 @@ def find_table(spark: SparkSession, table: str) -> TableDefinition | None:
         return None
     details = {row.col_name: row.data_type
                for row in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
-    columns = spark.catalog.listColumns(table)
-    return TableDefinition(
-        name=table, location=details["Location"], provider=details["Provider"].lower(),
-        columns={c.name: c.dataType for c in columns if not c.isPartition},
-        partitions={c.name: c.dataType for c in columns if c.isPartition})
+    partition_cols = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    # The types come from the schema, as listings cut the text of wide structs short.
+    return TableDefinition(table, details["Location"], details["Provider"].lower(),
+                           spark.table(table).schema, partition_cols)
 
 
 def query_rows(spark: SparkSession, sql: str, args: Mapping[str, Any] | None = None,

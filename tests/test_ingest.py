@@ -258,3 +258,9 @@ def test_schema_per_entity(spark, place):
     assert all(d.ok for d in place.all(options))
     assert [dict(spark.table(f"{place.table}_{e}").dtypes)["a"] for e in ("one", "two")] == [
         "string", "bigint"]
+
+
+def test_nothing_to_load(place):
+    assert place.all() == []
+    os.makedirs(place.landing + "/empty")
+    assert place.all() == []

@@ -254,3 +254,31 @@ def test_staging_counts_once_over_repeated_tasks(spark):
     staged = stage(Landing(rows, ()), run_id=1)
     assert (staged.records, staged.rejects, staged.profile["v"]) == (8000, 2000, 8000)
     assert staged.rows.count() == 8000
+
+
+def test_nested_types_come_back_and_match_the_catalog(spark, folder, new_table):
+    wide = ", ".join(f"{i} as field_number_{i}" for i in range(60))
+    df = spark.sql(f"select 1L id, struct({wide}) as s, map('k', array(1.5D)) as m, "
+                   "array(struct('x' as y)) as a, struct(1 as `odd: name`, 2 as `b``c`) as o")
+    publish(df, new_table, folder)
+    publish(df, new_table)
+    assert find_table(spark, new_table).columns == dict(df.dtypes)
+    assert [r for r in spark.table(new_table).collect()] == df.collect() * 2
+
+
+@pytest.mark.parametrize("value", ["date'2024-02-29'", "true", "1.5D", "2.25BD", "'a=b/c%20'",
+                                   "timestamp_ntz'2024-02-29 01:02:03.5'", "''", "' x '"])
+def test_partition_value_types(spark, folder, new_table, value):
+    df = spark.sql(f"select 1 v, {value} p union all select 2, null")
+    publish(df, new_table, folder, partition_cols=["p"])
+    publish(df.withColumn("v", F.col("v") + 10), new_table, mode="dynamic", partition_cols=["p"])
+    assert sorted(r.v for r in spark.table(new_table).collect()) == [11, 12]
+    stored = {r.v: r.p for r in spark.table(new_table).collect()}
+    plain = {r.v: r.p for r in spark.sql(f"select 11 v, {value} p").collect()}
+    assert stored[11] == (plain[11] if value != "''" else None) or float(stored[11]) == plain[11]
+    assert stored[12] is None
+
+
+def test_partition_columns_are_cleaned(spark, folder, new_table):
+    publish(spark.sql("select 1 v, 'x' `Event Day`"), new_table, folder, partition_cols=["Event Day"])
+    assert find_table(spark, new_table).partitions == {"event_day": "string"}
