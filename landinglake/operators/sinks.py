@@ -118,6 +118,23 @@ def append_database(df: DataFrame, url: str, table: str,
      .option("batchsize", BATCH_SIZE).options(**(options or {})).save())
 
 
+def load_database(df: DataFrame, url: str, table: str, *, truncate: bool = False,
+                  create: bool = False, insert: bool = True,
+                  options: Mapping[str, str] | None = None) -> None:
+    """:func:`bulk_load` for a database table, with the same flags.
+
+    ``create`` replaces the table, ``truncate`` empties it but keeps its definition.
+    """
+    if not (create or truncate or insert):
+        return
+    rows = df if truncate or insert else df.limit(0)
+    writer = rows.write.format("jdbc").mode("overwrite" if create or truncate else "append")
+    if truncate and not create:
+        writer = writer.option("truncate", "true")
+    (writer.option("url", url).option("dbtable", table).option("batchsize", BATCH_SIZE)
+     .options(**(options or {})).save())
+
+
 def create_empty(df: DataFrame, table: str, path: str | None = None) -> None:
     """(Re)create a table that has the columns of ``df`` and no rows."""
     writer = df.limit(0).write.mode("overwrite").format("parquet")

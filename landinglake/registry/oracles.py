@@ -34,37 +34,49 @@ def _event_text(value: str = "value") -> str:
 
 
 _LATEST = """
-    select distinct jobs_id, first_value(jobs_status) over (
-      partition by jobs_id order by id desc nulls last) as job_status from runs {where}"""
+    select jobs_id, jobs_status as job_status from runs {where}
+    qualify row_number() over (partition by jobs_id order by id desc) = 1"""
 
-_READY = _with("runs", "jobs", "classes", "edges") + """, latest as ({latest}), v as (
-    select je.*, j.name as job_name, jec.name as execution_class, l.job_status as parent_status
-    from runs je join jobs j on j.id = je.jobs_id
-    join classes jec on j.jobs_execution_class_id = jec.id
-    join edges pjm on je.jobs_id = pjm.jobs_id
-    left join latest l on l.jobs_id = pjm.parent_jobs_id
-    where je.jobs_status = 'R' {own})
-  select id as job_execution_id, process_execution_id, jobs_id as job_id, job_name,
-    execution_class, jobs_status as job_status,
-    count(parent_status) as parent_jobs_total_count,
-    count(case when parent_status = 'S' then 1 end) as parent_jobs_success_count,
-    count(case when parent_status = 'F' then 1 end) as parent_jobs_failed_count,
-    count(case when parent_status = 'R' then 1 end) as parent_jobs_ready_count,
-    count(case when parent_status = 'I' then 1 end) as parent_jobs_inprogess_count
-  from v group by id, process_execution_id, jobs_id, job_name, execution_class, jobs_status"""
+_READY = _with("runs", "jobs", "classes", "edges") + """,
+  newest as ({latest}),
+  parents as (
+    select edges.jobs_id as job, count(newest.job_status) as total,
+      count(*) filter (newest.job_status = 'S') as done,
+      count(*) filter (newest.job_status = 'F') as broken,
+      count(*) filter (newest.job_status = 'R') as ready,
+      count(*) filter (newest.job_status = 'I') as busy
+    from edges left join newest on newest.jobs_id = edges.parent_jobs_id group by edges.jobs_id)
+  select runs.id as job_execution_id, process_execution_id, jobs_id as job_id,
+    jobs.name as job_name, classes.name as execution_class, jobs_status as job_status,
+    total as parent_jobs_total_count, done as parent_jobs_success_count,
+    broken as parent_jobs_failed_count, ready as parent_jobs_ready_count,
+    busy as parent_jobs_inprogess_count
+  from runs, jobs, classes, parents
+  where jobs_status = 'R' and jobs_id = jobs.id and jobs_id = job
+    and jobs_execution_class_id = classes.id {own}"""
 
 _PARAMS = _with("jobs", "classes", "class_params", "edges", "processes", "subscribers",
-                "applications", "job_values") + """
-  select distinct {key} j.id as job_id, j.name as job_name, lower(jecp.name) as param_key,
-    replace(replace(coalesce(jp.param_value, jecp.default_param_value),
-      '<application>', a.name), '<subscriber>', s.name) as param_value,
-    cast(jecp.is_mandatory as bigint) as is_mandatory
-  from classes jec join jobs j on j.jobs_execution_class_id = jec.id
-  join class_params jecp on jecp.jobs_execution_class_id = jec.id
-  join edges pjm on pjm.jobs_id = j.id join processes p on p.id = pjm.process_id
-  join subscribers s on s.id = p.subsriber_id join applications a on a.id = p.applications_id
-  left join job_values jp on jp.jobs_id = j.id and jp.jobs_execution_class_param_id = jecp.id
-  {where}"""
+                "applications", "job_values") + """,
+  owners as (
+    select processes.id as process_id, subscribers.name as subscriber,
+      applications.name as application
+    from processes, subscribers, applications
+    where subsriber_id = subscribers.id and applications_id = applications.id),
+  settings as (
+    select jobs.id as job_id, jobs.name as job_name, class_params.id as param_id,
+      lower(class_params.name) as param_key, default_param_value,
+      cast(is_mandatory as bigint) as is_mandatory
+    from jobs, class_params
+    where jobs.jobs_execution_class_id = class_params.jobs_execution_class_id
+      and jobs.jobs_execution_class_id in (select id from classes)),
+  valued as (
+    select settings.*, coalesce(param_value, default_param_value) as raw
+    from settings left join job_values
+      on job_id = jobs_id and param_id = jobs_execution_class_param_id)
+  select {key} job_id, job_name, param_key, is_mandatory,
+    replace(replace(raw, '<application>', application), '<subscriber>', subscriber) as param_value
+  from valued, owners
+  where (process_id, job_id) in (select process_id, jobs_id from edges) {where}"""
 
 _STEPS = """
     select o_orderkey, 'customer ' || o_custkey as entity, 'extract' as step,
@@ -157,7 +169,7 @@ ORACLES: dict[str, str] = {
         select doc_id, lower(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(
           strip_accents(text)), '\p{Mn}+', '', 'g'), '[^A-Za-z0-9_]+', '_', 'g'),
           '([a-z0-9])([A-Z])', '\1_\2', 'g')) as clean from documents""",
-    "parse_times": f"""
+    "parse_time": f"""
         select event_id, case when event_type <> 'error' then {TS} end as ts from events""",
     "time_partitions": """
         select event_id, year(ts) as year, month(ts) as month, day(ts) as day, hour(ts) as hour
@@ -225,18 +237,18 @@ ORACLES: dict[str, str] = {
         from information_schema.columns where table_name = 'events'""",
     "run_entities": _with("mapping") + """
         select distinct entity from mapping where process_execution_id = 3""",
-    "job_params": _PARAMS.format(key="cast(pjm.process_id as bigint) as process_id,", where=""),
-    "job_params_of_process": _PARAMS.format(key="", where="where pjm.process_id = 3"),
+    "job_params": _PARAMS.format(key="cast(process_id as bigint) as process_id,", where=""),
+    "job_params_of_process": _PARAMS.format(key="", where="and process_id = 3"),
     "latest_status": _with("runs") + _LATEST.format(where=""),
     "latest_status_of_run": _with("runs") + _LATEST.format(where="where process_execution_id = 3"),
     "ready_jobs": _READY.format(latest=_LATEST.format(where="where process_execution_id = 3"), own=""),
     "ready_jobs_any_run": _READY.format(latest=_LATEST.format(where=""), own=""),
     "ready_jobs_own_run": _READY.format(
         latest=_LATEST.format(where="where process_execution_id = 3"),
-        own="and je.process_execution_id = 3"),
+        own="and process_execution_id = 3"),
     "timeline_entities": _with("timeline", "narrations", "fields") + """
-        select distinct t.entity from timeline t join narrations n on t.entity = n.entity
-        join fields f on t.entity = f.entity where t.status = 'Enabled'""",
+        select distinct entity from timeline where status = 'Enabled'
+          and entity in (select entity from narrations) and entity in (select entity from fields)""",
     "status_start": _changed(
         "jobs_status", "jobs_start_dt", "jobs_end_dt",
         f"case when {_TWICE} then 'W' when {_READY_RUN} then 'I' else jobs_status end",

@@ -36,7 +36,7 @@ CLOCK = "2024-06-01 12:30:00.000250"
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -184,7 +184,7 @@ def _spoilt_times(spark, sf_dir):
 
 
 @query
-def parse_times(spark, sf_dir):
+def parse_time_query(spark, sf_dir):
     return _spoilt_times(spark, sf_dir).select(
         "event_id", utc_text(parse_time(F.col("ts"))).alias("ts"))
 

@@ -56,7 +56,7 @@ def test_metadata_queries_avoid_costly_operators(spark, sf_dir, name):
 
 
 def test_values_stay_in_the_jvm(spark, sf_dir):
-    for name in ("sanitize_values", "parse_times", "align_schema", "time_partitions"):
+    for name in ("sanitize_values", "parse_time", "align_schema", "time_partitions"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "Python" not in text and "Exchange" not in text
 

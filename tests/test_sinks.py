@@ -114,6 +114,20 @@ def test_database_append(chain):
     chain.mode.assert_called_once_with("append")
 
 
+@pytest.mark.parametrize("flags, mode, truncate, rows", [
+    ({}, "append", None, "all"), ({"truncate": True}, "overwrite", "true", "all"),
+    ({"create": True}, "overwrite", None, "all"),
+    ({"create": True, "truncate": True}, "overwrite", None, "all"),
+    ({"create": True, "insert": False}, "overwrite", None, "none"), ({"insert": False}, None, None, None)])
+def test_database_load(chain, flags, mode, truncate, rows):
+    df = MagicMock(write=chain)
+    df.limit.return_value.write = chain
+    sinks.load_database(df, "jdbc:x:y", "t", **flags)
+    assert [c.args for c in chain.mode.call_args_list] == ([(mode,)] if mode else [])
+    assert chain.asked().get("truncate") == truncate
+    assert df.limit.called == (rows == "none") and chain.save.called == bool(rows)
+
+
 # Layers
 
 def test_layer_refresh_records_failures(spark, folder, new_table):
