@@ -98,6 +98,9 @@ class LoadMarker:
         self._storage.touch(self._name + ".done")
         self._storage.delete(self._name + ".started")
 
+    def forget(self) -> None:
+        self._storage.delete(self._name + ".done")
+
 
 def _register(spark: SparkSession, definition: TableDefinition | None, published: Published,
               df: DataFrame, partition_cols: list[str], mode: str, provider: str) -> None:

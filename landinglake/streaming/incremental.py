@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from landinglake.plans.ingest import Ingested, LoadOptions, ingest_entity
+from landinglake.plans.publish import LoadMarker
 from landinglake.sources.landing import CORRUPT_RECORD, RECORD_FORMATS, SOURCE_FILE, Landing
 from landinglake.storage import Storage, join_path
 
@@ -52,6 +53,9 @@ def ingest_new_files(spark: SparkSession, entity: str, source: str, table: str,
         if not outcome.ok and not outcome.all_rejected:
             raise RuntimeError(outcome.steps[-1].description)
         outcomes.append(outcome)
+        if number > 1:
+            # Only the newest batch can be repeated.
+            LoadMarker(batch.sparkSession, lake_path, f"{query}-{number - 2}").forget()
 
     (rows.writeStream.foreachBatch(load)
      .option("checkpointLocation", join_path(checkpoint, entity))

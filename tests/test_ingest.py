@@ -210,6 +210,7 @@ def test_incremental_in_batches(spark, place):
         put(place.landing, f"{i}.json", GOOD)
     assert len(stream(place, files_per_batch=1)) == 3
     assert spark.table(place.table).count() == 3
+    assert len([m for m in os.listdir(place.lake + "/_loads") if m.endswith(".done")]) == 2
 
 
 def test_repeated_batch_loads_once(spark, place):
