@@ -75,13 +75,17 @@ def write_rejects(df: DataFrame, path: str, run_id: int, load_id: str | None = N
     """
     writer = rejected_rows(df).withColumn(RUN_ID, F.lit(run_id)).write.mode("append")
     if load_id:
-        prefix = load_prefix(load_id)
-        storage = Storage(df.sparkSession, path)
-        storage.delete_all(storage.glob(path, prefix + "*"))
-        writer = writer.option("mapreduce.output.basename", prefix)
+        remove_rejects(df.sparkSession, path, load_id)
+        writer = writer.option("mapreduce.output.basename", load_prefix(load_id))
     writer.json(path)
 
 
+def remove_rejects(spark: SparkSession, path: str, load_id: str) -> int:
+    """Delete the reject files of one load."""
+    storage = Storage(spark, path)
+    return storage.delete_all(storage.glob(path, load_prefix(load_id) + "*"))
+
+
 def append_files(df: DataFrame, path: str) -> None:
     """Append a few rows to a record table that many jobs write to at the same time.
 

@@ -9,6 +9,7 @@ costs its tasks only, and no parsed row passes through the driver.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -27,7 +28,8 @@ from landinglake.operators.audit import FAILED, Step, fold_status, step_frame
 from landinglake.operators.metastore import entity_mapping
 from landinglake.operators.quality import (accepted_rows, drop_null_columns, has_payload,
                                            profile_metrics, read_profile)
-from landinglake.operators.sinks import append_database, append_files, purge_files, write_rejects
+from landinglake.operators.sinks import (append_database, append_files, purge_files,
+                                        remove_rejects, write_rejects)
 from landinglake.operators.tables import RUN_ID, schema_rows
 from landinglake.plans.publish import publish
 from landinglake.sources.lake import find_table
@@ -180,11 +182,12 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
     """Load one entity's folder into its table; a failure is an outcome, not an exception.
 
     If every record is malformed the rejects are kept, the source files are deleted, and
-    the table is left alone.
+    the table is left alone. A load that fails takes its rejects back, so that the next try
+    does not store them again.
     """
     step = Step.start(entity, LOAD_STEP)
     outcome = Ingested(entity, ok=False)
-    staged = None
+    staged, rejects_id = None, load_id or uuid.uuid4().hex
     try:
         landing = landing or read_landing(spark, source, options.source_format,
                                           options.schema_of(entity), options.read_options)
@@ -196,7 +199,7 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
         outcome.rejects = step.reject_records_cnt = staged.rejects
         outcome.lost_values = staged.lost_values
         if staged.rejects:
-            write_rejects(staged.rows, reject_path, run_id, load_id)
+            write_rejects(staged.rows, reject_path, run_id, rejects_id)
         if staged.rejects and staged.rejects == staged.records:
             outcome.all_rejected = True
             purge_files(spark, outcome.files)
@@ -217,6 +220,8 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
     except Exception as error:
         log.exception("%s: load failed", entity)
         outcome.steps.append(step.end(FAILED, str(error)))
+        if outcome.rejects:
+            remove_rejects(spark, reject_path, rejects_id)
     finally:
         if staged:
             Storage(spark, staged.folder).delete(staged.folder)

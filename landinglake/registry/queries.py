@@ -452,7 +452,8 @@ def _step_cells(spark, sf_dir):
     state = F.when(F.col("o_orderpriority") == "1-URGENT", "Failed: late").otherwise("Success")
     both = F.to_json(F.array(
         F.array(entity, F.lit("extract"), start, end, F.lit("Success"), F.lit(None).cast("string")),
-        F.array(entity, F.lit("load"), end, end, state, F.concat(F.lit('says "'), "o_orderpriority", F.lit('"')))),
+        F.array(entity, F.lit("load"), end, end, state,
+                F.concat(F.lit('says "'), "o_orderpriority", F.lit('"')))),
         {"ignoreNullFields": "false"})
     cell = F.when(F.col("o_orderstatus") == "P", "[]").otherwise(both)
     return order.select("o_orderkey", cell.alias("cell"))

@@ -50,11 +50,6 @@ def query_rows(spark: SparkSession, sql: str, args: Mapping[str, Any] | None = N
     return spark.sql(sql, args=dict(args or {}), **tables)
 
 
-def read_table_files(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Files of a table without the catalog; schemas of earlier loads are merged."""
-    return spark.read.format(file_format).option("mergeSchema", "true").load(path)
-
-
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a record table, whichever append they came with."""
     return spark.read.option("mergeSchema", "true").parquet(path).drop("append")

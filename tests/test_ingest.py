@@ -265,3 +265,23 @@ def test_nothing_to_load(place):
     assert place.all() == []
     os.makedirs(place.landing + "/empty")
     assert place.all() == []
+
+
+def test_failed_load_takes_its_rejects_back(spark, place, monkeypatch):
+    put(place.landing, "a.json", GOOD + "x\n")
+
+    def broken(*_args, **_kwargs):
+        raise OSError("store is away")
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "publish", broken)
+        assert not place.entity().ok
+    assert place.entity().ok
+    assert read_rejects(spark, place.errors).count() == 1
+
+
+def test_landing_in_partition_folders(spark, place):
+    put(place.landing, "dt=2024-01-01/a.json", GOOD)
+    put(place.landing, "dt=2024-01-02/a.json", GOOD + "x\n")
+    done = place.entity()
+    assert (done.ok, done.records, done.rejects, len(done.files)) == (True, 3, 1, 2)
+    assert {str(r.dt) for r in spark.table(place.table).collect()} == {"2024-01-01", "2024-01-02"}
