@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 
 import pytest
 from pyspark import TaskContext
@@ -282,3 +283,45 @@ def test_partition_value_types(spark, folder, new_table, value):
 def test_partition_columns_are_cleaned(spark, folder, new_table):
     publish(spark.sql("select 1 v, 'x' `Event Day`"), new_table, folder, partition_cols=["Event Day"])
     assert find_table(spark, new_table).partitions == {"event_day": "string"}
+
+
+@pytest.mark.parametrize("algorithm", ["1", "2"])
+@pytest.mark.parametrize("partition_cols", [[], ["day"]])
+def test_failing_write_leaves_nothing(spark, folder, new_table, algorithm, partition_cols):
+    """With the second algorithm finished tasks have put their files in place already."""
+    key = "mapreduce.fileoutputcommitter.algorithm.version"
+    publish(spark.sql("select 0L v, 0L day"), new_table, folder, partition_cols=partition_cols)
+    before = files(folder)
+    df = spark.range(0, 800, 1, 8).selectExpr(
+        "if(id = 799, raise_error('no'), id) v", "id % 40 day")
+    spark.conf.set(key, algorithm)
+    try:
+        with pytest.raises(Exception, match="no"):
+            publish(df, new_table, partition_cols=partition_cols)
+    finally:
+        spark.conf.unset(key)
+    assert files(folder) == before and spark.table(new_table).count() == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_sequence_of_loads(spark, folder, new_table, seed):
+    """Against a dictionary of days; some loads fail and must not show."""
+    chance, model = random.Random(seed), {}
+    for number in range(6):
+        mode = chance.choice(["append", "append", "overwrite", "dynamic"])
+        fails, days = chance.random() < 0.3, chance.sample(range(5), chance.randrange(1, 4))
+        new = {day: [number * 100 + i for i in range(chance.randrange(1, 4))] for day in days}
+        df = spark.createDataFrame([(v, d) for d, vs in new.items() for v in vs], "v long, day long")
+        try:
+            publish(df, new_table, folder, mode=mode, partition_cols=["day"],
+                    before_commit=refuse if fails else None)
+        except Refused:
+            continue
+        if mode == "overwrite":
+            model = {}
+        for day, values in new.items():
+            model[day] = values + (model.get(day, []) if mode == "append" else [])
+    expected = sorted((v, day) for day, values in model.items() for v in values)
+    assert content(spark, new_table, "v", "day") == expected
+    assert sorted(tuple(r) for r in spark.read.parquet(folder).select("v", "day").collect()) == expected
+    assert {r[0] for r in spark.sql(f"show partitions {new_table}").collect()} == {f"day={d}" for d in model}
