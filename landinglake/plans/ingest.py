@@ -79,6 +79,7 @@ class Ingested:
     all_rejected: bool = False
     records: int = 0
     rejects: int = 0
+    accepted: int = 0
     lost_values: int = 0
     steps: list[Step] = field(default_factory=list)
     files: tuple[str, ...] = ()
@@ -125,6 +126,7 @@ class Staged:
     profile: dict[str, int]
     records: int
     rejects: int
+    accepted: int
     lost_values: int
 
 
@@ -146,13 +148,14 @@ def stage(landing: Landing, run_id: int, table_types: Mapping[str, str] | None =
         lost = lost + F.count_if(moment.isNotNull() & parse_time(moment).isNull())
     seen = Observation()
     spark, folder = rows.sparkSession, fresh_folder(rows.sparkSession, label)
-    (rows.observe(seen, *profile_metrics(columns), lost.alias("lost"))
-     .filter(F.col(CORRUPT_RECORD).isNotNull() | has_payload(payload))
-     .write.parquet(folder))
+    corrupt = F.col(CORRUPT_RECORD).isNotNull()
+    accepted = F.count_if(~corrupt & has_payload(payload))
+    (rows.observe(seen, *profile_metrics(columns), accepted.alias("accepted"), lost.alias("lost"))
+     .filter(corrupt | has_payload(payload)).write.parquet(folder))
     profile = read_profile(seen.get, columns)
     rejects = profile.pop(CORRUPT_RECORD)
     return Staged(spark.read.schema(rows.schema).parquet(folder), folder, profile,
-                  seen.get["rows"], rejects, seen.get["lost"])
+                  seen.get["rows"], rejects, seen.get["accepted"], seen.get["lost"])
 
 
 def _quoted(name: str):
@@ -178,12 +181,13 @@ def shape(staged: Staged, base_column: str | None) -> DataFrame:
 
 def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lake_path: str,
                   reject_path: str, run_id: int = -1, options: LoadOptions = LoadOptions(),
-                  landing: Landing | None = None, load_id: str | None = None) -> Ingested:
+                  landing: Landing | None = None, load_id: str | None = None,
+                  purge_rejected: bool = True) -> Ingested:
     """Load one entity's folder into its table; a failure is an outcome, not an exception.
 
     If every record is malformed the rejects are kept, the source files are deleted, and
-    the table is left alone. A load that fails takes its rejects back, so that the next try
-    does not store them again.
+    the table is left alone, as it is if all records are blank. A load that fails takes its
+    rejects back, so that the next try does not store them again.
     """
     step = Step.start(entity, LOAD_STEP)
     outcome = Ingested(entity, ok=False)
@@ -197,14 +201,15 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
                        f"stage-{entity}")
         outcome.records = step.records_cnt = staged.records
         outcome.rejects = step.reject_records_cnt = staged.rejects
-        outcome.lost_values = staged.lost_values
+        outcome.accepted, outcome.lost_values = staged.accepted, staged.lost_values
         if staged.rejects:
             write_rejects(staged.rows, reject_path, run_id, rejects_id)
         if staged.rejects and staged.rejects == staged.records:
             outcome.all_rejected = True
-            purge_files(spark, outcome.files)
+            if purge_rejected:
+                purge_files(spark, outcome.files)
             raise AllRecordsRejected(f"{entity}: all records are malformed")
-        if staged.records:
+        if staged.accepted:
             published = publish(
                 shape(staged, options.base_column), table, lake_path, mode=options.mode,
                 partition_cols=list(options.partition_cols), compression=options.compression,
@@ -236,13 +241,14 @@ def refresh_entity(spark: SparkSession, entity: str, source: str, table: str, la
     The source files go last, and only those that were read. An entity with nothing but
     malformed records counts as done, without column types and mapping.
     """
-    outcome = ingest_entity(spark, entity, source, table, lake_path, reject_path, run_id, options)
+    outcome = ingest_entity(spark, entity, source, table, lake_path, reject_path, run_id, options,
+                            purge_rejected=purge)
     try:
         recorder.steps(step_frame(spark, outcome.steps, job_run_id))
         if outcome.all_rejected:
             return replace(outcome, ok=True)
         if outcome.ok:
-            if outcome.records:
+            if outcome.accepted:
                 recorder.schema(schema_rows(spark, table, clean_name(entity), run_id))
             recorder.mapping(entity_mapping(spark, run_id, entity))
             if purge:

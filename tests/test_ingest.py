@@ -285,3 +285,17 @@ def test_landing_in_partition_folders(spark, place):
     done = place.entity()
     assert (done.ok, done.records, done.rejects, len(done.files)) == (True, 3, 1, 2)
     assert {str(r.dt) for r in spark.table(place.table).collect()} == {"2024-01-01", "2024-01-02"}
+
+
+def test_only_blank_records(spark, place):
+    put(place.landing, "one/a.json", '{"id": null}\n{}\n')
+    done, = place.all()
+    assert (done.ok, done.records, done.accepted) == (True, 2, 0)
+    assert not spark.catalog.tableExists(f"{place.table}_one")
+
+
+def test_without_purge(spark, place):
+    put(place.landing, "one/a.json", GOOD)
+    put(place.landing, "bad/a.json", "x\n")
+    assert [d.ok for d in place.all(purge=False)] == [True, True]
+    assert all(os.path.exists(f"{place.landing}/{e}/a.json") for e in ("one", "bad"))
