@@ -7,15 +7,13 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landinglake.functions.quoting import quoted
+
 # Names of the derived columns and the audit time format.
 TIME_PARTS = ("year", "month", "day", "hour")
 AUDIT_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def parse_time(column: Column) -> Column:
     """Timestamp of a text, date, timestamp or number (epoch seconds); null where unreadable."""
     return F.try_to_timestamp(column)
@@ -23,7 +21,7 @@ def parse_time(column: Column) -> Column:
 
 def add_time_parts(df: DataFrame, column: str) -> DataFrame:
     """Append year, month, day and hour of a timestamp column."""
-    moment = _quoted(column)
+    moment = F.col(quoted(column))
     return df.withColumns(dict(zip(TIME_PARTS, (
         F.year(moment), F.month(moment), F.dayofmonth(moment), F.hour(moment)))))
 

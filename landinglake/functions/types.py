@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landinglake.functions.quoting import quoted
+
 # How a load's types enter the catalog.
 WIDENED = {"int": "bigint"}
 EXACT_DOUBLE = "decimal(38,6)"
@@ -44,23 +46,21 @@ def aligned_type(dtype: str, table_type: str | None) -> str:
     return EXACT_DOUBLE
 
 
-def _column(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
-def lenient_cast(column: Column, dtype: str, target: str) -> Column:
-    """Cast that gives null where a value does not fit.
+def lenient_cast(name: str, dtype: str, target: str) -> str:
+    """SQL text of a cast that gives null where a value does not fit.
 
     Text becomes an integer by its whole part, as a cast without ANSI does. What cannot be a
     number is sorted out by pattern: a failing cast costs an exception per value.
     """
+    column, value = quoted(name), quoted(name)
     if dtype == "string" and target in INTEGRAL:
-        whole = F.concat(F.regexp_extract(column, NUMBER, 1), F.lit("0"),
-                         F.regexp_extract(column, NUMBER, 2))
-        return F.when(column.rlike(NUMBER), whole.try_cast(target))
-    if dtype == "string" and target.startswith("decimal"):
-        return F.when(column.rlike(EXPONENT_NUMBER), column.try_cast(target))
-    return column.try_cast(target)
+        sign, digits = (f"regexp_extract({column}, r'{NUMBER}', {i})" for i in (1, 2))
+        pattern, value = NUMBER, f"concat({sign}, '0', {digits})"
+    elif dtype == "string" and target.startswith("decimal"):
+        pattern = EXPONENT_NUMBER
+    else:
+        return f"try_cast({column} as {target})"
+    return f"case when {column} rlike r'{pattern}' then try_cast({value} as {target}) end"
 
 
 def align_columns(df: DataFrame, table_types: Mapping[str, str] | None = None) -> DataFrame:
@@ -72,28 +72,27 @@ def align_columns(df: DataFrame, table_types: Mapping[str, str] | None = None) -
     select = []
     for name, dtype in sorted(df.dtypes, key=lambda pair: pair[0] not in known):
         target = aligned_type(dtype, known.get(name))
-        column = _column(name)
-        select.append(column if target == dtype
-                      else lenient_cast(column, dtype, target).alias(name))
-    return df.select(*select)
+        select.append(quoted(name) if target == dtype
+                      else f"{lenient_cast(name, dtype, target)} as {quoted(name)}")
+    return df.selectExpr(*select)
 
 
 def lost_casts(df: DataFrame, table_types: Mapping[str, str] | None = None,
                names: Mapping[str, str] | None = None) -> Column:
-    """Aggregate: how many values of ``df`` the alignment turns into null.
+    """Aggregate: how many values of each converted column the alignment turns into null.
 
-    ``names`` gives the table's name of a column where it differs.
+    The result is an array of counts. ``names`` gives the table's name of a column where it
+    differs.
     """
     known = table_types or {}
-    total = F.lit(0).cast("bigint")
+    counts = []
     for name, dtype in df.dtypes:
         target = aligned_type(dtype, known.get((names or {}).get(name, name)))
-        column = _column(name.replace("`", "``"))
         if target == dtype or (dtype, target) in WIDENED.items():
             continue
         if (dtype, target) == ("double", EXACT_DOUBLE):
-            lost = F.isnan(column) | (F.abs(column) >= F.lit(EXACT_DOUBLE_LIMIT))
+            lost = f"isnan({quoted(name)}) or abs({quoted(name)}) >= {EXACT_DOUBLE_LIMIT}D"
         else:
-            lost = column.isNotNull() & lenient_cast(column, dtype, target).isNull()
-        total = total + F.count_if(lost)
-    return total
+            lost = f"{quoted(name)} is not null and {lenient_cast(name, dtype, target)} is null"
+        counts.append(f"count_if({lost})")
+    return F.expr(f"array({', '.join(counts)})").cast("array<bigint>")

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landinglake.functions.quoting import literal, quoted
 from landinglake.storage import join_path
 
 # Fixed value: folder name of a null partition value.
@@ -47,10 +48,8 @@ def read_touched(rows: Iterable[Mapping[str, object]]) -> list[dict[str, object]
 
 def partition_clause(values: Mapping[str, object]) -> str:
     """``PARTITION (...)`` text of one tuple."""
-    def literal(value: object) -> str:
+    def text(value: object) -> str:
         if value is None:
             return "null"
-        if isinstance(value, (bool, int)):
-            return str(value).lower()
-        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return "PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in values.items()) + ")"
+        return str(value).lower() if isinstance(value, (bool, int)) else literal(str(value))
+    return "PARTITION (" + ", ".join(f"{quoted(k)}={text(v)}" for k, v in values.items()) + ")"

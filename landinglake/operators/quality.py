@@ -7,34 +7,24 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landinglake.functions.quoting import literal, quoted
 from landinglake.sources.landing import CORRUPT_RECORD
 
 
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def column_profile(df: DataFrame) -> DataFrame:
     """Non-null count of every column, of whatever type: (column_name, non_null_cnt).
 
     One pass; each task sends a single row of counts.
     """
-    counts = df.agg(*[F.count(_column(c)).alias(c) for c in df.columns])
-    return counts.unpivot([], [_column(c) for c in df.columns], "column_name", "non_null_cnt")
-
-
-def profile_metrics(columns: Iterable[str]) -> list[Column]:
-    """The same counts and the row count as metrics that ride along with a write.
-
-    The names are positions (``c0``, ``c1``...), so that no column name clashes.
-    """
-    return [F.count(F.lit(1)).alias("rows"),
-            *[F.count(_column(c)).alias(f"c{i}") for i, c in enumerate(columns)]]
+    counts = df.selectExpr(*[f"count({quoted(c)}) as c{i}" for i, c in enumerate(df.columns)])
+    pairs = ", ".join(f"{literal(c)}, c{i}" for i, c in enumerate(df.columns))
+    return counts.selectExpr(
+        f"stack({len(df.columns)}, {pairs}) as (column_name, non_null_cnt)")
 
 
-def read_profile(metrics: Mapping[str, int], columns: Iterable[str]) -> dict[str, int]:
-    """Column to non-null count, from the metrics of :func:`profile_metrics`."""
-    return {c: metrics[f"c{i}"] for i, c in enumerate(columns)}
+def profile_metric(columns: Iterable[str]) -> Column:
+    """The same counts as a metric that rides along with a write: an array, in column order."""
+    return F.expr(f"array({', '.join(f'count({quoted(c)})' for c in columns)})")
 
 
 def null_columns(profile: Mapping[str, int]) -> list[str]:
@@ -50,7 +40,8 @@ def drop_null_columns(df: DataFrame, profile: Mapping[str, int] | None = None) -
 
 def has_payload(payload: Iterable[str]) -> Column:
     """Is any of the payload columns set? Lineage and run columns always are."""
-    return F.coalesce(*[F.when(_column(c).isNotNull(), True) for c in payload], F.lit(False))
+    tests = "".join(f"case when {quoted(c)} is not null then true end, " for c in payload)
+    return F.expr(f"coalesce({tests}false)")
 
 
 def drop_blank_rows(df: DataFrame, payload: Iterable[str]) -> DataFrame:
@@ -58,17 +49,17 @@ def drop_blank_rows(df: DataFrame, payload: Iterable[str]) -> DataFrame:
 
 
 def accepted_rows(df: DataFrame) -> DataFrame:
-    return df.filter(_column(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD)
+    return df.filter(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD)
 
 
 def rejected_rows(df: DataFrame, *keep: str) -> DataFrame:
     """Malformed records, verbatim."""
-    return df.filter(_column(CORRUPT_RECORD).isNotNull()).select(CORRUPT_RECORD, *keep)
+    return df.filter(F.col(CORRUPT_RECORD).isNotNull()).select(CORRUPT_RECORD, *keep)
 
 
 def reject_summary(df: DataFrame, *keys: str) -> DataFrame:
     """Records, rejects, and whether there is nothing but rejects; per key if any is given."""
-    rows, rejects = F.count(F.lit(1)), F.count(_column(CORRUPT_RECORD))
+    rows, rejects = F.count(F.lit(1)), F.count(F.col(CORRUPT_RECORD))
     return df.groupBy(*keys).agg(
         rows.alias("records_cnt"), rejects.alias("reject_records_cnt"),
         ((rows > 0) & (rows == rejects)).alias("all_rejected"))

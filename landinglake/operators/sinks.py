@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landinglake.functions.quoting import quoted
 from landinglake.operators.quality import rejected_rows
 from landinglake.operators.tables import RUN_ID
 from landinglake.sources.lake import snapshots
@@ -40,7 +41,7 @@ def spread(df: DataFrame, partition_cols: Iterable[str] | None) -> DataFrame:
     one over several tasks, so one hot partition value does not become one task.
     """
     columns = list(partition_cols or [])
-    return df.hint("rebalance", *[F.col(f"`{c}`") for c in columns]) if columns else df
+    return df.hint("rebalance", *map(quoted, columns)) if columns else df
 
 
 def write_files(df: DataFrame, path: str, file_format: str | None = None,
@@ -147,10 +148,9 @@ def create_empty(df: DataFrame, table: str, path: str | None = None) -> None:
 
 def _texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     """Apply ``change`` to the text columns' values that begin with a backslash."""
-    texts = [n for n, t in df.dtypes if t == "string"]
-    return df.withColumns({
-        n: F.when(F.col(f"`{n}`").startswith("\\"), change(F.col(f"`{n}`")))
-        .otherwise(F.col(f"`{n}`")) for n in texts}) if texts else df
+    texts = {n: F.col(quoted(n)) for n, t in df.dtypes if t == "string"}
+    return df.withColumns({n: F.when(c.startswith("\\"), change(c)).otherwise(c)
+                           for n, c in texts.items()}) if texts else df
 
 
 def stage_csv(df: DataFrame, path: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from landinglake.errors import LocationMismatch
+from landinglake.functions.quoting import literal, quoted
 from landinglake.functions.times import TIME_PARTS
 from landinglake.operators.partitions import partition_clause
 from landinglake.sources.lake import TableDefinition, find_table
@@ -46,11 +47,10 @@ def _ddl(fields: Iterable[StructField]) -> str:
 
 def create_table(spark: SparkSession, table: str, path: str, schema: StructType,
                  partition_cols: list[str], provider: str = "parquet") -> None:
-    names = ", ".join(f"`{p}`" for p in partition_cols)
+    names = ", ".join(map(quoted, partition_cols))
     partitioned = f"PARTITIONED BY ({names})" if names else ""
-    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING {provider} {partitioned} "
-              f"LOCATION '{location}'")
+              f"LOCATION {literal(path)}")
 
 
 def drop_definition(spark: SparkSession, table: str) -> None:

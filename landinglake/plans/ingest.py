@@ -22,12 +22,13 @@ from pyspark.sql.types import StructType
 
 from landinglake.errors import AllRecordsRejected
 from landinglake.functions.names import clean_name
+from landinglake.functions.quoting import quoted
 from landinglake.functions.times import add_time_parts, parse_time
 from landinglake.functions.types import lost_casts
 from landinglake.operators.audit import FAILED, Step, fold_status, step_frame
 from landinglake.operators.metastore import entity_mapping
 from landinglake.operators.quality import (accepted_rows, drop_null_columns, has_payload,
-                                           profile_metrics, read_profile)
+                                           profile_metric)
 from landinglake.operators.sinks import (append_database, append_files, purge_files,
                                         remove_rejects, write_rejects)
 from landinglake.operators.tables import RUN_ID, schema_rows
@@ -141,25 +142,24 @@ def stage(landing: Landing, run_id: int, table_types: Mapping[str, str] | None =
     columns, payload = rows.columns, landing.payload
     base_column = base_column and find_column(payload, base_column)
     names = {c: clean_name(c) for c in payload}
-    lost = lost_casts(rows.select(*[_quoted(c) for c in payload if c != base_column]),
-                      table_types, names)
+    others = rows.selectExpr(*[quoted(c) for c in payload if c != base_column])
+    lost = [lost_casts(others, table_types, names).alias("lost")]
     if base_column:
-        moment = _quoted(base_column)
-        lost = lost + F.count_if(moment.isNotNull() & parse_time(moment).isNull())
+        moment = F.col(quoted(base_column))
+        lost.append(F.count_if(moment.isNotNull() & parse_time(moment).isNull()).alias("late"))
     seen = Observation()
     spark, folder = rows.sparkSession, fresh_folder(rows.sparkSession, label)
     corrupt = F.col(CORRUPT_RECORD).isNotNull()
     accepted = F.count_if(~corrupt & has_payload(payload))
-    (rows.observe(seen, *profile_metrics(columns), accepted.alias("accepted"), lost.alias("lost"))
+    (rows.observe(seen, F.count(F.lit(1)).alias("rows"), accepted.alias("accepted"),
+                  profile_metric(columns).alias("profile"), *lost)
      .filter(corrupt | has_payload(payload)).write.parquet(folder))
-    profile = read_profile(seen.get, columns)
+    counts = seen.get
+    profile = dict(zip(columns, counts["profile"]))
     rejects = profile.pop(CORRUPT_RECORD)
     return Staged(spark.read.schema(rows.schema).parquet(folder), folder, profile,
-                  seen.get["rows"], rejects, seen.get["accepted"], seen.get["lost"])
-
-
-def _quoted(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")
+                  counts["rows"], rejects, counts["accepted"],
+                  sum(counts["lost"]) + counts.get("late", 0))
 
 
 def find_column(columns: Iterable[str], name: str) -> str | None:
@@ -174,7 +174,7 @@ def shape(staged: Staged, base_column: str | None) -> DataFrame:
         wanted, base_column = base_column, find_column(rows.columns, base_column)
         if base_column is None:
             raise ValueError(f"no column {wanted!r} to derive partitions from")
-        rows = rows.withColumn(base_column, parse_time(_quoted(base_column)))
+        rows = rows.withColumn(base_column, parse_time(F.col(quoted(base_column))))
         rows = add_time_parts(rows, base_column)
     return drop_null_columns(rows, staged.profile)
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.functions.names import clean_columns, clean_name
+from landinglake.functions.quoting import quoted
 from landinglake.functions.types import align_columns
 from landinglake.operators.audit import Step
 from landinglake.operators.partitions import read_touched, touched_metric
@@ -117,9 +118,9 @@ def _register(spark: SparkSession, definition: TableDefinition | None, published
 def _stored_types(df: DataFrame, definition: TableDefinition | None) -> DataFrame:
     """Bring aligned columns to the type the table declares, so that its files stay readable."""
     declared = {**definition.columns, **definition.partitions} if definition else {}
-    return df.select(*[
-        F.col(f"`{n}`").try_cast(declared[n]).alias(n) if declared.get(n, t) != t
-        else F.col(f"`{n}`") for n, t in df.dtypes])
+    return df.selectExpr(*[
+        f"try_cast({quoted(n)} as {declared[n]}) as {quoted(n)}" if declared.get(n, t) != t
+        else quoted(n) for n, t in df.dtypes])
 
 
 def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "append",

@@ -37,7 +37,7 @@ def test_lost_values_are_null_and_counted(spark):
     aligned = align_columns(df, {"a": "bigint"}).collect()
     assert [r.a for r in aligned] == [1, None, None, 2, None]
     assert [r.b is None for r in aligned] == [False, True, True, True, True]
-    assert df.agg(lost_casts(df, {"a": "bigint"}).alias("n")).first().n == 2 + 3
+    assert df.agg(lost_casts(df, {"a": "bigint"})).first()[0] == [2, 3]
 
 
 TEXTS = ["1", "-1", "+7", " 12 ", "12.5", "-12.9", ".5", "-.5", "5.", ".", "+.", "-.", " . ", "", " ", "+", "-", "1e3",
@@ -50,7 +50,7 @@ TEXTS = ["1", "-1", "+7", " 12 ", "12.5", "-12.9", ".5", "-.5", "5.", ".", "+.",
                                     "double", "boolean", "date", "timestamp"])
 def test_text_casts_as_without_ansi(spark, target):
     df = spark.createDataFrame([(t,) for t in [*TEXTS, "true", "n", "2024-02-29", "2024-2-9 1:2"]], "t string")
-    ours = {r.t: r.c for r in df.select("t", lenient_cast(F.col("t"), "string", target).alias("c")).collect()}
+    ours = {r.t: r.c for r in df.select("t", F.expr(lenient_cast("t", "string", target)).alias("c")).collect()}
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
         theirs = {r.t: r.c for r in df.selectExpr("t", f"cast(t as {target}) c").collect()}
