@@ -42,13 +42,19 @@ class Published:
     skipped: bool = False
 
 
-def load_files(spark: SparkSession, path: str, load_id: str, depth: int) -> list[str]:
-    return Storage(spark, path).glob(path, *["*=*"] * depth, load_prefix(load_id) + "*")
-
-
 def remove_load(spark: SparkSession, path: str, load_id: str, depth: int) -> int:
     """Delete the files one load has written, and nothing else."""
-    return Storage(spark, path).delete_all(load_files(spark, path, load_id, depth))
+    storage = Storage(spark, path)
+    return storage.delete_all(storage.glob(path, *["*=*"] * depth, load_prefix(load_id) + "*"))
+
+
+def carries_name(spark: SparkSession, published: Published) -> bool:
+    """Do the files of a load have its name? Looked up in one of its partitions."""
+    values = published.partitions[0] if published.partitions else {}
+    levels = [f"{k}={v}" if type(v) is int else f"{k}=*" for k, v in values.items()]
+    found = Storage(spark, published.path).glob(
+        published.path, *levels, load_prefix(published.load_id) + "*")
+    return bool(found)
 
 
 def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
@@ -181,8 +187,7 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
         published.steps.append(step.end())
 
         # Replacing goes by file name; a commit protocol that ignores it must not cost data.
-        if mode != "append" and published.rows and \
-                not load_files(spark, path, published.load_id, depth):
+        if mode != "append" and published.rows and not carries_name(spark, published):
             raise RuntimeError(f"the files written to {path} do not carry the load's name")
 
         step = Step.start(entity, "Update_glue_schema")
