@@ -6,7 +6,7 @@ Column names follow the metadata schema, its spelling (``subsriber_id``) include
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.operators.joins import skew_join
@@ -123,7 +123,7 @@ def run_entities(mapping: DataFrame, run_id: int) -> DataFrame:
         {"run_id": run_id}, mapping=mapping)
 
 
-def entity_mapping(spark, run_id: int, entity: str) -> DataFrame:
+def entity_mapping(spark: SparkSession, run_id: int, entity: str) -> DataFrame:
     """The row that records that a run has loaded an entity."""
     return spark.createDataFrame([(run_id, entity)], "process_execution_id int, entity string")
 
@@ -152,7 +152,7 @@ def _change_status(rows: DataFrame, changes: DataFrame, status: str, time_column
     changed = F.coalesce(F.col("changed"), F.lit(False))
     fresh = {status: F.col("new_status"), time_column: now, "updated_dt": now,
              "updated_by": F.lit(updated_by)}
-    joined = rows.join(_updates(changes), "id", "left")
+    joined = skew_join(rows, _updates(changes), "id", "left")
     return joined.select(*[
         F.when(changed, fresh[c]).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c)
         for c in rows.columns])

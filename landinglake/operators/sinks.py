@@ -6,7 +6,6 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,18 +179,17 @@ def bulk_load(df: DataFrame, table: str, *, path: str | None = None, truncate: b
     staged = fresh_folder(spark, "bulk")
     stage_csv(df, staged)
     rows = read_staged_csv(spark, staged, df)
-    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=truncate)
+    rows.select(*map(quoted, spark.table(table).columns)).write.insertInto(table, overwrite=truncate)
     Storage(spark, staged).delete(staged)
 
 
 def insert_rows(df: DataFrame, table: str) -> None:
     """Append to a lake table by column name, creating it on first use."""
-    try:
-        columns = df.sparkSession.table(table).columns
-    except AnalysisException:
-        df.write.mode("append").format("parquet").saveAsTable(table)
-        return
-    df.select(*columns).write.insertInto(table)
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df.select(*map(quoted, spark.table(table).columns)).write.insertInto(table)
+    else:
+        df.write.format("parquet").saveAsTable(table)
 
 
 def purge_files(spark: SparkSession, files: Iterable[str]) -> int:
