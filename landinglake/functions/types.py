@@ -79,13 +79,12 @@ def align_columns(df: DataFrame, table_types: Mapping[str, str] | None = None) -
 
 def lost_casts(df: DataFrame, table_types: Mapping[str, str] | None = None,
                names: Mapping[str, str] | None = None) -> Column:
-    """Aggregate: how many values of each converted column the alignment turns into null.
+    """How many values of a row the alignment turns into null.
 
-    The result is an array of counts. ``names`` gives the table's name of a column where it
-    differs.
+    ``names`` gives the table's name of a column where it differs.
     """
     known = table_types or {}
-    counts = []
+    tests = []
     for name, dtype in df.dtypes:
         target = aligned_type(dtype, known.get((names or {}).get(name, name)))
         if target == dtype or (dtype, target) in WIDENED.items():
@@ -94,5 +93,5 @@ def lost_casts(df: DataFrame, table_types: Mapping[str, str] | None = None,
             lost = f"isnan({quoted(name)}) or abs({quoted(name)}) >= {EXACT_DOUBLE_LIMIT}D"
         else:
             lost = f"{quoted(name)} is not null and {lenient_cast(name, dtype, target)} is null"
-        counts.append(f"count_if({lost})")
-    return F.expr(f"array({', '.join(counts)})").cast("array<bigint>")
+        tests.append(f"case when {lost} then 1 end")
+    return F.expr(f"size(array_compact(array({', '.join(tests)})))" if tests else "0")

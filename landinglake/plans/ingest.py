@@ -44,6 +44,9 @@ PARALLEL_ENTITIES = 5
 
 LOAD_STEP = "raw_data_to_datalake"
 
+# Columns that exist only while a folder is staged.
+PAYLOAD_FLAG, LOST_FLAG = "_landing_has_payload", "_landing_lost_values"
+
 Item = TypeVar("Item")
 
 
@@ -143,23 +146,26 @@ def stage(landing: Landing, run_id: int, table_types: Mapping[str, str] | None =
     base_column = base_column and find_column(payload, base_column)
     names = {c: clean_name(c) for c in payload}
     others = rows.selectExpr(*[quoted(c) for c in payload if c != base_column])
-    lost = [lost_casts(others, table_types, names).alias("lost")]
+    lost = lost_casts(others, table_types, names)
     if base_column:
         moment = F.col(quoted(base_column))
-        lost.append(F.count_if(moment.isNotNull() & parse_time(moment).isNull()).alias("late"))
+        lost = lost + F.when(moment.isNotNull() & parse_time(moment).isNull(), 1).otherwise(0)
     seen = Observation()
     spark, folder = rows.sparkSession, fresh_folder(rows.sparkSession, label)
-    corrupt = F.col(CORRUPT_RECORD).isNotNull()
-    accepted = F.count_if(~corrupt & has_payload(payload))
-    (rows.observe(seen, F.count(F.lit(1)).alias("rows"), accepted.alias("accepted"),
-                  profile_metric(columns).alias("profile"), *lost)
-     .filter(corrupt | has_payload(payload)).write.parquet(folder))
+    # What takes more than a look at a column is computed before the metrics, which are
+    # interpreted, in generated code.
+    flagged = rows.select("*", has_payload(payload).alias(PAYLOAD_FLAG), lost.alias(LOST_FLAG))
+    corrupt, filled = F.col(CORRUPT_RECORD).isNotNull(), F.col(PAYLOAD_FLAG)
+    (flagged.observe(seen, F.count(F.lit(1)).alias("rows"),
+                     F.count_if(~corrupt & filled).alias("accepted"),
+                     F.coalesce(F.sum(LOST_FLAG), F.lit(0)).alias("lost"),
+                     profile_metric(columns).alias("profile"))
+     .filter(corrupt | filled).drop(PAYLOAD_FLAG, LOST_FLAG).write.parquet(folder))
     counts = seen.get
     profile = dict(zip(columns, counts["profile"]))
     rejects = profile.pop(CORRUPT_RECORD)
     return Staged(spark.read.schema(rows.schema).parquet(folder), folder, profile,
-                  counts["rows"], rejects, counts["accepted"],
-                  sum(counts["lost"]) + counts.get("late", 0))
+                  counts["rows"], rejects, counts["accepted"], counts["lost"])
 
 
 def find_column(columns: Iterable[str], name: str) -> str | None:
