@@ -42,10 +42,15 @@ def accent_marks() -> str:
     return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Mn")
 
 
+@lru_cache(maxsize=None)
+def _folding() -> dict[int, str | None]:
+    return {ord(source): base for source, base in accent_table().items()} | dict.fromkeys(
+        map(ord, accent_marks()))
+
+
 def clean_name(name: str) -> str:
     """Clean one name on the driver, e.g. a column or an entity."""
-    sources, bases = accent_table().keys(), accent_table().values()
-    folded = name.translate(str.maketrans("".join(sources), "".join(bases), accent_marks()))
+    folded = name.translate(_folding())
     words = re.sub(CAMEL_HUMP, r"\1_\2", re.sub(SEPARATORS, "_", folded, flags=re.ASCII))
     return words.lower()
 
