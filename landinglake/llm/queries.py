@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landinglake.llm import ngram_join, packing, substrings, token_counts
+from landinglake.llm import (decontamination, language, ngram_join, packing, quality_risk,
+                             secret_scan, substrings, token_counts)
 from landinglake.llm.tables import documents, show_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,37 @@ def op5_substring_dedup(spark, sf_dir):
 def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir),
                                      tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
+def _remainder(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query
+def op6_secret_ownership(spark, sf_dir):
+    found = secret_scan.document_spans(documents(spark, sf_dir))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2("base", 256).alias("base_sha256"), "spans", "live", "examples")
+
+
+@query
+def op7_benchmark_edit_match(spark, sf_dir):
+    return decontamination.benchmark_matches(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op8_quality_risk(spark, sf_dir):
+    return quality_risk.judge(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+@query
+def op10_language_kernel(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    held_out = _remainder(5) == 0
+    model = language.fit(docs, ~held_out)
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"),
+                                                 "lang_pred", "score")
