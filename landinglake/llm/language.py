@@ -26,10 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from landinglake.llm.dealing import steps
-from landinglake.llm.tables import stored
+from landinglake.llm.tables import sample_each, stored
 
 UNKNOWN = "und"
 SAMPLE = 400
@@ -117,16 +116,8 @@ class Model:
 def learning_rows(docs: DataFrame, learn: Column, sample: int) -> DataFrame:
     """(lang, text, place): at most ``sample`` rows per language, in order of a hash."""
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = known.select(F.col("lang").cast("string").alias("lang"), "text",
-                        F.xxhash64("lang", "text").alias("draw"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # About twice as many as wanted pass on, so the window below sees a bounded number.
-    share = F.least(F.lit(1.0), (2.0 * sample + 100) / F.col("n"))
-    few = (rows.join(counts, "lang")
-           .filter(F.pmod("draw", F.lit(1_000_003)) < share * 1_000_003))
-    order = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1_000_003)), "draw", "text")
-    return (few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
-            .select("lang", "text", "place"))
+    rows = known.select(F.col("lang").cast("string").alias("lang"), "text")
+    return sample_each(rows, "lang", sample, "lang", "text").select("lang", "text", "place")
 
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, landmarks: int = LANDMARKS,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.llm import (decontamination, language, ngram_join, packing, quality_risk,
-                             secret_scan, substrings, token_counts)
+                             secret_scan, substrings, token_counts, toxicity)
 from landinglake.llm.tables import documents, show_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,13 @@ def op10_language_kernel(spark, sf_dir):
     model = language.fit(docs, ~held_out)
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"),
                                                  "lang_pred", "score")
+
+
+@query
+def op3_toxicity_nearest(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    held_out = _remainder(4) == 2
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out)
+    scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted",
+                         F.col("evidence.doc_id").alias("evidence"))

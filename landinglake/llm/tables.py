@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from landinglake.storage import fresh_folder
 
@@ -27,6 +28,18 @@ def parts_for(amount: float, per_part: float) -> int:
     return max(1, int(-(-amount // per_part)))
 
 
+def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
+    """At most ``most`` rows per value of ``by``, first in the order of a hash of the columns
+    ``draw``, with their ``place`` in that order."""
+    mark = F.pmod(F.xxhash64(*draw), F.lit(1_000_003))
+    # About twice as many as wanted pass on, so the window sees a bounded number per value.
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.least(F.lit(1.0), (2.0 * most + 100) / F.col("_rows"))
+    few = rows.join(counts, by).filter(mark < share * 1_000_003).drop("_rows")
+    order = Window.partitionBy(by).orderBy(mark, *draw)
+    return few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -18,6 +18,8 @@ STEP_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Breaks for words without punctuation: all of ASCII but letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xD6E8FEB86659FD93
 _random = np.random.Generator(np.random.PCG64(20240229))
@@ -68,11 +70,11 @@ def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """All words of a batch: ``hashes``, byte ``starts`` and ``ends``, and ``first``, the
-    offsets of the rows in them."""
+    offsets of the rows in them. ``breaks`` marks the bytes between words."""
 
-    def __init__(self, column: pa.Array, lower: bool):
+    def __init__(self, column: pa.Array, lower: bool, breaks: np.ndarray = SPACE):
         self.data, self.offsets = utf8_buffer(column)
-        self.starts, self.ends = _spans(self.data, self.offsets)
+        self.starts, self.ends = _spans(self.data, self.offsets, breaks)
         self.first = np.searchsorted(self.starts, self.offsets)
         self.hashes = _word_hashes(self.data, self.starts, self.ends, _LOWER if lower else _PLAIN)
 
@@ -100,11 +102,12 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * down[:len(hashes) - size + 1])
 
 
-def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spans(data: np.ndarray, offsets: np.ndarray,
+           breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte of each word and the byte after its last one; rows end words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~SPACE[data]
+    inside = ~breaks[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
