@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.llm import (decontamination, language, ngram_join, packing, quality_risk,
-                             secret_scan, substrings, token_counts, toxicity)
+                             secret_scan, substrings, token_counts, toxicity, warc)
 from landinglake.llm.tables import documents, show_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Fixed value: the pages carry no date of their own.
+WARC_DATE = "2024-06-01T00:00:00Z"
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -99,3 +102,9 @@ def op3_toxicity_nearest(spark, sf_dir):
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted",
                          F.col("evidence.doc_id").alias("evidence"))
+
+
+@query
+def op2_warc_derivatives(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.derive(warc.page_responses(pages, WARC_DATE))

@@ -12,6 +12,10 @@ from pyspark.sql.window import Window
 from landinglake.storage import fresh_folder
 
 
+# Ids of 8 bytes that a join may send to every task.
+BROADCAST_IDS = 500_000
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives executors."""
     folder = fresh_folder(frame.sparkSession, label)
@@ -40,6 +44,18 @@ def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
     return few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``ids`` (one column); rows without one stay.
+
+    The ids are counted first: up to ``BROADCAST_IDS`` of them go to the tasks, so that texts need
+    no shuffle; more are joined by a shuffle.
+    """
+    listed = stored(ids.toDF("_id").filter("_id is not null").distinct(), "ids")
+    few = listed.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(listed) if few else listed, F.col("doc_id") == F.col("_id"),
+                     "left_anti")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
