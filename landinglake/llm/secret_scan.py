@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from landinglake.llm.tables import free_name
+
 # The patterns of the base kinds; group 2 of the first is the value.
 ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
           r"([A-Za-z0-9+/_.=-]+)")
@@ -144,10 +146,10 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
            mark: str = "[secret]", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """``docs`` with every span that is not a widely copied example replaced by ``mark``; all
     columns stay, and rows without such spans are not shuffled."""
-    key = _key(F.col("text"), "doc_id", owner, repository)
+    key, cut = free_name(docs, "row_key"), free_name(docs, "cut")
     spans = scan_secrets(docs, owner, repository, example_owners).select(
-        F.col("key").alias("_key"),
-        F.filter("spans", lambda s: s["verdict"] != "example").alias("_spans"))
+        F.col("key").alias(key),
+        F.filter("spans", lambda s: s["verdict"] != "example").alias(cut))
     may = F.coalesce(F.col("text").rlike(_ANY), F.lit(False))
     # Spans may overlap: what is not yet copied begins where the last one ended.
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
@@ -159,9 +161,9 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
         done = F.when(fresh, F.concat(state["done"], piece, F.lit(mark))).otherwise(state["done"])
         return F.struct(done.alias("done"), F.greatest(state["at"], span["end"]).alias("at"))
 
-    redacted = F.aggregate("_spans", start, step, lambda s: F.concat(
+    redacted = F.aggregate(cut, start, step, lambda s: F.concat(
         s["done"], F.substring("text", (s["at"] + 1).cast("int"), F.length("text"))))
-    touched = (docs.filter(may).withColumn("_key", key).join(spans, "_key", "left")
-               .withColumn("text", F.when(F.size(F.coalesce("_spans", F.array())) > 0, redacted)
-                           .otherwise(F.col("text"))))
+    touched = docs.filter(may).withColumn(key, _key(F.col("text"), "doc_id", owner, repository))
+    text = F.when(F.size(F.coalesce(cut, F.array())) > 0, redacted).otherwise(F.col("text"))
+    touched = touched.join(spans, key, "left").withColumn("text", text)
     return docs.filter(~may).unionByName(touched.select(*docs.columns))

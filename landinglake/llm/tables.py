@@ -32,6 +32,14 @@ def parts_for(amount: float, per_part: float) -> int:
     return max(1, int(-(-amount // per_part)))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or the like, that no column of the frame has."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
     """At most ``most`` rows per value of ``by``, first in the order of a hash of the columns
     ``draw``, with their ``place`` in that order."""
@@ -50,9 +58,10 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     The ids are counted first: up to ``BROADCAST_IDS`` of them go to the tasks, so that texts need
     no shuffle; more are joined by a shuffle.
     """
-    listed = stored(ids.toDF("_id").filter("_id is not null").distinct(), "ids")
+    name = free_name(docs, "dropped")
+    listed = stored(ids.toDF(name).filter(F.col(name).isNotNull()).distinct(), "ids")
     few = listed.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(listed) if few else listed, F.col("doc_id") == F.col("_id"),
+    return docs.join(F.broadcast(listed) if few else listed, F.col("doc_id") == F.col(name),
                      "left_anti")
 
 
