@@ -27,7 +27,10 @@ FREQUENT_LEAST = 64
 PART_BYTES = 6_000_000
 STEP_BYTES = 8_000_000
 
-PACKED = "part int, sets binary, sizes binary, runs binary, shingles binary, n_docs binary"
+# One row per part of what a step deals. Owners stand in runs; owners, run lengths, values and
+# extras are packed in the narrowest integers that hold them, owners as differences.
+PACKED = ("part int, kind int, n_runs bigint, first_owner bigint, owners binary, runs binary, "
+          "values binary, extras binary")
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -65,38 +68,63 @@ def part_of(values: np.ndarray, parts: int) -> np.ndarray:
     return ((values.view(np.uint64) >> np.uint64(33)) % np.uint64(parts)).astype(np.int32)
 
 
-def pack(part, sets, sizes, shingles, n_docs, parts,
-         by_owner: bool = True) -> Iterator[pa.RecordBatch]:
-    """One row per part: distinct sets in runs, their sizes, run lengths, shingles, frequencies.
+def _narrow(values: np.ndarray) -> bytes:
+    top = int(np.abs(values).max()) if len(values) else 0
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if top <= np.iinfo(k).max)
+    return values.astype(kind).tobytes()
 
-    Without ``by_owner`` the values of a set already stand together.
+
+def _wide(packed: bytes, count: int) -> np.ndarray:
+    kind = np.dtype(f"i{len(packed) // count}") if count else np.int64
+    return np.frombuffer(packed, kind).astype(np.int64)
+
+
+def pack(part: np.ndarray, owners: np.ndarray, values: np.ndarray, extras: np.ndarray | None,
+         parts: int, kind: int = 0, by_owner: bool = True) -> Iterator[pa.RecordBatch]:
+    """``PACKED`` rows of owners (64-bit integers), values (64-bit hashes) and extras (integers).
+
+    Without ``by_owner`` the values of an owner already stand together.
     """
-    order = np.lexsort((sets, part)) if by_owner else np.argsort(part, kind="stable")
-    part, sets, sizes, shingles = part[order], sets[order], sizes[order], shingles[order]
+    order = np.lexsort((owners, part)) if by_owner else np.argsort(part, kind="stable")
+    part, owners, values = part[order], owners[order], values[order]
+    extras = None if extras is None else extras[order]
     bounds = np.searchsorted(part, np.arange(parts + 1))
     rows = []
     for number in np.flatnonzero(np.diff(bounds)).tolist():
         own = slice(bounds[number], bounds[number + 1])
-        starts = np.flatnonzero(np.r_[True, sets[own][1:] != sets[own][:-1]])
-        rows.append((number, sets[own][starts].tobytes(), sizes[own][starts].tobytes(),
-                     np.diff(np.r_[starts, bounds[number + 1] - bounds[number]])
-                     .astype(np.int32).tobytes(), shingles[own].tobytes(),
-                     None if n_docs is None else n_docs[order][own].tobytes()))
-    columns = list(zip(*rows)) or [[]] * 6
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-        names=["part", "sets", "sizes", "runs", "shingles", "n_docs"])
-
-
-def unpack(batch: pa.RecordBatch):
-    """Arrays (sets, sizes, shingles) of all rows of a batch, and frequencies or None, by row."""
+        new = np.r_[True, owners[own][1:] != owners[own][:-1]]
+        starts = np.flatnonzero(new)
+        each = owners[own][starts]
+        # Differences that leave 64 bits wrap around, and wrap back when they are added up.
+        rows.append((number, kind, len(starts), int(each[0]), _narrow(np.diff(each)),
+                     _narrow(np.diff(np.r_[starts, len(new)])), values[own].tobytes(),
+                     None if extras is None else _narrow(extras[own])))
+    columns = list(zip(*rows)) or [[]] * 8
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                     names=[c.split()[0] for c in PACKED.split(", ")])
+
+
+def unpack(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(kind, owners, values, extras) of every row of a batch."""
     for row in batch.to_pylist():
-        runs = np.frombuffer(row["runs"], np.int32)
-        yield (np.repeat(np.frombuffer(row["sets"], np.int64), runs),
-               np.repeat(np.frombuffer(row["sizes"], np.int64), runs),
-               np.frombuffer(row["shingles"], np.uint64),
-               None if row["n_docs"] is None else np.frombuffer(row["n_docs"], np.int64))
-
-
-def joined(arrays, dtypes):
-    return [np.concatenate(a) if a else np.zeros(0, t) for a, t in zip(arrays, dtypes)]
+        runs = _wide(row["runs"], row["n_runs"])
+        owners = np.cumsum(np.r_[row["first_owner"], _wide(row["owners"], row["n_runs"] - 1)])
+        values = np.frombuffer(row["values"], np.uint64)
+        yield (row["kind"], np.repeat(owners, runs), values,
+               None if row["extras"] is None else _wide(row["extras"], len(values)))
+
+
+def joined(arrays, kinds) -> list[np.ndarray]:
+    return [np.concatenate(a) if a else np.zeros(0, k) for a, k in zip(arrays, kinds)]
+
+
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows that agree in all columns begins."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)

@@ -7,8 +7,8 @@ when 100 * intersection >= percent * union. The join:
    ``FREQUENT_SHARE`` or more, see ``dealing``) are found by counting within batches and adding up. By the
    averages there are at most mean set size * FREQUENT_SHARE of them whatever the input, so
    the tasks get them as a table, and no such shingle is ever gathered in one place.
-2. All other shingles are shuffled by hash as packed arrays, which gives their exact document
-   frequency. Shingles of one document only say how many they are; the rest go back to their set.
+2. All other shingles are shuffled by hash as packed arrays, which gives the number of rows that
+   hold them (equal sets of one step count once). Shingles of one document only say how many they are; the rest go back to their set.
 3. Shingles are ordered by frequency. A set of n shingles can only link with one that shares one
    of its first n - ceil(percent * n / 100) + 1, so sets whose prefix holds only shingles of their
    own are done. The others with identical size and prefix collapse into one group.
@@ -35,14 +35,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.components import connected_components
-from landinglake.llm.dealing import (PACKED, PART_BYTES, frequent_values, joined,
-                                     look_up, pack, part_of, steps, unpack)
+from landinglake.llm.dealing import (PACKED, PART_BYTES, frequent_values, joined, look_up, pack,
+                                     part_of, run_starts, steps, unpack)
 from landinglake.llm.tables import parts_for, stored, text_bytes
-from landinglake.llm.words import Words, set_fingerprints, shingle_sets
+from landinglake.llm.words import Words, mix, set_fingerprints, shingle_sets
 
 SIZE = 5
 PERCENT = 75
@@ -91,81 +93,95 @@ def _record(columns) -> pa.RecordBatch:
 
 
 _SHARED = "set_id bigint, n bigint, prefix array<bigint>, shingles array<bigint>"
+# Kinds of packed rows: shingles to be counted, shingles with their frequency on the way back to
+# their row, and what is known of the rows themselves (set in ``values``, size in ``extras``).
+_COUNT, _BACK, _ROWS = 0, 1, 2
+# Rows are numbered within the steps of a task; a step's rows go back to one part.
+_STEP_BITS = 20
 
 
 def sets_with_shared_prefix(docs: DataFrame, parts: int, frequent, size: int = SIZE,
                             percent: int = PERCENT) -> DataFrame:
     """Sets whose prefix holds shingles of other sets: (set_id, n, prefix, shingles), where
     ``shingles`` are all of the set's that occur in more than one, and ``prefix`` those of its
-    prefix, in order."""
+    prefix, in order. A set may come more than once if equal sets lie in different steps."""
     known = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def home(rows):
+        return part_of(mix((rows >> _STEP_BITS).view(np.uint64)), parts)
+
     def deal(batches):
         often, counts = known.value
-        for batch in steps(batches):
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(steps(batches)):
             values, first, ids = _sets(batch.column("text"), size)
-            once = np.zeros(len(ids), bool)
-            once[np.unique(ids, return_index=True)[1]] = True
+            once = np.unique(ids, return_index=True)[1]
+            once = once[ids[once] != 0]
             sizes = np.diff(first)
-            keep = np.repeat(once, sizes)
-            sets, n = np.repeat(ids, sizes)[keep], np.repeat(sizes, sizes)[keep]
-            values = values[keep]
-            often_at, at = look_up(often, values)
-            rare = ~often_at
-            yield from pack(part_of(values[rare], parts), sets[rare], n[rare], values[rare], None,
-                            parts, by_owner=False)
-            # These only pass through, dealt by their set.
-            if often_at.any():
-                yield from pack(part_of(sets[often_at], parts), sets[often_at], n[often_at],
-                                values[often_at], _LAST + counts[at[often_at]], parts,
-                                by_owner=False)
+            base = (task << 42) + (number << _STEP_BITS)
+            rows = base + np.arange(len(ids))
+            yield from pack(home(rows[once]), rows[once], ids[once].view(np.uint64), sizes[once],
+                            parts, _ROWS)
+            keep = np.zeros(len(ids), bool)
+            keep[once] = True
+            keep = np.repeat(keep, sizes)
+            owners, values = np.repeat(rows, sizes)[keep], values[keep]
+            is_often, at = look_up(often, values)
+            rare = ~is_often
+            yield from pack(part_of(values[rare], parts), owners[rare], values[rare], None, parts,
+                            _COUNT, by_owner=False)
+            if is_often.any():
+                yield from pack(home(owners[is_often]), owners[is_often], values[is_often],
+                                _LAST + counts[at[is_often]], parts, _BACK, by_owner=False)
 
     def count(batches):
-        arrays = ([], [], [])
+        arrays = ([], [])
         for batch in batches:
-            for sets, n, values, n_docs in unpack(batch):
-                if n_docs is not None:
-                    yield from _back(sets, n, values, n_docs)
-                else:
-                    for whole, part in zip(arrays, (sets, n, values)):
-                        whole.append(part)
-        sets, n, values = joined(arrays, (np.int64, np.int64, np.uint64))
-        order = np.lexsort((sets, values))
-        sets, n, values = sets[order], n[order], values[order]
-        new = np.ones(len(values), bool)  # equal sets of other batches count once
-        new[1:] = (values[1:] != values[:-1]) | (sets[1:] != sets[:-1])
-        sets, n, values = sets[new], n[new], values[new]
-        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else \
-            np.zeros(0, np.int64)
-        n_docs = np.repeat(lengths := np.diff(np.r_[starts, len(values)]), lengths)
+            # What only passes through has its part already.
+            passing = batch.filter(pc.not_equal(batch.column("kind"), _COUNT))
+            if passing.num_rows:
+                yield passing
+            for _, owners, values, _ in unpack(batch.filter(
+                    pc.equal(batch.column("kind"), _COUNT))):
+                arrays[0].append(owners)
+                arrays[1].append(values)
+        owners, values = joined(arrays, (np.int64, np.uint64))
+        order = np.argsort(values, kind="stable")
+        owners, values = owners[order], values[order]
+        lengths = np.diff(np.r_[run_starts(values), len(values)])
+        n_docs = np.repeat(lengths, lengths)
         shared = n_docs > 1
-        yield from _back(sets[shared], n[shared], values[shared], n_docs[shared])
-
-    def _back(sets, n, values, n_docs):
-        yield from pack(part_of(sets, parts), sets, n, values, n_docs.astype(np.int64), parts)
+        yield from pack(home(owners[shared]), owners[shared], values[shared], n_docs[shared],
+                        parts, _BACK)
 
     def prefixes(batches):
-        arrays = ([], [], [], [])
+        arrays, rows, ids, sizes = ([], [], []), [], [], []
         for batch in batches:
-            for found in unpack(batch):
-                for whole, part in zip(arrays, found):
-                    whole.append(part)
-        sets, n, values, n_docs = joined(arrays, (np.int64, np.int64, np.uint64, np.int64))
-        order = np.lexsort((values, n_docs, sets))
-        sets, n, values = sets[order], n[order], values[order]
-        new = np.ones(len(values), bool)
-        new[1:] = (values[1:] != values[:-1]) | (sets[1:] != sets[:-1])
-        sets, n, values = sets[new], n[new], values[new]
-        starts = np.flatnonzero(np.r_[True, sets[1:] != sets[:-1]]) if len(sets) else \
-            np.zeros(0, np.int64)
-        n, shared = n[starts], np.diff(np.r_[starts, len(sets)])
+            for kind, owners, values, extras in unpack(batch):
+                if kind == _ROWS:
+                    rows.append(owners)
+                    ids.append(values.view(np.int64))
+                    sizes.append(extras)
+                else:
+                    for whole, part in zip(arrays, (owners, values, extras)):
+                        whole.append(part)
+        rows, ids, sizes = joined((rows, ids, sizes), (np.int64, np.int64, np.int64))
+        order = np.argsort(rows)
+        rows, ids, sizes = rows[order], ids[order], sizes[order]
+        owners, values, n_docs = joined(arrays, (np.int64, np.uint64, np.int64))
+        order = np.lexsort((values, n_docs, owners))
+        owners, values = owners[order], values[order]
+        starts = run_starts(owners)
+        shared = np.diff(np.r_[starts, len(owners)])
+        place = np.searchsorted(rows, owners[starts])
+        n = sizes[place]
         prefix = n - (percent * n + 99) // 100 + 1 - (n - shared)
         for at in range(0, len(starts), STEP_ROWS):
             own = np.flatnonzero(prefix[at:at + STEP_ROWS] > 0) + at
             heads = [values[s:s + p] for s, p in zip(starts[own], np.minimum(prefix, shared)[own])]
             wholes = [np.sort(values[s:s + k]) for s, k in zip(starts[own], shared[own])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sets[starts[own]]), pa.array(n[own]), _lists(heads), _lists(wholes)],
+                [pa.array(ids[place[own]]), pa.array(n[own]), _lists(heads), _lists(wholes)],
                 names=["set_id", "n", "prefix", "shingles"])
 
     counted = (docs.select("text").mapInArrow(deal, PACKED).repartitionById(parts, "part")
@@ -332,7 +348,8 @@ def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     frequent = frequent_values(
         described.filter("shingle is not null").select(F.col("shingle").alias("value"), "n_docs"),
         rows.count())
-    shared = stored(sets_with_shared_prefix(docs, parts, frequent, size, percent), "shared")
+    shared = stored(sets_with_shared_prefix(docs, parts, frequent, size, percent)
+                    .dropDuplicates(["set_id"]), "shared")
     edges = links(shared, candidate_cells(shared), percent, cell_tokens, parts)
     # Rows with one doc_id are one document: their sets are in one class.
     firsts = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
