@@ -12,6 +12,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def table_identifier(name: str) -> str:
+    """A table name, with or without its database, for SQL and the catalog alike."""
+    return name if "`" in name else ".".join(map(quoted, name.split(".")))
+
+
 def literal(text: str) -> str:
     """A text literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

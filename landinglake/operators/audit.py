@@ -77,13 +77,27 @@ def step_list_text(cell: str | Column) -> Column:
     return F.when(text.contains("(") | text.contains("None"), column).otherwise(text)
 
 
+def step_lists(cell: str | Column) -> Column:
+    """The steps of a cell as arrays of texts; null if it cannot be read as a list of lists."""
+    return F.from_json(step_list_text(cell), "array<array<string>>",
+                       {"allowBackslashEscapingAnyCharacter": "true"})
+
+
+def is_unreadable(cell: str | Column) -> Column:
+    """Is the cell no list of six-element steps? A missing one is unreadable, an empty list is
+    a list without steps."""
+    steps = step_lists(cell)
+    return steps.isNull() | F.exists(
+        steps, lambda s: F.coalesce(F.size(s), F.lit(-1)) != len(CELL_COLUMNS))
+
+
 def parse_step_cells(df: DataFrame, cell: str, *keep: str) -> DataFrame:
     """Rows of a step-result cell: text of a list of six-element lists or tuples.
 
-    An empty or missing list gives no rows. Elements are read as text; nothing is evaluated.
+    An empty or missing list gives no rows, and neither does an unreadable one; see
+    :func:`is_unreadable`. Elements are read as text; nothing is evaluated.
     """
-    steps = F.from_json(step_list_text(cell), "array<array<string>>",
-                        {"allowBackslashEscapingAnyCharacter": "true"})
+    steps = step_lists(cell)
     rows = df.select(*keep, F.explode(steps).alias("_step"))
     fields = [F.get("_step", F.lit(i)).alias(name) for i, name in enumerate(CELL_COLUMNS)]
     return rows.select(*keep, *fields)

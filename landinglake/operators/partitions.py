@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.functions.quoting import literal, quoted
@@ -32,24 +32,38 @@ def partition_map(df: DataFrame, partition_cols: list[str], path: str) -> DataFr
 
 
 def touched_metric(partition_cols: Iterable[str]) -> Column:
-    """The distinct partition tuples as a metric of the write itself.
+    """The distinct partition tuples, as text, as a metric of the write itself.
 
-    It is as small as the list of partitions the catalog has to hold, and saves a second
-    scan of the data.
+    Spark makes the text, as it does for the folders, so both agree whatever time zone the
+    driver is in. It is as small as the list of partitions the catalog has to hold, and saves
+    a second scan of the data.
     """
-    return F.collect_set(F.struct(*partition_cols)).alias("partitions")
+    texts = [F.col(quoted(c)).cast("string").alias(c) for c in partition_cols]
+    return F.collect_set(F.struct(*texts)).alias("partitions")
 
 
-def read_touched(rows: Iterable[Mapping[str, object]]) -> list[dict[str, object]]:
-    """The tuples of the metric as stored: Spark keeps an empty text in the null partition."""
-    stored = [{k: None if v == "" else v for k, v in row.items()} for row in rows]
+def read_touched(rows: Iterable[Mapping[str, str | None]], numbers: Iterable[str] = ()
+                 ) -> list[dict[str, str | int | None]]:
+    """The tuples of the metric as stored: Spark keeps an empty text in the null partition.
+
+    Columns among ``numbers`` come back as integers.
+    """
+    whole = set(numbers)
+    stored = [{k: None if v in (None, "") else int(v) if k in whole else v for k, v in row.items()}
+              for row in rows]
     return list({tuple(row.values()): row for row in stored}.values())
 
 
 def partition_clause(values: Mapping[str, object]) -> str:
-    """``PARTITION (...)`` text of one tuple."""
+    """``PARTITION (...)`` of one tuple; the catalog reads the texts as the columns' types."""
     def text(value: object) -> str:
         if value is None:
             return "null"
-        return str(value).lower() if isinstance(value, (bool, int)) else literal(str(value))
+        return literal(str(value).lower() if isinstance(value, bool) else str(value))
     return "PARTITION (" + ", ".join(f"{quoted(k)}={text(v)}" for k, v in values.items()) + ")"
+
+
+def partition_folder(spark: SparkSession, path: str, values: Mapping[str, object]) -> str:
+    """The folder in which Spark keeps a partition."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return join_path(path, *(names.getPartitionPathString(k, None if v is None else str(v)) for k, v in values.items()))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.functions.quoting import literal, quoted
-from landinglake.sources.landing import CORRUPT_RECORD
+from landinglake.sources.landing import CORRUPT_RECORD, SOURCE_FILE
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -58,8 +58,16 @@ def rejected_rows(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def reject_summary(df: DataFrame, *keys: str) -> DataFrame:
-    """Records, rejects, and whether there is nothing but rejects; per key if any is given."""
-    rows, rejects = F.count(F.lit(1)), F.count(F.col(CORRUPT_RECORD))
+    """Records, rejects, and whether there is nothing but rejects; per key if any is given.
+
+    Also right on the rows of a landing folder: the reader does not parse for the corrupt
+    column alone, so the count looks at a payload column too.
+    """
+    payload = [c for c in df.columns if c not in (CORRUPT_RECORD, SOURCE_FILE, *keys)]
+    corrupt = F.col(CORRUPT_RECORD)
+    other = F.col(quoted(payload[0])).cast("string") if payload else corrupt
+    rows = F.count(F.lit(1))
+    rejects = F.count_if(corrupt.isNotNull() & F.coalesce(corrupt, other).isNotNull())
     return df.groupBy(*keys).agg(
         rows.alias("records_cnt"), rejects.alias("reject_records_cnt"),
         ((rows > 0) & (rows == rejects)).alias("all_rejected"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from landinglake.operators.tables import RUN_ID
 from landinglake.sources.lake import snapshots
 from landinglake.storage import Storage, fresh_folder, join_path
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 # Rows per JDBC batch.
 BATCH_SIZE = "10000"
 
@@ -73,7 +76,9 @@ def write_rejects(df: DataFrame, path: str, run_id: int, load_id: str | None = N
 
     A load that is repeated under its id replaces the rejects of its first try.
     """
-    writer = rejected_rows(df).withColumn(RUN_ID, F.lit(run_id)).write.mode("append")
+    # Rejects are few and come from all tasks: brought together, they make few files.
+    writer = (rejected_rows(df).withColumn(RUN_ID, F.lit(run_id)).hint("rebalance")
+              .write.mode("append"))
     if load_id:
         remove_rejects(df.sparkSession, path, load_id)
         writer = writer.option("mapreduce.output.basename", load_prefix(load_id))
@@ -164,12 +169,25 @@ def read_staged_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFram
     return _texts(rows, lambda text: F.substring(text, 2, 2**31 - 1))
 
 
+@contextmanager
+def _whole_table_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts take the overwrite mode from the session only; all other writes here state it."""
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def bulk_load(df: DataFrame, table: str, *, path: str | None = None, truncate: bool = False,
               create: bool = False, insert: bool = True) -> None:
-    """Load a table through staged CSV files, once, whatever the flags.
+    """Load a table through a staged copy, once, whatever the flags.
 
     ``create`` first replaces the table by an empty one of the same columns, ``truncate``
-    empties it and loads, ``insert`` loads.
+    empties it, all of it whatever the session says of partitions, and loads, ``insert``
+    loads. The copy lets ``df`` read the table that is loaded; it is Parquet, so columns of
+    any type pass. :func:`stage_csv` is for copies that leave Spark.
     """
     spark = df.sparkSession
     if create:
@@ -177,10 +195,15 @@ def bulk_load(df: DataFrame, table: str, *, path: str | None = None, truncate: b
     if not (truncate or insert):
         return
     staged = fresh_folder(spark, "bulk")
-    stage_csv(df, staged)
-    rows = read_staged_csv(spark, staged, df)
-    rows.select(*map(quoted, spark.table(table).columns)).write.insertInto(table, overwrite=truncate)
-    Storage(spark, staged).delete(staged)
+    try:
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        with _whole_table_overwrite(spark):
+            (rows.select(*map(quoted, spark.table(table).columns)).write
+             .insertInto(table, overwrite=truncate))
+    finally:
+        scratch = staged.rsplit("/", 1)[0]
+        Storage(spark, scratch).delete(scratch)
 
 
 def insert_rows(df: DataFrame, table: str) -> None:

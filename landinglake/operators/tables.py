@@ -60,7 +60,8 @@ def drop_definition(spark: SparkSession, table: str) -> None:
 
 def extend_table(spark: SparkSession, definition: TableDefinition, schema: StructType) -> None:
     """Add the columns the table does not have yet."""
-    new = [field for field in schema if field.name not in definition.schema.names]
+    known = {name.lower() for name in definition.schema.names}
+    new = [field for field in schema if field.name.lower() not in known]
     if new:
         spark.sql(f"ALTER TABLE {definition.name} ADD COLUMNS ({_ddl(new)})")
 

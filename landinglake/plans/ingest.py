@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landinglake.errors import AllRecordsRejected
+from landinglake.errors import AllRecordsRejected, NameCollision
 from landinglake.functions.names import clean_name
 from landinglake.functions.quoting import quoted
-from landinglake.functions.times import add_time_parts, parse_time
+from landinglake.functions.times import TIME_PARTS, add_time_parts, parse_time
 from landinglake.functions.types import lost_casts
 from landinglake.operators.audit import FAILED, Step, fold_status, step_frame
 from landinglake.operators.metastore import entity_mapping
@@ -32,7 +32,7 @@ from landinglake.operators.quality import (accepted_rows, drop_null_columns, has
 from landinglake.operators.sinks import (append_database, append_files, purge_files,
                                         remove_rejects, write_rejects)
 from landinglake.operators.tables import RUN_ID, schema_rows
-from landinglake.plans.publish import publish
+from landinglake.plans.publish import LoadMarker, publish
 from landinglake.sources.lake import find_table
 from landinglake.sources.landing import CORRUPT_RECORD, Landing, entity_files, read_landing
 from landinglake.storage import Storage, fresh_folder, join_path
@@ -87,6 +87,7 @@ class Ingested:
     lost_values: int = 0
     steps: list[Step] = field(default_factory=list)
     files: tuple[str, ...] = ()
+    load_id: str | None = None
 
 
 class Recorder:
@@ -141,8 +142,11 @@ def stage(landing: Landing, run_id: int, table_types: Mapping[str, str] | None =
     Blank rows are counted but not staged. The write has no shuffle before it, so the
     metrics come from tasks that count once.
     """
+    payload = landing.payload
+    if taken := [c for c in payload if clean_name(c) == RUN_ID]:
+        raise NameCollision(f"payload column {taken[0]!r} has the name of the run id")
     rows = landing.rows.withColumn(RUN_ID, F.lit(run_id))
-    columns, payload = rows.columns, landing.payload
+    columns = rows.columns
     base_column = base_column and find_column(payload, base_column)
     names = {c: clean_name(c) for c in payload}
     others = rows.selectExpr(*[quoted(c) for c in payload if c != base_column])
@@ -180,28 +184,38 @@ def shape(staged: Staged, base_column: str | None) -> DataFrame:
         wanted, base_column = base_column, find_column(rows.columns, base_column)
         if base_column is None:
             raise ValueError(f"no column {wanted!r} to derive partitions from")
+        others = {c: n for c, n in staged.profile.items() if c != base_column}
+        rows = drop_null_columns(rows, others)
+        if taken := [c for c in rows.columns if clean_name(c) in TIME_PARTS]:
+            raise NameCollision(f"payload column {taken[0]!r} has the name of a time column")
         rows = rows.withColumn(base_column, parse_time(F.col(quoted(base_column))))
         rows = add_time_parts(rows, base_column)
+        return rows if staged.profile.get(base_column, 1) else rows.drop(base_column)
     return drop_null_columns(rows, staged.profile)
 
 
 def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lake_path: str,
                   reject_path: str, run_id: int = -1, options: LoadOptions = LoadOptions(),
                   landing: Landing | None = None, load_id: str | None = None,
-                  purge_rejected: bool = True) -> Ingested:
+                  purge_rejected: bool = True, once: bool = False) -> Ingested:
     """Load one entity's folder into its table; a failure is an outcome, not an exception.
 
+    With ``once``, a load of the very files that a finished load has read is not repeated.
+
     If every record is malformed the rejects are kept, the source files are deleted, and
     the table is left alone, as it is if all records are blank. A load that fails takes its
     rejects back, so that the next try does not store them again.
     """
     step = Step.start(entity, LOAD_STEP)
     outcome = Ingested(entity, ok=False)
-    staged, rejects_id = None, load_id or uuid.uuid4().hex
+    staged, rejects_id = None, ""
     try:
         landing = landing or read_landing(spark, source, options.source_format,
                                           options.schema_of(entity), options.read_options)
         outcome.files = landing.files
+        if once:
+            load_id = outcome.load_id = load_id or landing.load_id
+        rejects_id = load_id or uuid.uuid4().hex
         definition = find_table(spark, table)
         staged = stage(landing, run_id, definition and definition.columns, options.base_column,
                        f"stage-{entity}")
@@ -232,23 +246,33 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
         log.exception("%s: load failed", entity)
         outcome.steps.append(step.end(FAILED, str(error)))
         if outcome.rejects:
-            remove_rejects(spark, reject_path, rejects_id)
+            _clean_up(entity, lambda: remove_rejects(spark, reject_path, rejects_id))
     finally:
         if staged:
-            Storage(spark, staged.folder).delete(staged.folder)
+            scratch = staged.folder.rsplit("/", 1)[0]
+            _clean_up(entity, lambda: Storage(spark, scratch).delete(scratch))
     return outcome
 
 
+def _clean_up(entity: str, work: Callable[[], object]) -> None:
+    """What is left behind must not cost the outcome of the load, or of other entities."""
+    try:
+        work()
+    except Exception:
+        log.exception("%s: clean-up failed", entity)
+
+
 def refresh_entity(spark: SparkSession, entity: str, source: str, table: str, lake_path: str,
                    reject_path: str, recorder: Recorder, run_id: int, job_run_id: int,
                    options: LoadOptions = LoadOptions(), purge: bool = True) -> Ingested:
     """Load an entity and record it: audit steps, column types, run mapping; then purge.
 
-    The source files go last, and only those that were read. An entity with nothing but
-    malformed records counts as done, without column types and mapping.
+    The source files go last, and only those that were read. If the driver is lost between the
+    load and the purge, the next call finds the same files and only records and purges. An
+    entity with nothing but malformed records counts as done, without column types and mapping.
     """
     outcome = ingest_entity(spark, entity, source, table, lake_path, reject_path, run_id, options,
-                            purge_rejected=purge)
+                            purge_rejected=purge, once=purge)
     try:
         recorder.steps(step_frame(spark, outcome.steps, job_run_id))
         if outcome.all_rejected:
@@ -259,6 +283,8 @@ def refresh_entity(spark: SparkSession, entity: str, source: str, table: str, la
             recorder.mapping(entity_mapping(spark, run_id, entity))
             if purge:
                 purge_files(spark, outcome.files)
+                if outcome.load_id:  # its files are gone, so it cannot come again
+                    LoadMarker(spark, lake_path, outcome.load_id).forget()
     except Exception:
         log.exception("%s: recording failed", entity)
         return replace(outcome, ok=False)

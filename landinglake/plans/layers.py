@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.errors import StepFailed
-from landinglake.operators.audit import (FAILED, Step, is_failed, order_steps, parse_step_cells,
-                                         step_frame)
+from landinglake.functions.quoting import quoted
+from landinglake.operators.audit import (FAILED, Step, is_failed, is_unreadable, order_steps,
+                                         parse_step_cells, step_frame)
 from landinglake.operators.metastore import run_entities, timeline_entities
 from landinglake.plans.ingest import (PARALLEL_ENTITIES, Recorder, for_each_entity, status_frame)
 from landinglake.plans.publish import publish
@@ -66,21 +67,25 @@ def refresh_by_call(spark: SparkSession, entities: Iterable[str],
     """Run a procedure per entity that answers with a step-result cell.
 
     ``call`` returns the rows of the answer, its first cell holds the steps. They are
-    stored first, then a failed step fails the entity.
+    stored first, then a failed step fails the entity, and so does an answer without a row or
+    with a cell that is no list of steps; an empty list is success.
     """
     def refresh(entity: str) -> tuple[str, bool]:
         try:
             answer = call(entity)
-            cell = answer.limit(1).select(F.col(f"`{answer.columns[0]}`").alias("cell"))
+            # One cell; kept as it is, so that the procedure runs only once.
+            cells = answer.select(F.col(quoted(answer.columns[0])).cast("string")).take(1)
+            cell = spark.createDataFrame(cells or [(None,)], "cell string")
             steps = parse_step_cells(cell, "cell").withColumn(
                 "jobs_execution_id", F.lit(job_run_id).cast("int"))
-            # A handful of rows; kept as they are, so that the procedure runs only once.
             rows = order_steps(steps).collect()
             if rows:
                 kept = spark.createDataFrame(rows, steps.schema)
                 recorder.steps(kept)
                 if not kept.filter(is_failed()).isEmpty():
                     raise StepFailed(f"{entity}: a step has failed")
+            if not cell.filter(is_unreadable("cell")).isEmpty():
+                raise StepFailed(f"{entity}: the answer cannot be read")
         except Exception:
             log.exception("%s: call failed", entity)
             return entity, False

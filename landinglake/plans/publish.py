@@ -16,16 +16,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landinglake.functions.names import clean_columns, clean_name
-from landinglake.functions.quoting import quoted
+from landinglake.functions.quoting import quoted, table_identifier
 from landinglake.functions.types import align_columns
 from landinglake.operators.audit import Step
-from landinglake.operators.partitions import read_touched, touched_metric
+from landinglake.operators.partitions import (partition_folder, read_touched,
+                                             touched_metric)
 from landinglake.operators.sinks import load_prefix, write_files
 from landinglake.operators.tables import (add_partitions, create_table, drop_definition,
                                           extend_table, resolve_location, restore_table)
 from landinglake.sources.lake import TableDefinition, find_table
 from landinglake.storage import DELETE_THREADS, Storage, base_name, join_path
 
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
 MODES = ("append", "overwrite", "dynamic")
 
 
@@ -37,7 +40,7 @@ class Published:
     path: str
     load_id: str
     rows: int = 0
-    partitions: list[dict[str, object]] = field(default_factory=list)
+    partitions: list[dict[str, str | int | None]] = field(default_factory=list)
     steps: list[Step] = field(default_factory=list)
     skipped: bool = False
 
@@ -50,16 +53,25 @@ def remove_load(spark: SparkSession, path: str, load_id: str, depth: int) -> int
 
 def carries_name(spark: SparkSession, published: Published) -> bool:
     """Do the files of a load have its name? Looked up in one of its partitions."""
-    values = published.partitions[0] if published.partitions else {}
-    levels = [f"{k}={v}" if type(v) is int else f"{k}=*" for k, v in values.items()]
-    found = Storage(spark, published.path).glob(
-        published.path, *levels, load_prefix(published.load_id) + "*")
-    return bool(found)
+    folder = partition_folder(spark, published.path, published.partitions[0]) \
+        if published.partitions else published.path
+    return bool(Storage(spark, published.path).glob(
+        folder, load_prefix(published.load_id) + "*"))
+
+
+def remove_published(spark: SparkSession, published: Published, depth: int) -> int:
+    """The same for a load whose partitions are known: only their folders are looked at."""
+    if not published.partitions:
+        return remove_load(spark, published.path, published.load_id, depth)
+    storage, name = Storage(spark, published.path), load_prefix(published.load_id) + "*"
+    folders = [partition_folder(spark, published.path, v) for v in published.partitions]
+    with ThreadPoolExecutor(DELETE_THREADS) as pool:
+        return sum(pool.map(lambda f: storage.delete_all(storage.glob(f, name)), folders))
 
 
 def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
-                      touched_only: bool) -> None:
-    """Delete files of earlier loads: all, or those in partitions the load has written to.
+                      touched: list[str] | None = None) -> None:
+    """Delete files of earlier loads: all, or those in the folders the load has written to.
 
     A folder without files of the load goes as a whole; the work per partition is a
     listing, done by a few threads.
@@ -72,10 +84,12 @@ def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
         if len(former) < len(files) or not depth:
             for name in former:
                 storage.delete(name)
-        elif not touched_only:
+        elif touched is None:
             storage.delete(folder)
 
-    folders = storage.glob(path, *["*=*"] * depth) if depth else [path]
+    folders = touched
+    if folders is None:
+        folders = storage.glob(path, *["*=*"] * depth) if depth else [path]
     with ThreadPoolExecutor(DELETE_THREADS) as pool:
         list(pool.map(clear, folders))
 
@@ -144,7 +158,7 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
-    spark, entity = df.sparkSession, entity or table
+    spark, entity, table = df.sparkSession, entity or table, table_identifier(table)
     cleaned = clean_columns(df)
     definition = find_table(spark, table)
     path = resolve_location(definition, path)
@@ -183,11 +197,13 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
                     finish=lambda rows: aligned(rows).observe(seen, *metrics))
         published.rows = seen.get["rows"]
         published.partitions = read_touched(
-            row.asDict() for row in seen.get.get("partitions", []))
+            (row.asDict() for row in seen.get.get("partitions", [])),
+            (n for n, t in aligned(cleaned).dtypes if t in WHOLE_NUMBERS))
         published.steps.append(step.end())
 
-        # Replacing goes by file name; a commit protocol that ignores it must not cost data.
-        if mode != "append" and published.rows and not carries_name(spark, published):
+        # Undoing and replacing go by file name; a commit protocol that ignores it must not
+        # cost data, or leave some behind.
+        if published.rows and not carries_name(spark, published):
             raise RuntimeError(f"the files written to {path} do not carry the load's name")
 
         step = Step.start(entity, "Update_glue_schema")
@@ -198,12 +214,14 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
                   file_format)
         published.steps.append(step.end())
     except Exception:
-        remove_load(spark, path, published.load_id, depth)
+        remove_published(spark, published, depth)
         if replaced_definition:
             restore_table(spark, definition)
         raise
     if mode != "append":
-        drop_former_files(spark, path, published.load_id, depth, mode == "dynamic")
+        touched = [partition_folder(spark, path, v) for v in published.partitions] or [path]
+        drop_former_files(spark, path, published.load_id, depth,
+                          touched if mode == "dynamic" else None)
         spark.catalog.refreshTable(table)
     if marker:
         marker.finish()

@@ -202,7 +202,8 @@ ORACLES: dict[str, str] = {
         from events""",
     "array_columns": """
         select vec_id, cast(label as bigint) as label, cast(len(embedding) as bigint) as dims,
-          cast(embedding[1] as double) as first from embeddings""",
+          array_to_string([cast(round(cast(x as double) * 1000000) as bigint)
+            for x in embedding], ',') as millionths from embeddings""",
     "bulk_write": """
         select year(l_shipdate) as year, month(l_shipdate) as month, count(*) as records,
           cast(sum(cast(l_quantity as decimal(38,6))) as varchar) as quantity
@@ -269,13 +270,21 @@ ORACLES: dict[str, str] = {
         select entity, step, start_dt, end_dt, status, description from ({_STEPS})
         where o_orderkey = (select min(o_orderkey) from orders where o_orderstatus <> 'P')""",
     "status_fold": _with("runs") + """
-        select process_execution_id, bool_and(jobs_status <> 'F') as ok
-        from runs group by process_execution_id""",
+        select process_execution_id, jobs_id, bool_and(jobs_status <> 'F' and id % 7 <> 0) as ok
+        from runs group by process_execution_id, jobs_id""",
     "job_status_fold": _with("runs") + """
         select jobs_id, bool_and(jobs_status = 'S') as ok from runs group by jobs_id""",
     "bulk_load": "select doc_id, text, lang, source, n_chars from documents",
     "empty_like": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier where false",
-    "purge_sources": "select max(event_id) as event_id from events",
+    "purge_sources": """
+        select event_type as entity, (select max(event_id) from events) as event_id
+        from events group by event_type""",
+    "late_arrival": f"""
+        select event_id, cast(null as varchar) as fresh from events
+        where event_type = 'view' and value >= {BLANK_BELOW} and value < {BROKEN_FROM}
+        union all
+        select event_id, upper(event_type) from events where event_type <> 'view'""",
+    "insert_rows": "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier",
     "staged_publish": f"select {_event_text()} from events",
     "ingest_all": f"select {_HOURS} from events where {_LOADED} and {_TAKEN}",
     "ingest_audit": f"""
@@ -324,9 +333,11 @@ ORACLES: dict[str, str] = {
           strftime(max(o_orderdate), {MICROS}) as last_order, o_orderstatus as entity
         from orders where o_orderstatus <> 'P' group by o_orderpriority, o_orderstatus""",
     "procedure_layer": """
-        select o_orderpriority as entity, o_orderpriority not like '1%' as ok, 'count' as step,
-          case when o_orderpriority like '1%' then 'Failed' else 'Success' end as status,
-          cast(count(*) as varchar) as description
+        select o_orderpriority as entity, o_orderpriority < '4' and o_orderpriority >= '2' as ok,
+          case when o_orderpriority < '4' then 'count' end as step,
+          case when o_orderpriority < '2' then 'Failed'
+            when o_orderpriority < '4' then 'Success' end as status,
+          case when o_orderpriority < '4' then cast(count(*) as varchar) end as description
         from orders group by o_orderpriority""",
     "incremental": f"""
         select event_id, strftime({READ_TS}, {MICROS}) as ts, user_id,

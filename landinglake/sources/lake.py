@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from landinglake.functions.quoting import table_identifier
 from landinglake.storage import Storage, base_name, join_path
 
 
@@ -34,6 +35,7 @@ class TableDefinition:
 
 def find_table(spark: SparkSession, table: str) -> TableDefinition | None:
     """Definition of a table, or none if the catalog has no such table."""
+    table = table_identifier(table)
     if not spark.catalog.tableExists(table):
         return None
     details = {row.col_name: row.data_type

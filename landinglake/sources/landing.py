@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ class Landing:
 
     rows: DataFrame
     files: tuple[str, ...]
+    load_id: str | None = None
 
     @property
     def payload(self) -> list[str]:
@@ -53,15 +56,32 @@ def entity_files(spark: SparkSession, prefix: str, exclude: Iterable[str] = ())
                                        F.sum("length").alias("bytes"))
 
 
-def infer_schema(spark: SparkSession, path: str, file_format: str,
+def list_folder(spark: SparkSession, path: str,
+                options: Mapping[str, str] | None = None) -> tuple[tuple[str, ...], str]:
+    """Every file below a folder, in order, and a load id that depends on which they are.
+
+    The names come to the driver in one transfer.
+    """
+    wanted = {k: v for k, v in (options or {}).items()
+              if k.lower() in ("pathglobfilter", "modifiedbefore", "modifiedafter")}
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .options(**wanted).load(path).select("path", "length", "modificationTime"))
+    files = tuple(sorted(map(unquote, found.inputFiles())))
+    # The scan skips files without content, which still are files of the load.
+    text = "\n".join([*files, *(f"{r.path}|{r.length}|{r.modificationTime}"
+                                for r in sorted(found.collect()))])
+    return files, hashlib.sha256(text.encode()).hexdigest()[:32]
+
+
+def infer_schema(spark: SparkSession, files: Iterable[str], file_format: str,
                  options: Mapping[str, str] | None = None) -> StructType:
-    """Schema of a folder without the malformed-record column; it may be empty.
+    """Schema of the given files without the malformed-record column; it may be empty.
 
-    Spark reads the whole folder for this, as a sample could miss rare columns. Pass a
+    Spark reads the whole files for this, as a sample could miss rare columns. Pass a
     schema to :func:`read_landing` to save the pass.
     """
     found = (spark.read.format(file_format).option("inferSchema", "true")
-             .option("mode", "PERMISSIVE").options(**(options or {})).load(path).schema)
+             .option("mode", "PERMISSIVE").options(**(options or {})).load(list(files)).schema)
     return StructType([field for field in found if field.name != CORRUPT_RECORD])
 
 
@@ -70,23 +90,32 @@ def read_landing(spark: SparkSession, path: str, file_format: str,
                  options: Mapping[str, str] | None = None) -> Landing:
     """Rows of a folder, malformed records kept verbatim in ``_corrupt_record``.
 
+    The folder, sub-folders included, is listed once. Schema, rows, ``files`` and ``load_id``
+    all come from that listing, so a file that arrives meanwhile is left for the next load.
     The corrupt column is part of the given schema, so no second look at the data decides
     whether it exists, and CSV gets one too.
     """
     options = dict(options or {})
-    payload = schema or infer_schema(spark, path, file_format, options)
+    files, load_id = list_folder(spark, path, options)
+    if not files:
+        raise FileNotFoundError(f"no files in {path}")
+    if str(options.get("recursiveFileLookup", "false")).lower() != "true":
+        # Folders named column=value are columns, as when the folder itself is read.
+        options.setdefault("basePath", path)
+    names = [re.sub(r"([\[\]{}*?\\])", r"\\\1", name) for name in files]
+    payload = schema or infer_schema(spark, names, file_format, options)
     if file_format not in RECORD_FORMATS:
-        rows = spark.read.format(file_format).options(**options).schema(payload).load(path)
+        rows = spark.read.format(file_format).options(**options).schema(payload).load(names)
         rows = rows.withColumn(CORRUPT_RECORD, F.lit(None).cast("string"))
     elif not payload.fields:
         # Nothing but malformed records: there is no column to parse into.
         whole = str(options.get("multiLine", "false")).lower() == "true"
-        lines = spark.read.options(**options).text(path, wholetext=whole)
+        lines = spark.read.options(**options).text(names, wholetext=whole)
         rows = lines.filter(F.trim("value") != "").withColumnRenamed("value", CORRUPT_RECORD)
     else:
         with_corrupt = StructType([*payload.fields, StructField(CORRUPT_RECORD, StringType())])
         rows = (spark.read.format(file_format).option("mode", "PERMISSIVE")
                 .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-                .options(**options).schema(with_corrupt).load(path))
-    files = tuple(rows.inputFiles())
-    return Landing(rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), files)
+                .options(**options).schema(with_corrupt).load(names))
+    return Landing(rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")), files,
+                   load_id)

@@ -1,0 +1,175 @@
+"""What must hold off the beaten path: late files, odd answers, clashes, time zones, retries."""
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from landinglake.operators import audit, quality, sinks, tables
+from landinglake.plans import ingest, layers
+from landinglake.plans.publish import publish
+from landinglake.sources.landing import read_landing
+
+
+def write(path, *records):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as out:
+        out.writelines(r if isinstance(r, str) else json.dumps(r) + "\n" for r in records)
+
+
+def ingest_one(spark, folder, table, **more):
+    return ingest.ingest_entity(spark, "e", folder + "/in", table, folder + "/lake",
+                                folder + "/error", **more)
+
+
+def test_late_file_is_neither_read_nor_listed(spark, folder):
+    write(folder + "/in/a.json", {"x": 1})
+    landing = read_landing(spark, folder + "/in", "json")
+    write(folder + "/in/b.json", {"x": 2, "fresh": 3})
+    assert [r.x for r in landing.rows.collect()] == [1]
+    assert [os.path.basename(f) for f in landing.files] == ["a.json"]
+    again = read_landing(spark, folder + "/in", "json")
+    assert "fresh" in again.rows.columns and again.load_id != landing.load_id
+
+
+def test_files_in_plain_subfolders_are_read(spark, folder, new_table):
+    write(folder + "/in/deep/er/a [1].json", {"x": 1})
+    write(folder + "/in/b.json", {"x": 2})
+    outcome = ingest_one(spark, folder, new_table)
+    assert outcome.ok and len(outcome.files) == 2
+    assert sorted(r.x for r in spark.table(new_table).collect()) == [1, 2]
+    assert sinks.purge_files(spark, outcome.files) == 2
+    assert not os.path.exists(folder + "/in/deep/er/a [1].json")
+
+
+GOOD = '[["e","s","a","b","Success","d"]]'
+ANSWERS = {"garbage": False, None: False, '[["e","s","a","b","Failed"': False,
+           "[('e', 's', datetime.datetime(2024, 1, 1), 'b', 'Failed', 'd')]": False,
+           '[["e","s"]]': False, GOOD: True, "[]": True, "[" + GOOD[1:-1].replace("Success", "Failed")
+           + "]": False}
+
+
+@pytest.mark.parametrize("cell", ANSWERS)
+def test_unreadable_answers_fail(spark, folder, cell):
+    answer = spark.createDataFrame([(cell,)], "answer string")
+    flags = layers.refresh_by_call(spark, ["e"], lambda e: answer, ingest.Recorder(folder), 1)
+    assert [r.ok for r in flags.collect()] == [ANSWERS[cell]]
+
+
+def test_answer_without_a_row_fails(spark, folder):
+    answer = spark.createDataFrame([], "answer string")
+    flags = layers.refresh_by_call(spark, ["e"], lambda e: answer, ingest.Recorder(folder), 1)
+    assert [r.ok for r in flags.collect()] == [False]
+
+
+def test_partition_values_in_another_time_zone(spark, folder, new_table, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        df = spark.sql("select 1 as v, timestamp'2024-01-01 00:30:00' as t, date'2024-01-01' as d, "
+                       "cast(1.50 as decimal(5,2)) as m, 0.1D as x, 'a/b=c' as s")
+        publish(df, new_table, folder + "/t", partition_cols=["t", "d", "m", "x", "s"])
+        assert spark.table(new_table).filter("v = 1").count() == 1
+        publish(df.withColumn("v", F.lit(2)), new_table, mode="dynamic",
+                partition_cols=["t", "d", "m", "x", "s"])
+        assert [r.v for r in spark.table(new_table).collect()] == [2]
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+
+
+def test_dynamic_load_lists_touched_folders_only(spark, folder, new_table, monkeypatch):
+    from landinglake.storage import Storage
+
+    df = spark.range(20).selectExpr("id", "id % 10 as p")
+    publish(df, new_table, folder + "/t", partition_cols=["p"])
+    listed, plain = [], Storage.children
+    monkeypatch.setattr(Storage, "children", lambda self, path: listed.append(path)
+                        or plain(self, path))
+    publish(df.filter("p = 3"), new_table, mode="dynamic", partition_cols=["p"])
+    assert [os.path.basename(path) for path in listed] == ["p=3"]
+    assert spark.table(new_table).count() == 20
+
+
+@pytest.mark.parametrize("name, options", [
+    ("process_execution_id", ingest.LoadOptions()),
+    ("Year", ingest.LoadOptions(base_column="t", partition_cols=("year",)))])
+def test_payload_that_clashes_with_a_derived_column_is_an_error(spark, folder, new_table, name,
+                                                               options):
+    write(folder + "/in/a.json", {"x": 1, "t": "2024-01-01", name: 1999})
+    outcome = ingest_one(spark, folder, new_table, options=options)
+    assert not outcome.ok and name in outcome.steps[-1].description
+
+
+def test_empty_payload_year_is_dropped_before_the_derived_one(spark, folder, new_table):
+    write(folder + "/in/a.json", {"x": 1, "t": "2024-01-01", "year": None})
+    outcome = ingest_one(spark, folder, new_table, options=ingest.LoadOptions(
+        base_column="t", partition_cols=("year",)))
+    assert outcome.ok and [r.year for r in spark.table(new_table).collect()] == [2024]
+
+
+def test_reject_summary_of_a_landing_folder(spark, folder):
+    write(folder + "/in/a.json", {"x": 1}, '{"x": \n')
+    row = quality.reject_summary(read_landing(spark, folder + "/in", "json").rows).first()
+    assert tuple(row) == (2, 1, False)
+
+
+def test_bulk_load_of_arrays_truncates_everything(spark, folder, new_table):
+    spark.sql(f"create table {new_table} (a array<int>, p int) using parquet partitioned by (p) "
+              f"location '{folder}/t'")
+    one = spark.sql("select array(1, 2) as a, 1 as p")
+    sinks.bulk_load(one, new_table)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        for mode in ("dynamic", "static"):
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+            sinks.bulk_load(one.selectExpr("array(3) as a", "2 as p"), new_table, truncate=True)
+            assert [tuple(r) for r in spark.table(new_table).collect()] == [([3], 2)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_rejects_of_many_tasks_make_few_files(spark, folder):
+    rows = spark.range(0, 40, 1, 40).selectExpr("cast(id as string) as _corrupt_record")
+    sinks.write_rejects(rows, folder + "/r", run_id=1)
+    assert len([f for f in os.listdir(folder + "/r") if f.startswith("part-")]) <= 2
+
+
+def test_tables_with_odd_names_and_columns_in_another_case(spark, folder):
+    spark.sql("drop table if exists `2024`")
+    publish(spark.sql("select 1 as ID"), "2024", folder + "/t")
+    publish(spark.sql("select 2 as id, 3 as more"), "2024")
+    assert spark.table("`2024`").count() == 2
+    assert tables.schema_rows(spark, "2024", "e", 1).count() == 2
+    spark.sql("drop table `2024`")
+
+
+def test_load_interrupted_before_the_purge_is_not_repeated(spark, folder, new_table, monkeypatch):
+    write(folder + "/in/a.json", {"x": 1})
+    recorder = ingest.Recorder(folder + "/records")
+
+    def load():
+        return ingest.refresh_entity(spark, "e", folder + "/in", new_table, folder + "/lake",
+                                     folder + "/error", recorder, 1, 1)
+
+    with monkeypatch.context() as crash:
+        crash.setattr(ingest, "purge_files", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        assert not load().ok
+    assert load().ok and spark.table(new_table).count() == 1
+    assert not os.path.exists(folder + "/in/a.json")
+    write(folder + "/in/a.json", {"x": 1})
+    assert load().ok and spark.table(new_table).count() == 2
+
+
+def test_failing_clean_up_keeps_the_outcome(spark, folder, new_table, monkeypatch):
+    write(folder + "/in/a.json", {"x": 1}, '{"x": \n')
+    monkeypatch.setattr(ingest, "remove_rejects", lambda *a: 1 / 0)
+    monkeypatch.setattr(ingest, "publish", lambda *a, **k: 1 / 0)
+    assert not ingest_one(spark, folder, new_table).ok
+
+
+def test_an_unknown_flag_is_a_failure(spark):
+    flags = spark.createDataFrame([("a", True), ("a", None)], "k string, ok boolean")
+    assert [r.ok for r in audit.fold_status(flags, "k").collect()] == [False]
