@@ -274,23 +274,30 @@ def refresh_entity(spark: SparkSession, entity: str, source: str, table: str, la
     outcome = ingest_entity(spark, entity, source, table, lake_path, reject_path, run_id, options,
                             purge_rejected=purge, once=purge)
     try:
-        recorder.steps(step_frame(spark, outcome.steps, job_run_id))
-        if outcome.all_rejected:
-            return replace(outcome, ok=True)
-        if outcome.ok:
-            if outcome.accepted:
-                recorder.schema(schema_rows(spark, table, clean_name(entity), run_id))
-            recorder.mapping(entity_mapping(spark, run_id, entity))
-            if purge:
-                purge_files(spark, outcome.files)
-                if outcome.load_id:  # its files are gone, so it cannot come again
-                    LoadMarker(spark, lake_path, outcome.load_id).forget()
+        outcome = record_outcome(spark, outcome, table, recorder, run_id, job_run_id)
+        if outcome.ok and not outcome.all_rejected and purge:
+            purge_files(spark, outcome.files)
+            if outcome.load_id:  # its files are gone, so it cannot come again
+                LoadMarker(spark, lake_path, outcome.load_id).forget()
     except Exception:
         log.exception("%s: recording failed", entity)
         return replace(outcome, ok=False)
     return outcome
 
 
+def record_outcome(spark: SparkSession, outcome: Ingested, table: str, recorder: Recorder,
+                   run_id: int, job_run_id: int) -> Ingested:
+    """Store a load's audit steps and, if it has loaded, column types and run mapping."""
+    recorder.steps(step_frame(spark, outcome.steps, job_run_id))
+    if outcome.all_rejected:
+        return replace(outcome, ok=True)
+    if outcome.ok:
+        if outcome.accepted:
+            recorder.schema(schema_rows(spark, table, clean_name(outcome.entity), run_id))
+        recorder.mapping(entity_mapping(spark, run_id, outcome.entity))
+    return outcome
+
+
 def for_each_entity(spark: SparkSession, entities: Iterable[Item], work: Callable[[Item], object],
                     parallel: int = PARALLEL_ENTITIES) -> list:
     """Submit the Spark jobs of several entities side by side."""

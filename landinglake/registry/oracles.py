@@ -349,3 +349,5 @@ ORACLES: dict[str, str] = {
           cast(sum(cast(value as decimal(38,6))) as varchar) as total_value
         from events where value >= {BAD_TIME_BELOW} and value < {BROKEN_FROM} group by 1, 2, 3""",
 }
+# The same rows, however they have come in.
+ORACLES["incremental_all"] = ORACLES["curated_layer"]

@@ -26,7 +26,7 @@ from landinglake.registry.fixtures import (csv_folder, events, landing_folder, l
 from landinglake.sources import lake
 from landinglake.sources.landing import CORRUPT_RECORD, SOURCE_FILE, entity_files, read_landing
 from landinglake.storage import Storage, fresh_folder, join_path
-from landinglake.streaming import ingest_new_files
+from landinglake.streaming import ingest_new_all, ingest_new_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -774,6 +774,37 @@ def incremental(spark, sf_dir):
         F.col("value").cast("string").alias("value"), "props")
 
 
+@query
+def incremental_all(spark, sf_dir):
+    """All entities of a prefix in two arrivals, then the curated layer of what the run loaded."""
+    arrivals, root = write_tree(spark, sf_dir), fresh_folder(spark, "incremental")
+    landing, tag = fresh_folder(spark, "inbox"), uuid.uuid4().hex
+    storage, recorder = Storage(spark, landing), ingest.Recorder(join_path(root, "records"))
+    options = ingest.LoadOptions(schema=EVENT_SCHEMA, base_column="ts",
+                                 partition_cols=("year", "month", "day"))
+    name = lambda e: f"new_{clean_name(e)}_{tag}"
+    files = [(e, file) for e, _ in storage.children(arrivals) for file, _ in storage.children(e)]
+    for arrival in (0, 1):
+        for folder, file in files[arrival::2]:
+            target = join_path(landing, folder.rstrip("/").rsplit("/", 1)[-1])
+            storage.make_folder(target)
+            storage.rename(file, join_path(target, file.rsplit("/", 1)[-1]))
+        ingest_new_all(spark, landing, join_path(root, "lake"), join_path(root, "error"),
+                       join_path(root, "checkpoint"), recorder, 41, 42, options,
+                       exclude=["signup"], table_name=name)
+    mapping = lake.read_appended(spark, join_path(root, "records",
+                                                  "entity_process_execution_mapping"))
+    curated = lambda e: f"curated_{name(e)}"
+    flags = layers.refresh_curated(
+        spark, mapping, 41, source=lambda e: spark.table(name(e)), table_name=curated,
+        transform=lambda df: df.groupBy("evenement_type", "month", "day").agg(
+            F.count(F.lit(1)).alias("records"), F.countDistinct("user_id").alias("users")),
+        path=join_path(root, "curated"), recorder=recorder, job_run_id=43,
+        partition_cols=["month"])
+    return audit.union_steps(*[spark.table(curated(r.entity))
+                               for r in flags.filter("ok").orderBy("entity").collect()])
+
+
 @query
 def flagship(spark, sf_dir):
     """The whole path: JSON lines to a registered lake table, read back per day."""

@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from landinglake.plans.ingest import Ingested, LoadOptions, ingest_entity
+from landinglake.functions.names import clean_name
+from landinglake.plans.ingest import (PARALLEL_ENTITIES, Ingested, LoadOptions, Recorder,
+                                      for_each_entity, ingest_entity, record_outcome)
 from landinglake.plans.publish import LoadMarker
-from landinglake.sources.landing import CORRUPT_RECORD, RECORD_FORMATS, SOURCE_FILE, Landing
+from landinglake.sources.landing import (CORRUPT_RECORD, RECORD_FORMATS, SOURCE_FILE, Landing,
+                                         entity_files)
 from landinglake.storage import Storage, join_path
 
 
+log = logging.getLogger(__name__)
+
+
 def ingest_new_files(spark: SparkSession, entity: str, source: str, table: str, lake_path: str,
                      reject_path: str, checkpoint: str, run_id: int = -1,
                      options: LoadOptions = LoadOptions(), archive: str | None = None,
-                     files_per_batch: int | None = None) -> list[Ingested]:
+                     files_per_batch: int | None = None, recorder: Recorder | None = None,
+                     job_run_id: int = -1) -> list[Ingested]:
     """Load the files that have arrived since the last call, then end.
 
+    With a ``recorder`` every batch stores its audit steps, column types and run mapping, as a
+    batch load does; a batch that Spark repeats stores them again.
+
     The checkpoint remembers the files. Query and batch number make up the load id, so a
     batch that Spark repeats after a crash is not loaded twice. ``archive`` moves finished files
     away instead of deleting them; Spark does so with a delay. ``files_per_batch`` cuts a
@@ -52,6 +65,9 @@ def ingest_new_files(spark: SparkSession, entity: str, source: str, table: str,
             landing=Landing(batch, ()), load_id=f"{query}-{number}")
         if not outcome.ok and not outcome.all_rejected:
             raise RuntimeError(outcome.steps[-1].description)
+        if recorder:
+            outcome = record_outcome(batch.sparkSession, outcome, table, recorder, run_id,
+                                     job_run_id)
         outcomes.append(outcome)
         if number > 1:
             # Only the newest batch can be repeated.
@@ -61,3 +77,30 @@ def ingest_new_files(spark: SparkSession, entity: str, source: str, table: str,
      .option("checkpointLocation", join_path(checkpoint, entity))
      .trigger(availableNow=True).start().awaitTermination())
     return outcomes
+
+
+def ingest_new_all(spark: SparkSession, landing_prefix: str, lake_prefix: str, error_prefix: str,
+                   checkpoint: str, recorder: Recorder, run_id: int, job_run_id: int,
+                   options: LoadOptions = LoadOptions(), exclude: Iterable[str] = (),
+                   table_name: Callable[[str], str] = clean_name,
+                   parallel: int = PARALLEL_ENTITIES) -> list[Ingested]:
+    """:func:`ingest_new_files` for every entity of a prefix that has files, side by side.
+
+    An entity that fails is an outcome, and its files are tried again by the next call.
+    """
+    if not Storage(spark, landing_prefix).exists(landing_prefix):
+        return []
+    listed = entity_files(spark, landing_prefix, exclude).select("entity").collect()
+
+    def load(entity: str) -> list[Ingested]:
+        try:
+            return ingest_new_files(
+                spark, entity, join_path(landing_prefix, entity), table_name(entity),
+                join_path(lake_prefix, entity), join_path(error_prefix, entity), checkpoint,
+                run_id, options, recorder=recorder, job_run_id=job_run_id)
+        except Exception:
+            log.exception("%s: incremental load failed", entity)
+            return [Ingested(entity, ok=False)]
+
+    names = sorted(row.entity for row in listed)
+    return [o for found in for_each_entity(spark, names, load, parallel) for o in found]
