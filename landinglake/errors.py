@@ -17,5 +17,9 @@ class LocationMismatch(LandingLakeError):
     """A table exists already, at another location than the one asked for."""
 
 
+class SnapshotTaken(LandingLakeError):
+    """Another writer has written the next version of a snapshot table first."""
+
+
 class StepFailed(LandingLakeError):
     """A layer refresh reported a failed step."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
@@ -10,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landinglake.errors import SnapshotTaken
 from landinglake.functions.quoting import quoted
 from landinglake.operators.quality import rejected_rows
 from landinglake.operators.tables import RUN_ID
@@ -18,6 +20,11 @@ from landinglake.storage import Storage, fresh_folder, join_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
+log = logging.getLogger(__name__)
+
+# Times a change of a snapshot table is tried while others write.
+SNAPSHOT_ATTEMPTS = 20
+
 # Rows per JDBC batch.
 BATCH_SIZE = "10000"
 
@@ -100,20 +107,53 @@ def append_files(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.parquet(join_path(path, f"append={uuid.uuid4().hex}"))
 
 
-def write_snapshot(df: DataFrame, path: str) -> int:
+def write_snapshot(df: DataFrame, path: str, base: int | None = None) -> int:
     """Rewrite a small unpartitioned table as its next version.
 
     ``df`` may read the current version: it stays, and a reader goes on with it, until the
-    new one is complete.
+    new one is complete. ``base`` is the version that ``df`` was made from (the newest, unless
+    told): if another writer has made its successor meanwhile, SnapshotTaken is raised and
+    nothing changes. Rows go to a folder of their own; a file that only one writer can
+    create then decides who may rename it to the next version. It names the folder, so that the
+    next writer can finish for one that died in between.
     """
-    versions = snapshots(df.sparkSession, path)
-    version = versions[-1] + 1 if versions else 1
-    (df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-     .parquet(join_path(path, f"version={version}")))
-    # The version before stays for readers that have started; older ones go.
-    Storage(df.sparkSession, path).delete_all(
-        join_path(path, f"version={v}") for v in versions[:-1])
-    return version
+    spark = df.sparkSession
+    storage = Storage(spark, path)
+    if base is None:
+        base = (snapshots(spark, path) or [0])[-1]
+    claim, target = join_path(path, f"_claim={base + 1}"), join_path(path, f"version={base + 1}")
+    staged = join_path(path, f"_staged={uuid.uuid4().hex}")
+    (df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(staged))
+    if not storage.create_exclusive(claim, staged):
+        storage.delete(staged)
+        other = storage.read_text(claim)
+        if not storage.exists(target) and other and storage.exists(other):
+            try:
+                storage.rename(other, target)
+            except OSError:
+                log.info("version %s was finished by its own writer", base + 1)
+        raise SnapshotTaken(f"{path}: version {base + 1} has been written meanwhile")
+    if not storage.exists(target):  # else another writer has finished for this one
+        storage.rename(staged, target)
+    # The version before stays for readers that have started; older ones go, their claims stay.
+    storage.delete_all(join_path(path, f"version={v}") for v in snapshots(spark, path) if v < base)
+    return base + 1
+
+
+def update_snapshot(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame],
+                    attempts: int = SNAPSHOT_ATTEMPTS) -> int:
+    """Apply ``change`` to the newest version and write the next; if another writer is faster,
+    apply it again to what that one has written, so that no change is lost."""
+    for attempt in range(attempts):
+        versions = snapshots(spark, path)
+        if not versions:
+            raise FileNotFoundError(f"no complete snapshot in {path}")
+        rows = spark.read.parquet(join_path(path, f"version={versions[-1]}"))
+        try:
+            return write_snapshot(change(rows), path, versions[-1])
+        except SnapshotTaken:
+            log.info("%s: version %s was taken, attempt %s", path, versions[-1] + 1, attempt + 1)
+    raise SnapshotTaken(f"{path}: no success in {attempts} attempts")
 
 
 def append_database(df: DataFrame, url: str, table: str,

@@ -425,8 +425,8 @@ def status_end(spark, sf_dir):
     path = fresh_folder(spark, "jobs_execution")
     runs = _timed_runs(spark, sf_dir, "jobs_status", "jobs_start_dt", "jobs_end_dt")
     sinks.write_snapshot(runs, path)
-    sinks.write_snapshot(metastore.end_jobs(lake.read_snapshot(spark, path),
-                                            _changes(spark, sf_dir, "S"), _clock()), path)
+    changes = _changes(spark, sf_dir, "S")
+    sinks.update_snapshot(spark, path, lambda now: metastore.end_jobs(now, changes, _clock()))
     return _as_text(lake.read_snapshot(spark, path), "jobs_start_dt", "jobs_end_dt")
 
 

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Store requests in flight when many files are deleted.
@@ -21,6 +22,7 @@ class Storage:
     """The file system that holds ``path``."""
 
     def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -33,6 +35,32 @@ class Storage:
     def touch(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
+    def create_exclusive(self, path: str, text: str) -> bool:
+        """Create a small file unless there is one; of several callers one succeeds."""
+        target = self._path(path)
+        if self._fs.getUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates then.
+            if not self._jvm.java.io.File(target.toUri().getPath()).createNewFile():
+                return False
+            stream = self._fs.create(target, True)
+        else:
+            try:
+                stream = self._fs.create(target, False)
+            except Py4JJavaError:
+                if self._fs.exists(target):
+                    return False
+                raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def rename(self, source: str, target: str) -> None:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not move {source} to {target}")

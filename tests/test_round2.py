@@ -173,3 +173,36 @@ def test_failing_clean_up_keeps_the_outcome(spark, folder, new_table, monkeypatc
 def test_an_unknown_flag_is_a_failure(spark):
     flags = spark.createDataFrame([("a", True), ("a", None)], "k string, ok boolean")
     assert [r.ok for r in audit.fold_status(flags, "k").collect()] == [False]
+
+
+def test_no_writer_loses_a_change(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from landinglake.errors import SnapshotTaken
+    from landinglake.sources.lake import read_snapshot
+
+    sinks.write_snapshot(spark.range(4).withColumn("state", F.lit("R")), folder)
+
+    def end(job):
+        changed = F.when(F.col("id") == job, "S").otherwise(F.col("state"))
+        sinks.update_snapshot(spark, folder, lambda rows: rows.withColumn("state", changed))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(end, range(4)))
+    assert {r.state for r in read_snapshot(spark, folder).collect()} == {"S"}
+    with pytest.raises(SnapshotTaken):
+        sinks.write_snapshot(spark.range(1), folder, base=2)
+
+
+def test_next_writer_finishes_a_snapshot_whose_writer_died(spark, folder, monkeypatch):
+    from landinglake.sources.lake import read_snapshot
+    from landinglake.storage import Storage
+
+    sinks.write_snapshot(spark.range(1), folder)
+    with monkeypatch.context() as crash:
+        crash.setattr(Storage, "rename", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_snapshot(spark.range(2), folder)
+    assert read_snapshot(spark, folder).count() == 1
+    sinks.update_snapshot(spark, folder, lambda rows: rows.union(rows))
+    assert read_snapshot(spark, folder).count() == 4
