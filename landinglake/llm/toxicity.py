@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples, found exactly in a block-max inverted index.
 
-Texts are TF-IDF vectors over words (lower-cased ASCII, without punctuation). Of all words those
-count whose link with the label is significant (chi-squared) among the examples, at most
+Examples that are near copies of each other (by min-hashes of their shingles) would make the words
+they happen to share look telling, so one of each such group is kept. Texts are TF-IDF vectors over
+words (lower-cased ASCII, without punctuation). Of all words those count whose link with the label is significant (chi-squared) among the examples, at most
 ``MAX_TERMS``; document frequencies are taken over all documents. Examples lie in the inverted index
 in blocks, and for every term each block keeps its largest weight. The bounds these give for a
 query order the blocks, and search ends when no block left can reach the k-th best cosine, so the
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import look_up, run_starts, steps
 from landinglake.llm.tables import sample_each, stored
-from landinglake.llm.words import MARKS, Words
+from landinglake.llm.words import MARKS, Words, mix, shingle_sets
 
 SAMPLE = 4000
 MAX_TERMS = 1000
@@ -40,6 +41,8 @@ LEAST_LINK = 32.0
 NEIGHBOURS = 25
 EVIDENCE = 3
 BLOCK = 64
+# Min-hashes by which copies among the examples are told.
+SIGNS = 8
 THRESHOLD = 0.3
 # Added to distances, so that exact copies do not outvote everything.
 NEAR = 0.1
@@ -68,14 +71,51 @@ def _known_terms(batch: pa.RecordBatch, terms: np.ndarray):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """Stored (doc_id, toxic, text) of at most ``sample`` documents per class."""
+    """(doc_id, toxic, text) of at most ``sample`` documents per class, one per group of near
+    copies."""
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .filter("toxic is not null and doc_id is not null")
     chosen = sample_each(marked, "toxic", sample, "doc_id").select("doc_id", "toxic")
     # At most two times ``sample`` ids, so the texts need not be shuffled.
-    return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
                   .select("doc_id", "toxic", "text"), "labelled")
 
+    def sign(batches):
+        for batch in steps(batches):
+            values, first = shingle_sets(Words(batch.column("text"), lower=True), 5)
+            full = np.append(values, np.uint64(0))  # keeps the last slice in bounds
+            signs = [np.where(np.diff(first) > 0, np.minimum.reduceat(
+                mix(full ^ np.uint64(seed + 1)), first[:-1]), 0) for seed in range(SIGNS)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(s.view(np.int64)) for s in signs)],
+                names=["doc_id", *(f"s{i}" for i in range(SIGNS))])
+
+    signed = rows.mapInArrow(sign, "doc_id bigint, " + ", ".join(
+        f"s{i} bigint" for i in range(SIGNS))).toArrow()
+    kept = first_of_copies(signed.column("doc_id").to_numpy(), np.column_stack(
+        [signed.column(f"s{i}").to_numpy() for i in range(SIGNS)]))
+    ids = rows.sparkSession.createDataFrame([(i,) for i in kept], "doc_id bigint")
+    return rows.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+
+
+def first_of_copies(ids: np.ndarray, signs: np.ndarray) -> list[int]:
+    """The ids, in order, without those that agree with an earlier one in half of the signs.
+
+    The number of rows is bounded by the sample. Each row is compared with the first kept row of
+    each of its signs.
+    """
+    kept, holders = [], [{} for _ in range(signs.shape[1])]
+    for row in np.argsort(ids, kind="stable").tolist():
+        own = signs[row].tolist()
+        earlier = {holders[i][sign] for i, sign in enumerate(own) if sign in holders[i]}
+        if any(own) and any(2 * int((signs[other] == signs[row]).sum()) >= len(own)
+                            for other in earlier):
+            continue
+        kept.append(int(ids[row]))
+        for i, sign in enumerate(own):
+            holders[i].setdefault(sign, row)
+    return sorted(set(kept))
+
 
 def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int, most: int,
                  least_link: float) -> np.ndarray:
