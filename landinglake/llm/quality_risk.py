@@ -134,6 +134,11 @@ def _binomial_tail(rejected: Column, total: Column, risk: float) -> Column:
     return F.when(rejected > total * risk, F.lit(1.0)).otherwise(summed)
 
 
+def _certifies(doc_id: Column) -> Column:
+    """Is a labelled document in the half that certifies?"""
+    return F.substring(F.md5(doc_id.cast("string").cast("binary")), 1, 1) < "8"
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
             levels: tuple[float, ...] = LEVELS) -> DataFrame:
     """(stratum, n_good, certified, cutoff) per stratum with labels: good documents that certify,
@@ -141,7 +146,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     marked = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = (measured.join(marked, "doc_id").filter("quality is not null")
             .select("stratum", "severity", (F.col("quality") > 0).alias("good"),
-                    (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("certifies")))
+                    _certifies(F.col("doc_id")).alias("certifies")))
 
     def lost(condition):
         return F.array(*(F.count_if(condition & (F.col("severity") > level)) for level in levels))

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from landinglake.llm import (decontamination, language, ngram_join, packing, quality_risk,
                              secret_scan, substrings, token_counts, toxicity, warc)
+from landinglake.llm.oracles import ORACLES
 from landinglake.llm.tables import documents, show_package
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 # Fixed value: the pages carry no date of their own.
 WARC_DATE = "2024-06-01T00:00:00Z"
