@@ -44,8 +44,10 @@ def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
     """At most ``most`` rows per value of ``by``, first in the order of a hash of the columns
     ``draw``, with their ``place`` in that order."""
     mark = F.pmod(F.xxhash64(*draw), F.lit(1_000_003))
-    # About twice as many as wanted pass on, so the window sees a bounded number per value.
-    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    # About twice as many as wanted pass on, so the window sees a bounded number per value. The
+    # counts, one per value, go to the tasks if there are few, so that all other rows stay put.
+    counts = stored(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")), "counts")
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
     share = F.least(F.lit(1.0), (2.0 * most + 100) / F.col("_rows"))
     few = rows.join(counts, by).filter(mark < share * 1_000_003).drop("_rows")
     order = Window.partitionBy(by).orderBy(mark, *draw)
