@@ -28,6 +28,7 @@ from landinglake.llm.tables import stored
 
 HEAD_ENTRIES = 150_000
 HEAD_BYTES = 4_000_000
+HEAD_TOKEN_BYTES = 256
 # Distinct pre-tokens a task gathers before it passes their counts on.
 FLUSH_ENTRIES = 300_000
 SPACE = "▁"
@@ -110,12 +111,25 @@ def piece_table(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def frequent(pieces: DataFrame, entries: int = HEAD_ENTRIES, max_bytes: int = HEAD_BYTES) -> dict:
-    """The most frequent pre-tokens and their pieces, within both bounds."""
-    longest = max(1, max_bytes // max(entries, 1) * 8)
-    rows = (pieces.filter(F.octet_length("token") <= longest)
-            .orderBy(F.desc("total"), "token").limit(entries).collect())
+    """The most frequent pre-tokens and their pieces, within both bounds.
+
+    How many pre-tokens lie in each step of frequency is counted first, so that no more than
+    ``entries`` rows leave the tasks.
+    """
+    pieces = pieces.filter(F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    step = F.floor(8 * F.log2("total"))
+    counts = pieces.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, taken = None, 0
+    for row in sorted(counts, key=lambda r: -r.step):
+        taken += row.n
+        if taken > entries:
+            break
+        least = row.step
+    if least is None:
+        return {}
     head, size = {}, 0
-    for row in rows:
+    rows = pieces.filter(step >= least).select("token", "total", "pieces").collect()
+    for row in sorted(rows, key=lambda r: (-r.total, r.token)):
         size += len(row.token.encode()) + 8
         if size > max_bytes:
             break
