@@ -21,15 +21,18 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import (PACKED, PART_BYTES, frequent_values, joined, look_up, pack,
-                                     part_of, steps, unpack)
+                                     part_of, run_starts, steps, unpack)
 from landinglake.llm.tables import parts_for, stored, text_bytes
-from landinglake.llm.words import Words
+from landinglake.llm.words import Words, mix
 
 SIZE = 50
+# Documents written at once.
+STEP_ROWS = 10_000
 
 
 def _windows(batch: pa.RecordBatch, size: int):
@@ -57,6 +60,8 @@ def common_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return docs.select("text").mapInArrow(count, "value bigint, n_docs bigint")
 
 
+# Kinds of packed rows: windows to be counted or repeated, and least documents of frequent ones.
+_COUNT, _LEAST = 0, 1
 _REPEATED = "doc_id bigint, windows binary, window bigint, least bigint"
 
 
@@ -74,43 +79,56 @@ def repeated_windows(docs: DataFrame, parts: int, often: np.ndarray, size: int =
             is_often, at = look_up(often, hashes)
             np.minimum.at(least, at[is_often], owners[is_often])
             rare = ~is_often
-            yield from pack(part_of(hashes[rare], parts), owners[rare], np.zeros(rare.sum(), int),
-                            hashes[rare], None, parts, by_owner=False)
+            yield from pack(part_of(hashes[rare], parts), owners[rare], hashes[rare], None, parts,
+                            _COUNT, by_owner=False)
         seen = least < np.iinfo(np.int64).max
         if seen.any():
-            yield from pack(part_of(often[seen], parts), least[seen], np.zeros(seen.sum(), int),
-                            often[seen], np.ones(seen.sum(), np.int64), parts)
+            yield from pack(part_of(often[seen], parts), least[seen], often[seen], None, parts,
+                            _LEAST)
 
     def count(batches):
         arrays = ([], [])
         for batch in batches:
-            for owners, _, hashes, is_often in unpack(batch):
-                if is_often is not None:
-                    yield _record(None, None, hashes.view(np.int64), owners)
-                else:
-                    arrays[0].append(owners)
-                    arrays[1].append(hashes)
+            passing = batch.filter(pc.equal(batch.column("kind"), _LEAST))
+            if passing.num_rows:
+                yield passing
+            for _, owners, hashes, _ in unpack(batch.filter(
+                    pc.equal(batch.column("kind"), _COUNT))):
+                arrays[0].append(owners)
+                arrays[1].append(hashes)
         owners, hashes = joined(arrays, (np.int64, np.uint64))
         order = np.lexsort((owners, hashes))
         owners, hashes = owners[order], hashes[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = hashes[1:] != hashes[:-1]
-        starts = np.flatnonzero(new)
+        once = run_starts(hashes, owners)
+        owners, hashes = owners[once], hashes[once]
+        starts = run_starts(hashes)
         least = np.repeat(owners[starts], np.diff(np.r_[starts, len(hashes)]))
         again = owners > least
-        again[1:] &= new[1:] | (owners[1:] != owners[:-1])  # once per document
-        owners, hashes = owners[again], hashes[again]
+        yield from pack(part_of(mix(owners[again].view(np.uint64)), parts), owners[again],
+                        hashes[again], None, parts, _COUNT)
+
+    def gather(batches):
+        arrays = ([], [])
+        for batch in batches:
+            for kind, owners, hashes, _ in unpack(batch):
+                if kind == _LEAST:
+                    yield _record(None, None, hashes.view(np.int64), owners)
+                else:
+                    arrays[0].append(owners)
+                    arrays[1].append(hashes)
+        owners, hashes = joined(arrays, (np.int64, np.uint64))
         order = np.argsort(owners, kind="stable")
         owners, hashes = owners[order], hashes[order]
-        starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]]) if len(owners) else []
-        ends = [*starts[1:], len(owners)]
-        for at in range(0, len(starts), 10_000):
-            yield _record(owners[starts[at:at + 10_000]],
-                          [hashes[b:e].tobytes() for b, e in
-                           zip(starts[at:at + 10_000], ends[at:at + 10_000])], None, None)
+        starts = run_starts(owners)
+        ends = np.r_[starts[1:], len(owners)]
+        for at in range(0, len(starts), STEP_ROWS):
+            own = slice(at, at + STEP_ROWS)
+            yield _record(owners[starts[own]], [hashes[b:e].tobytes() for b, e in
+                                                zip(starts[own], ends[own])], None, None)
 
     dealt = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(deal, PACKED)
-    return dealt.repartitionById(parts, "part").mapInArrow(count, _REPEATED)
+    counted = dealt.repartitionById(parts, "part").mapInArrow(count, PACKED)
+    return counted.repartitionById(parts, "part").mapInArrow(gather, _REPEATED)
 
 
 def _record(owners, windows, window, least) -> pa.RecordBatch:
@@ -146,8 +164,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     order = np.argsort(windows)
     known = docs.sparkSession.sparkContext.broadcast(
         (windows[order], least.column("least").to_numpy()[order]))
-    of_doc = (repeated.filter("doc_id is not null").groupBy("doc_id")
-              .agg(F.collect_list("windows").alias("windows")))
+    of_doc = repeated.filter("doc_id is not null").select("doc_id", "windows")
 
     def remove(batches):
         often, least = known.value
@@ -164,7 +181,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
             for row in range(batch.num_rows):
                 own = slice(bounds[row], bounds[row + 1])
                 if lists[row].is_valid:
-                    mine = np.frombuffer(b"".join(lists[row].as_py()), np.uint64)
+                    mine = np.frombuffer(lists[row].as_py(), np.uint64)
                     again[own] |= np.isin(hashes[own], mine)
                 starts, ends = intervals_of(at[own][again[own]] - words.first[row], size)
                 removed.append([{"start": s, "end": e}
