@@ -40,7 +40,8 @@ MAX_TERMS = 1000
 LEAST_LINK = 32.0
 NEIGHBOURS = 25
 EVIDENCE = 3
-BLOCK = 64
+# Examples per block: large enough that numpy outweighs the loop over blocks.
+BLOCK = 1024
 # Min-hashes by which copies among the examples are told.
 SIGNS = 8
 THRESHOLD = 0.3
@@ -188,15 +189,18 @@ class BlockMaxIndex:
         numbers, cosines = np.zeros(0, int), np.zeros(0)
         for block in order.tolist():
             # The sums are rounded; bounds within 1e-12 of the k-th best are looked at.
-            if bounds[block] <= 0 or len(cosines) == k and bounds[block] < cosines[-1] - 1e-12:
+            least = cosines[-1] - 1e-12 if len(cosines) == k else 0.0
+            if bounds[block] <= 0 or bounds[block] < least:
                 break
             found = np.zeros(self.block)
             for term, weight in zip(terms.tolist(), weights.tolist()):
                 own = slice(self.offsets[term * self.blocks + block],
                             self.offsets[term * self.blocks + block + 1])
                 found[self.owners[own] - block * self.block] += weight * self.weights[own]
-            here = np.flatnonzero(found > 0)
+            here = np.flatnonzero((found > 0) & (found >= least))
             here = here[here + block * self.block != without]
+            if not len(here):
+                continue
             numbers = np.r_[numbers, here + block * self.block]
             cosines = np.r_[cosines, found[here]]
             best = np.lexsort((numbers, -cosines))[:k]
