@@ -6,7 +6,7 @@ that at least ``example_owners`` owners have is a widely copied example, one of
 looks random is taken for live. Three kinds are always spans (``BASE``); vendor formats are added
 unless their value is an example.
 
-DataFrame functions only. Texts that can have no candidate are filtered by one pattern first, so
+DataFrame functions only. Texts that can have no candidate are filtered first by plain substrings and the hex pattern, so
 that positions, which are running sums over the gaps between matches, are made for the few others.
 Counting is a chain of aggregations (value, owner, repository), then (value, owner), then value,
 each combined before its shuffle, so a value that a third of all documents hold is no hot group.
@@ -18,6 +18,8 @@ are ignored. Positions are code points, the end exclusive.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +41,16 @@ EXAMPLE_OWNERS = 3
 LEAST_LIVE = 16
 MADE_UP = r"(?i)example|sample|dummy|changeme|placeholder|xxxx|00000000|12345678"
 
-_ANY = "|".join((r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", ACCESS, HEX, VENDOR))
+# What a text with a candidate contains, in lower case or as it is, unless it has a long hex run.
+_KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+_PREFIXES = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza", "eyJ")
+
+
+def may_have_candidates(text: Column) -> Column:
+    """True for every text with a candidate and for few others, without trying all patterns."""
+    lower = F.lower(text)
+    simple = [*(lower.contains(k) for k in _KEYWORDS), *(text.contains(p) for p in _PREFIXES)]
+    return F.coalesce(reduce(Column.__or__, simple) | text.rlike(HEX), F.lit(False))
 
 
 def looks_live(value: Column) -> Column:
@@ -57,7 +68,7 @@ def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     """(key, owner, repository, kind_no, start, end, value, live): every candidate of ``docs``
     once per distinct row."""
     text = F.col("text")
-    rows = (docs.filter(text.rlike(_ANY))
+    rows = (docs.filter(may_have_candidates(text))
             .select(_key(text, "doc_id", owner, repository).alias("key"),
                     F.col(owner).cast("string").alias("owner"),
                     F.col(repository).cast("string").alias("repository"), "text"))
@@ -150,7 +161,7 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     spans = scan_secrets(docs, owner, repository, example_owners).select(
         F.col("key").alias(key),
         F.filter("spans", lambda s: s["verdict"] != "example").alias(cut))
-    may = F.coalesce(F.col("text").rlike(_ANY), F.lit(False))
+    may = may_have_candidates(F.col("text"))
     # Spans may overlap: what is not yet copied begins where the last one ended.
     start = F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("at"))
 
