@@ -2,20 +2,22 @@
 
 Examples that are near copies of each other (by min-hashes of their shingles) would make the words
 they happen to share look telling, so one of each such group is kept. Texts are TF-IDF vectors over
-words (lower-cased ASCII, without punctuation). Of all words those count whose link with the label is significant (chi-squared) among the examples, at most
-``MAX_TERMS``; document frequencies are taken over all documents. Examples lie in the inverted index
-in blocks, and for every term each block keeps its largest weight. The bounds these give for a
-query order the blocks, and search ends when no block left can reach the k-th best cosine, so the
-nearest examples are exact. They vote with weights that fall with distance; a logistic curve fitted
-on the examples' own votes, each without itself, calibrates the vote to a probability. A text
-without any counting word, whose cosine with everything is 0, gets the rate of such examples.
+words (lower-cased ASCII, without punctuation). Every word of the examples counts, and the more the
+stronger its link with the label is among them (one plus chi-squared over ``LINK``); document
+frequencies are taken over all documents. Examples lie in the inverted index in blocks, and for
+every term each block keeps its largest weight. The bounds these give for a query order the blocks,
+and search ends when no block left can reach the k-th best cosine, so the nearest examples are
+exact. They vote with weights that fall with distance; a logistic curve fitted on the examples' own
+votes, each without itself, calibrates the vote to a probability. A text that shares no word with
+any example, whose cosine with everything is 0, gets the rate of the examples without words.
 
 The fit uses at most ``sample`` labelled documents per class, taken by a hash; votes and rates are
 weighed so that classes count as often as they are labelled. All rows are scored, and each keeps its
 nearest examples as evidence.
 
-Edge cases: null and empty texts have no words; without labels of both classes, or without a
-significant word, every score is the rate of the label, or 0; a document with several labels is
+Edge cases: null and empty texts have no words; words of no example do not count, also not in the
+length of a text's vector; without labels of both classes, or without a word in the examples, every
+score is the rate of the label, or 0; a document with several labels is
 toxic if one says so; repeated rows get equal results; equal cosines go to the earlier example;
 empty tables give empty results; other columns are ignored.
 """
@@ -35,13 +37,13 @@ from landinglake.llm.tables import sample_each, stored
 from landinglake.llm.words import MARKS, Words, mix, shingle_sets
 
 SAMPLE = 4000
-MAX_TERMS = 1000
-# Chi-squared of a term with the label; 32 is a chance of about 1.5e-8 for one term.
-LEAST_LINK = 32.0
+# Chi-squared with the label at which a term counts twice; 32 is a chance of about 1.5e-8 for one
+# term.
+LINK = 32.0
 NEIGHBOURS = 25
 EVIDENCE = 3
-# Examples per block: large enough that numpy outweighs the loop over blocks.
-BLOCK = 1024
+# Examples per block: whole texts share words with every block, so small ones are hardly skipped.
+BLOCK = 8192
 # Min-hashes by which copies among the examples are told.
 SIGNS = 8
 THRESHOLD = 0.3
@@ -64,11 +66,10 @@ def _known_terms(batch: pa.RecordBatch, terms: np.ndarray):
     words = Words(batch.column("text"), lower=True, breaks=MARKS)
     known, at = look_up(terms, words.hashes)
     rows = np.repeat(np.arange(batch.num_rows), words.counts())[known]
-    at = at[known]
-    order = np.lexsort((at, rows))
-    rows, at = rows[order], at[order]
-    starts = run_starts(rows, at)
-    return rows[starts], at[starts], np.diff(np.r_[starts, len(at)])
+    size = max(1, len(terms))
+    key = np.sort(rows * size + at[known])
+    starts = run_starts(key)
+    return key[starts] // size, key[starts] % size, np.diff(np.r_[starts, len(key)])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -118,9 +119,8 @@ def first_of_copies(ids: np.ndarray, signs: np.ndarray) -> list[int]:
     return sorted(set(kept))
 
 
-def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int, most: int,
-                 least_link: float) -> np.ndarray:
-    """The terms of (toxic, text) rows that go with the label, sorted."""
+def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """All terms of (toxic, text) rows, sorted, and the link of each with the label."""
 
     def count(batches):
         for batch in steps(batches):
@@ -135,14 +135,16 @@ def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int, most: int,
 
     a, b = F.col("toxic"), F.col("clean")
     c, d = n_toxic - a, n_clean - b
-    link = (n_toxic + n_clean) * F.pow(a * d - b * c, F.lit(2)) / (
-        (a + b) * (c + d) * float(n_toxic) * n_clean)
+    # A term of every row says nothing about the label.
+    link = F.when(c + d > 0, (n_toxic + n_clean) * F.pow(a * d - b * c, F.lit(2)) / (
+        (a + b) * F.greatest(c + d, F.lit(1.0)) * float(n_toxic) * n_clean)).otherwise(0.0)
     found = (rows.mapInArrow(count, "term bigint, toxic bigint, clean bigint").groupBy("term")
              .agg(F.sum("toxic").cast("double").alias("toxic"),
                   F.sum("clean").cast("double").alias("clean"))
-             .filter(c + d > 0).withColumn("link", link).filter(F.col("link") >= least_link)
-             .orderBy(F.desc("link"), "term").limit(most).select("term").toArrow())
-    return np.sort(found.column(0).to_numpy().view(np.uint64))
+             .select("term", link.alias("link")).toArrow())
+    terms = found.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    return terms[order], found.column("link").to_numpy()[order]
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -153,7 +155,8 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
         total = np.zeros(len(known.value), np.int64)
         for batch in steps(batches):
             total += np.bincount(_known_terms(batch, known.value)[1], minlength=len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)],
+        here = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])],
                                          names=["term", "n"])
 
     counts = (docs.select("text").mapInArrow(count, "term bigint, n bigint")
@@ -192,15 +195,20 @@ class BlockMaxIndex:
             least = cosines[-1] - 1e-12 if len(cosines) == k else 0.0
             if bounds[block] <= 0 or bounds[block] < least:
                 break
-            found = np.zeros(self.block)
-            for term, weight in zip(terms.tolist(), weights.tolist()):
-                own = slice(self.offsets[term * self.blocks + block],
-                            self.offsets[term * self.blocks + block + 1])
-                found[self.owners[own] - block * self.block] += weight * self.weights[own]
+            at = terms * self.blocks + block
+            begins, ends = self.offsets[at], self.offsets[at + 1]
+            own = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
+            products = np.concatenate([self.weights[o] for o in own])
+            products *= np.repeat(weights, ends - begins)
+            found = np.bincount(np.concatenate([self.owners[o] for o in own])
+                                - block * self.block, products, self.block)
+            if 0 <= without - block * self.block < self.block:
+                found[without - block * self.block] = 0
             here = np.flatnonzero((found > 0) & (found >= least))
-            here = here[here + block * self.block != without]
             if not len(here):
                 continue
+            if len(here) > k:
+                here = here[found[here] >= np.partition(found[here], -k)[-k]]
             numbers = np.r_[numbers, here + block * self.block]
             cosines = np.r_[cosines, found[here]]
             best = np.lexsort((numbers, -cosines))[:k]
@@ -210,9 +218,9 @@ class BlockMaxIndex:
 
 @dataclass
 class Model:
-    rate: float  # score of texts without a counting word
+    rate: float  # score of texts without a word of the examples
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # weighed by the link
     index: BlockMaxIndex | None = None
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -258,9 +266,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> tuple[float,
     return max(0.0, float(fit[0])), float(fit[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int = MAX_TERMS,
-        least_link: float = LEAST_LINK, neighbours: int = NEIGHBOURS) -> Model:
-    """Fit on at most ``sample`` documents per class of ``labels`` (doc_id, toxic)."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_link: float = LINK,
+        neighbours: int = NEIGHBOURS) -> Model:
+    """Fit on at most ``sample`` documents per class of ``labels`` (doc_id, toxic). A term whose
+    link with the label is ``least_link`` counts twice."""
     rows = labelled_sample(docs, labels, sample)
     counts = {r.toxic > 0: r.n for r in rows.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
@@ -272,11 +281,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int
     # What one example of a class stands for.
     share = {toxic: of_class[toxic] / n for toxic, n in counts.items()}
     plain_rate = of_class[True] / (of_class[True] + of_class[False])
-    terms = linked_terms(rows, counts[True], counts[False], max_terms, least_link)
+    terms, link = linked_terms(rows, counts[True], counts[False])
     if not len(terms):
         return Model(plain_rate)
     total = docs.count()
-    idf = np.log1p(total / (1 + document_frequencies(docs, terms)))
+    idf = np.log1p(total / (1 + document_frequencies(docs, terms))) * (1 + link / least_link)
     known = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vectors(batches):
@@ -291,12 +300,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int
                            for b, e in zip(bounds, bounds[1:])], pa.binary())],
                 names=["doc_id", "toxic", "terms", "counts"])
 
-    # At most two times ``sample`` rows of at most ``max_terms`` numbers.
+    # At most two times ``sample`` rows, each with the numbers of its distinct words.
     examples = [(r["doc_id"], float(r["toxic"] > 0), np.frombuffer(r["terms"], np.int64),
                  np.frombuffer(r["counts"], np.int64)) for r in rows.mapInArrow(
         vectors, "doc_id bigint, toxic int, terms binary, counts binary").toArrow().to_pylist()]
     with_terms = [e for e in examples if len(e[2])]
-    # Examples that share their rarest term lie together, which makes the blocks' bounds tight.
+    # Examples that share their weightiest term lie together, which makes the blocks' bounds tight.
     with_terms.sort(key=lambda e: (int(e[2][np.argmax(idf[e[2]])]), e[1], e[0]))
     rate = _rate([e[1] for e in examples if not len(e[2])], share, plain_rate)
     model = Model(rate, terms, idf, None, np.array([e[0] for e in with_terms], np.int64),
