@@ -2,11 +2,14 @@
 
 Both name the response they come from (WARC-Refers-To), keep its target URI and date, and carry the
 digest of their own block; the metadata record also lists the response's payload digest, its HTTP
-status and headers, title, language and links. Records become WARC files through Spark's text
+status and headers, title, language and links. Both keep the response's WARC headers, with its own
+payload and block digests as columns too. A written record names them ``WARC-Source-...`` (a
+leading ``WARC-`` is not repeated, and ``Refers-To``, the target URI and the date are fields of the
+record itself), as most of them would say something else about the derived record. Records become WARC files through Spark's text
 writer, whose line separator is the end of a WARC record, and come back with ``read_warc``.
 
 Every row is handled by itself, so nothing is shuffled. Edge cases: a null payload reads as empty
-and still gives both records; a null URI or header is left out; bytes that are not in the declared
+and still gives both records; a null URI or header is left out, and line ends in a header read as spaces; bytes that are not in the declared
 character set are replaced; repeated responses give repeated records with equal ids; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -32,7 +35,8 @@ RESPONSES = ("record_id string, target_uri string, date string, headers map<stri
              "http_head string, payload binary")
 DERIVED = ("record_id string, warc_type string, refers_to string, target_uri string, date string, "
            "content_type string, content_length bigint, block_digest string, "
-           "source_digest string, block string")
+           "source_digest string, source_headers map<string,string>, "
+           "source_payload_digest string, source_block_digest string, block string")
 
 # Content that is not text, tags that begin a new line, and what is left of a tag.
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)",
@@ -94,17 +98,26 @@ def metadata_fields(page: str, http_head: str, payload_digest: str) -> str:
     return "".join(f"{name}: {value}\r\n" for name, value in fields)
 
 
+def _header(headers: list[tuple[str, str | None]], name: str) -> str | None:
+    return next((v for k, v in headers if k.lower() == name), None)
+
+
 def derive(responses: DataFrame) -> DataFrame:
     """``DERIVED``: the metadata and the conversion record of each of ``RESPONSES``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = ["record_id", "warc_type", "refers_to", "target_uri", "date", "content_type",
-                  "content_length", "block_digest", "source_digest", "block"]
+                  "content_length", "block_digest", "source_digest", "source_headers",
+                  "source_payload_digest", "source_block_digest", "block"]
+        types = {"content_length": pa.int64(), "source_headers": pa.map_(pa.string(), pa.string())}
         for batch in batches:
             rows = []
             for source in batch.to_pylist():
                 payload, head = source["payload"] or b"", source["http_head"] or ""
                 payload_digest = digest(payload)
+                headers = source["headers"] and list(source["headers"])
+                given = [_header(headers or [], f"warc-{part}-digest")
+                         for part in ("payload", "block")]
                 page = _decoded(payload, head)
                 for kind, content_type, block in (
                         ("metadata", "application/warc-fields",
@@ -113,14 +126,15 @@ def derive(responses: DataFrame) -> DataFrame:
                     block = block.encode("utf-8", "replace")
                     rows.append((record_name(kind, source["record_id"]), kind, source["record_id"],
                                  source["target_uri"], source["date"], content_type, len(block),
-                                 digest(block), payload_digest, block.decode()))
+                                 digest(block), payload_digest, headers, *given,
+                                 block.decode()))
             columns = list(zip(*rows)) or [[]] * len(schema)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64() if n == "content_length" else pa.string())
-                 for c, n in zip(columns, schema)], names=schema)
+                [pa.array(c, types.get(n, pa.string())) for c, n in zip(columns, schema)],
+                names=schema)
 
     wanted = [c.split()[0] for c in RESPONSES.split(", ")]
-    return responses.select(*(c for c in wanted if c != "headers")).mapInArrow(build, DERIVED)
+    return responses.select(*wanted).mapInArrow(build, DERIVED)
 
 
 def page_responses(pages: DataFrame, date: str, key: str = "page_id") -> DataFrame:
@@ -143,12 +157,18 @@ def warc_text(records: DataFrame) -> Column:
     def header(name, value):
         return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")))
 
+    own = ["warc-record-id", "warc-target-uri", "warc-date"]
+    source = F.filter(F.map_entries(records["source_headers"]), lambda e: e["value"].isNotNull()
+                      & ~F.lower(e["key"]).isin(own))
+    fields = F.transform(source, lambda e: F.concat(
+        F.lit("WARC-Source-"), F.regexp_replace(e["key"], "^(?i:WARC-)", ""), F.lit(": "),
+        F.regexp_replace(e["value"], "[\r\n]+", " "), F.lit("\r\n")))
     return F.concat_ws(
         "", F.lit(f"{VERSION}\r\n"), header("WARC-Type", records["warc_type"]),
         header("WARC-Record-ID", records["record_id"]),
         header("WARC-Refers-To", records["refers_to"]),
         header("WARC-Target-URI", records["target_uri"]), header("WARC-Date", records["date"]),
-        header("WARC-Block-Digest", records["block_digest"]),
+        header("WARC-Block-Digest", records["block_digest"]), F.array_join(fields, ""),
         header("Content-Type", records["content_type"]),
         header("Content-Length", records["content_length"].cast("string")), F.lit("\r\n"),
         records["block"])

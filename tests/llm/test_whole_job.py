@@ -1,12 +1,13 @@
 """Cases in which an operator once did less than its whole job."""
 
 import collections
+import gzip
 import math
 import re
 
 import numpy as np
 
-from landinglake.llm import toxicity
+from landinglake.llm import toxicity, warc
 
 
 def test_toxicity_compares_whole_texts(spark):
@@ -40,3 +41,40 @@ def test_toxicity_compares_whole_texts(spark):
                           for e in examples), reverse=True)[:toxicity.EVIDENCE]
         assert np.allclose([e.similarity for e in row.evidence], cosines)
         assert all(e.toxic == examples[e.doc_id] for e in row.evidence)
+
+
+def test_derivatives_keep_the_headers_of_their_source(spark, folder, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\n<p>text</p>"
+    given = {"WARC-Type": "response", "WARC-Record-ID": "<urn:x>", "WARC-Target-URI": "u",
+             "WARC-Date": "d", "WARC-Payload-Digest": "sha1:OTHER", "warc-block-digest": "md5:B",
+             "WARC-IP-Address": "192.0.2.1", "WARC-Truncated": "length",
+             "WARC-Identified-Payload-Type": "text/html", "X-Crawl": "a: b",
+             "Content-Type": "application/http", "Content-Length": str(len(block))}
+    head = "".join(f"{k}: {v}\r\n" for k, v in given.items()).encode()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc.gz").write_bytes(
+        gzip.compress(b"WARC/1.1\r\n" + head + b"\r\n" + block + b"\r\n\r\n"))
+    derived = warc.derive(warc.responses(warc.read_warc(spark, folder + "/in")))
+    rows = derived.collect()
+    assert [r.warc_type for r in rows] == ["metadata", "conversion"]
+    for row in rows:
+        assert row.source_headers == given and row.source_digest == warc.digest(b"<p>text</p>")
+        assert (row.source_payload_digest, row.source_block_digest) == ("sha1:OTHER", "md5:B")
+    warc.write_warc(derived, folder + "/out")
+    written = warc.read_warc(spark, folder + "/out/*.gz").collect()
+    assert len(written) == 2
+    for record in written:
+        for name, value in given.items():
+            if name not in ("WARC-Record-ID", "WARC-Target-URI", "WARC-Date"):
+                field = "WARC-Source-" + re.sub("^WARC-", "", name, flags=re.I)
+                assert record.headers[field] == value
+        assert record.headers["WARC-Refers-To"] == "<urn:x>"
+        own = next(r for r in rows if r.warc_type == record.headers["WARC-Type"])
+        assert record.headers["WARC-Block-Digest"] == own.block_digest
+
+    nothing = warc.page_responses(spark.createDataFrame(
+        [(1, "u", "x")], "page_id bigint, url string, html string"), "d").selectExpr(
+        "* except (headers)", "cast(null as map<string,string>) AS headers")
+    rows = warc.derive(nothing)
+    assert rows.filter("source_headers is null").count() == 2
+    assert rows.select(warc.warc_text(rows).alias("t")).filter("t like 'WARC/1.1%x%'").count() == 2
