@@ -1,16 +1,15 @@
 """Language identification with string kernels.
 
 The kernel of two texts is the number of character n-grams (n = 1 to 3, blended) present in both,
-over the root of the product of how many each has. Texts are first mapped to an alphabet:
-lower-cased letters that the landmarks use have a symbol each, other letters share one, and any
-run of other characters is one space. A Nyström map on a few landmark texts per language makes
+over the root of the product of how many each has. N-grams are over the code points of lower-cased
+letters of any script, three of which fit in 64 bits; any run of other characters is one space. A Nyström map on a few landmark texts per language makes
 finite features, and one-versus-rest kernel ridge regression on these separates the languages.
-As the kernel is a sum over n-grams, landmarks and regression fold into one matrix of n-gram
-weights; a batch of texts is scored by the product of its presence matrix with that matrix.
+As the kernel is a sum over n-grams, landmarks and regression fold into weights per n-gram of the
+landmarks; a text's score is the sum of the weights of its n-grams.
 
 The fit uses at most ``sample`` labelled rows per language, with ``landmarks`` of them as
-landmarks, taken by a hash of text and language; whole texts count, but only as sets of n-grams,
-whose size the alphabet bounds. All rows are scored.
+landmarks, taken by a hash of text and language; whole texts count, as sets of n-grams. All rows are
+scored.
 
 Edge cases: a null text or one without letters is ``und`` with score 0; rows with a null language
 or excluded by ``learn`` teach nothing; without any labelled text everything is ``und``; repeated
@@ -27,26 +26,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landinglake.llm.dealing import steps
+from landinglake.llm.dealing import look_up, run_starts, steps
 from landinglake.llm.tables import sample_each, stored
 
 UNKNOWN = "und"
 SAMPLE = 400
 LANDMARKS = 48
 RIDGE = 1e-3
-# Symbols: 0 is space, the last one any letter without a symbol of its own.
-SYMBOLS = 64
-OTHER = SYMBOLS - 1
-GRAMS = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
-# Characters handled at once, and texts scored in one product.
-SCORED_ROWS = 256
-_PLANE = 0x10000
+# Length of the longest n-grams, and bits per code point in them.
+GRAMS = 3
+BITS = 21
+_POINTS = 0x110000
 
 
 def letters_of(text: str) -> np.ndarray:
     """Lower-case code points of a text; what is not a letter is 0."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(_letter_table()[np.minimum(points, _PLANE)], points, 0)
+    points = _points(text)
+    return np.where(_letter_table()[points], points, 0)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -54,62 +54,54 @@ _TABLES: dict[str, np.ndarray] = {}
 
 def _letter_table() -> np.ndarray:
     if "letters" not in _TABLES:
-        table = np.array([chr(c).isalpha() for c in range(_PLANE)] + [True])  # beyond: letters
-        _TABLES["letters"] = table
+        _TABLES["letters"] = np.array([chr(c).isalpha() for c in range(_POINTS)])
     return _TABLES["letters"]
 
 
-def alphabet_table(letters: np.ndarray) -> np.ndarray:
-    """Symbol of every code point below 0x10000, and of all beyond, given the known letters."""
-    table = np.where(_letter_table(), OTHER, 0).astype(np.int32)
-    table[letters] = np.arange(1, len(letters) + 1)
+def alphabet_table(letters=()) -> np.ndarray:
+    """Symbol of every code point: 1 for what is no letter, else one more than the code point.
+    ``letters`` are code points that count as letters whatever Unicode says."""
+    table = np.where(_letter_table(), np.arange(1, _POINTS + 1), 1).astype(np.int32)
+    chosen = np.asarray(letters, np.int64)
+    table[chosen] = chosen + 1
     return table
 
 
-def present_grams(text: str, table: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """Numbers of the n-grams that occur in a text, sorted; ``flags`` is scratch of all zeros."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = table[np.minimum(points, _PLANE)]
+def present_grams(text: str, table: np.ndarray, flags: np.ndarray | None = None) -> np.ndarray:
+    """The n-grams that occur in a text, sorted; no symbol is 0, so those of different length
+    differ. ``flags`` is not needed."""
+    symbols = table[_points(text)].astype(np.int64)
     keep = np.ones(len(symbols), bool)
-    keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)  # runs of spaces are one
+    keep[1:] = (symbols[1:] != 1) | (symbols[:-1] != 1)  # runs of spaces are one
     symbols = symbols[keep]
-    flags[symbols] = 1
-    pairs = symbols[:-1] * SYMBOLS + symbols[1:]
-    flags[SYMBOLS + pairs] = 1
-    flags[SYMBOLS + SYMBOLS**2 + pairs[:-1] * SYMBOLS + symbols[2:]] = 1
-    found = np.flatnonzero(flags)
-    flags[found] = 0
-    return found
+    grams = [symbols]
+    for n in range(1, GRAMS):
+        grams.append((grams[-1][:-1] << BITS) | symbols[n:])
+    # Sorted one by one, as shorter ones are less than longer ones.
+    ordered = np.concatenate([np.sort(g) for g in grams])
+    return ordered[run_starts(ordered)]
 
 
 @dataclass
 class Model:
     languages: list[str]
     table: np.ndarray  # symbol of each code point
-    column: np.ndarray  # row of ``weights`` of each n-gram, -1 for those of no landmark
+    grams: np.ndarray  # the n-grams of the landmarks, sorted
     weights: np.ndarray  # n-gram by language
     bias: np.ndarray
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best language's number (-1 without letters) and score of each text."""
-        flags = np.zeros(GRAMS, np.uint8)
         best, scores = np.full(len(texts), -1), np.zeros(len(texts))
-        for at in range(0, len(texts), SCORED_ROWS):
-            block = texts[at:at + SCORED_ROWS]
-            presence = np.zeros((len(block), len(self.weights)), np.float32)
-            sizes = np.ones(len(block), np.float32)
-            has_letters = np.zeros(len(block), bool)
-            for row, text in enumerate(block):
-                found = present_grams(text, self.table, flags)
-                has_letters[row] = bool(((found > 0) & (found < SYMBOLS)).any())
-                sizes[row] = max(1, len(found))
-                columns = self.column[found]
-                presence[row, columns[columns >= 0]] = 1
-            values = presence @ self.weights / np.sqrt(sizes)[:, None] + self.bias
-            place = np.where(has_letters, values.argmax(1), -1)
-            best[at:at + len(block)] = place
-            top = np.take_along_axis(values, values.argmax(1)[:, None], 1)[:, 0]
-            scores[at:at + len(block)] = np.where(has_letters, np.clip(top, 0.0, 1.0), 0.0)
+        for row, text in enumerate(texts):
+            found = present_grams(text, self.table)
+            if not ((found > 1) & (found < 1 << BITS)).any():
+                continue
+            known, at = look_up(self.grams, found)
+            values = self.weights[at[known]].sum(0, dtype=np.float64) \
+                / np.sqrt(len(found)) + self.bias
+            best[row] = values.argmax()
+            scores[row] = min(1.0, max(0.0, values[best[row]]))
         return best, scores
 
 
@@ -127,33 +119,21 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, landmarks: int = L
     if rows.isEmpty():
         return None
 
-    def letter_counts(batches):
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                letters, counts = np.unique(letters_of(text), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(letters.astype(np.int64)), pa.array(counts)], names=["letter", "n"])
-
-    marks = rows.filter(F.col("place") <= landmarks)
-    letters = (marks.select("text").mapInArrow(letter_counts, "letter bigint, n bigint")
-               .filter(f"letter > 0 and letter < {_PLANE}").groupBy("letter")
-               .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "letter").limit(SYMBOLS - 2)
-               .collect())
-    table = alphabet_table(np.array([r.letter for r in letters], np.int64))
+    table = alphabet_table()
+    known = docs.sparkSession.sparkContext.broadcast(table)
 
     def grams(batches):
-        flags = np.zeros(GRAMS, np.uint8)
         for batch in batches:
-            found = [present_grams(text, table, flags).astype(np.int32).tobytes()
+            found = [present_grams(text, known.value).tobytes()
                      for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), batch.column("place"), pa.array(found, pa.binary())],
                 names=["lang", "place", "grams"])
 
-    # At most ``sample`` sets of at most GRAMS numbers per language reach the driver.
+    # At most ``sample`` texts per language reach the driver, each as its distinct n-grams.
     taught = rows.mapInArrow(grams, "lang string, place int, grams binary").toArrow().to_pylist()
     taught.sort(key=lambda r: (r["lang"], r["place"]))
-    return solve([(r["lang"], r["place"] <= landmarks, np.frombuffer(r["grams"], np.int32))
+    return solve([(r["lang"], r["place"] <= landmarks, np.frombuffer(r["grams"], np.int64))
                   for r in taught], table, ridge)
 
 
@@ -161,24 +141,28 @@ def solve(taught, table: np.ndarray, ridge: float) -> Model:
     """The model of (language, is landmark, n-grams) rows."""
     languages = sorted({lang for lang, _, _ in taught})
     marks = [grams for _, is_mark, grams in taught if is_mark]
-    used = np.unique(np.concatenate(marks)) if marks else np.zeros(0, int)
-    column = np.full(GRAMS, -1, np.int32)
-    column[used] = np.arange(len(used))
-
-    def presence(sets):
-        matrix = np.zeros((len(sets), len(used)), np.float32)
+    used = np.unique(np.concatenate(marks)) if marks else np.zeros(0, np.int64)
+    places = [np.searchsorted(used, grams) for grams in marks]
+    joined = np.concatenate(places) if places else np.zeros(0, np.int64)
+    ends = np.cumsum([0, *map(len, places)])
+    mark_sizes = np.sqrt([max(1, len(g)) for g in marks])
+
+    def kernel_rows(sets):
+        # By set and landmark; the n-grams are never laid out as a dense matrix.
+        rows, present = np.zeros((len(sets), len(marks))), np.zeros(len(used), bool)
         for row, grams in enumerate(sets):
-            own = column[grams]
-            matrix[row, own[own >= 0]] = 1
-        return matrix / np.sqrt([max(1, len(g)) for g in sets])[:, None]
-
-    mark_matrix = presence(marks).astype(np.float64)
-    kernel = mark_matrix @ mark_matrix.T
+            shared, at = look_up(used, grams)
+            present[at[shared]] = True
+            rows[row] = np.diff(np.r_[0, np.cumsum(present[joined])][ends])
+            rows[row] /= mark_sizes * np.sqrt(max(1, len(grams)))
+            present[at[shared]] = False
+        return rows
+
+    kernel = kernel_rows(marks)
     values, vectors = np.linalg.eigh(kernel)
     strong = values > 1e-8 * values[-1]
     nystroem = vectors[:, strong] / np.sqrt(values[strong])
-    features = presence([grams for _, _, grams in taught]).astype(np.float64) \
-        @ mark_matrix.T @ nystroem
+    features = kernel_rows([grams for _, _, grams in taught]) @ nystroem
     centre = features.mean(0)
     target = np.array([[float(lang == each) for each in languages] for lang, _, _ in taught])
     # Every language weighs the same, however many rows it has.
@@ -187,8 +171,10 @@ def solve(taught, table: np.ndarray, ridge: float) -> Model:
     left = (features - centre).T @ spread + ridge * np.eye(features.shape[1])
     middle = (target * weight[:, None]).sum(0) / weight.sum()
     solved = np.linalg.solve(left, spread.T @ (target - middle))
-    folded = mark_matrix.T @ (nystroem @ solved)
-    return Model(languages, table, column, folded.astype(np.float32),
+    folded = np.zeros((len(used), len(languages)))
+    for place, own in zip(places, (nystroem @ solved) / mark_sizes[:, None]):
+        folded[place] += own
+    return Model(languages, table, used, folded.astype(np.float32),
                  (middle - centre @ solved).astype(np.float32))
 
 

@@ -6,8 +6,9 @@ import math
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from landinglake.llm import toxicity, warc
+from landinglake.llm import language, toxicity, warc
 
 
 def test_toxicity_compares_whole_texts(spark):
@@ -78,3 +79,40 @@ def test_derivatives_keep_the_headers_of_their_source(spark, folder, tmp_path):
     rows = warc.derive(nothing)
     assert rows.filter("source_headers is null").count() == 2
     assert rows.select(warc.warc_text(rows).alias("t")).filter("t like 'WARC/1.1%x%'").count() == 2
+
+
+def test_languages_of_many_scripts_are_told_apart(spark):
+    rng = np.random.default_rng(11)
+    # A long Latin text fills any small alphabet; the others have letters of their own.
+    alphabets = {"la": [chr(c) for c in (*range(0x61, 0x7B), *range(0xE0, 0xF7),
+                                         *range(0x101, 0x150, 2))],
+                 "zh": [chr(0x4E00 + c) for c in range(300)],
+                 "ja": [chr(0x3042 + c) for c in range(60)],
+                 "ko": [chr(0xAC00 + 7 * c) for c in range(300)],
+                 "go": [chr(0x10330 + c) for c in range(24)]}
+
+    def text(letters, words):
+        return " ".join("".join(rng.choice(letters, 4)) for _ in range(words))
+
+    rows = [(i, lang, text(alphabets[lang], 400 if lang == "la" else 30))
+            for i, lang in enumerate(list(alphabets) * 12)]
+    docs = spark.createDataFrame([*rows, (99, None, chr(0x1F600) * 5)],
+                                 "doc_id bigint, lang string, text string")
+    model = language.fit(docs, F.col("doc_id") < 30, sample=20, landmarks=4)
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert [found[i].lang_pred for i, _, _ in rows] == [lang for _, lang, _ in rows]
+    assert (found[99].lang_pred, found[99].score) == ("und", 0.0)
+
+
+def test_grams_are_those_of_the_code_points():
+    text = "Ab\u4e2d\u6587, \U00010330 1 b"
+    symbols = [ord(c) + 1 if c.isalpha() else 1 for c in "ab\u4e2d\u6587 \U00010330 b"]
+    expected = set()
+    for n in (1, 2, 3):
+        for at in range(len(symbols) - n + 1):
+            value = 0
+            for symbol in symbols[at:at + n]:
+                value = value << 21 | symbol
+            expected.add(value)
+    assert language.present_grams(text, language.alphabet_table()).tolist() == sorted(expected)
+    assert not len(language.present_grams("", language.alphabet_table()))
