@@ -351,11 +351,15 @@ def similarity_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     shared = stored(sets_with_shared_prefix(docs, parts, frequent, size, percent)
                     .dropDuplicates(["set_id"]), "shared")
     edges = links(shared, candidate_cells(shared), percent, cell_tokens, parts)
-    # Rows with one doc_id are one document: their sets are in one class.
+    # Rows with one doc_id are one document: all their sets link with the least one. Rows without
+    # a doc_id are documents of their own.
     firsts = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    again = (rows.filter("n > 0").groupBy("doc_id")
-             .agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a != b"))
-    roots = connected_components(edges.unionByName(again.select("a", "b")))
+    several = (rows.filter("n > 0 and doc_id is not null").groupBy("doc_id")
+               .agg(F.min("set_id").alias("a"), F.max("set_id").alias("last"))
+               .filter("a != last").select("doc_id", "a"))
+    again = (rows.filter("n > 0").join(several, "doc_id").filter("set_id != a")
+             .select("a", F.col("set_id").alias("b")).distinct())
+    roots = connected_components(edges.unionByName(again))
     classes = (firsts.join(roots.select(F.col("a").alias("set_id"), F.col("b").alias("root")),
                            "set_id", "left")
                .select("set_id", "first", F.coalesce("root", "set_id").alias("root")))

@@ -5,10 +5,11 @@ import gzip
 import math
 import re
 
+import brute
 import numpy as np
 from pyspark.sql import functions as F
 
-from landinglake.llm import language, toxicity, warc
+from landinglake.llm import language, ngram_join, toxicity, warc
 
 
 def test_toxicity_compares_whole_texts(spark):
@@ -116,3 +117,17 @@ def test_grams_are_those_of_the_code_points():
             expected.add(value)
     assert language.present_grams(text, language.alphabet_table()).tolist() == sorted(expected)
     assert not len(language.present_grams("", language.alphabet_table()))
+
+
+def test_classes_of_rows_without_id_and_of_an_id_with_three_texts(spark):
+    def text(name, changed=0):
+        return " ".join(f"{name}{i}" for i in range(60 - changed))
+
+    rows = [(0, text("a")), (1, text("b")), (None, text("a", 2)), (None, text("b", 2)),
+            (None, text("c")), (None, None), (5, text("x")), (5, text("y")), (5, text("z")),
+            (5, text("x")), (6, text("x", 2)), (7, text("y", 2)), (8, text("z", 2)), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    expected = brute.classes(rows)
+    assert {c for d, _, c in expected if d in (5, 6, 7, 8)} == {5}
+    found = ngram_join.similarity_classes(docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, found.collect()), key=str) == expected
