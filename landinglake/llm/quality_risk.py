@@ -72,18 +72,18 @@ def _covered(at: Column) -> Column:
         F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
-def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
+def measure(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    severity) for every row of ``docs``."""
+    severity) and the columns ``carry`` for every row of ``docs``."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"),
+    rows = docs.select("doc_id", *carry, F.col(stratum).cast("string").alias("stratum"),
                        text.alias("text"))
-    rows = rows.select("doc_id", "stratum", "text",
+    rows = rows.select("doc_id", *carry, "stratum", "text",
                        F.array_remove(F.split("text", SPACES), "").alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike("[^ \t\n\x0b\f\r]"))
     windows = F.when(F.size("words") > WINDOW, _windows(F.col("words")))
     rows = rows.select(
-        "doc_id", "stratum", F.size("words").cast("bigint").alias("n_words"),
+        "doc_id", *carry, "stratum", F.size("words").cast("bigint").alias("n_words"),
         _count_of(F.col("text"), " \t\n\x0b\f\r").alias("spaces"), F.length("text").alias("length"),
         _count_of(F.col("text"), SYMBOLS).cast("bigint").alias("n_symbols"),
         _count_of(F.col("text"), CAPITALS).alias("n_capitals"),
@@ -98,7 +98,7 @@ def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     rows = rows.withColumn("at", _repeated_at(F.col("placed")))
     repeated = F.coalesce(_covered(F.col("at")), F.lit(0)).cast("bigint")
     rows = rows.select(
-        "doc_id", "stratum", "n_words", (F.col("length") - F.col("spaces")).cast("bigint")
+        "doc_id", *carry, "stratum", "n_words", (F.col("length") - F.col("spaces")).cast("bigint")
         .alias("word_chars"), "n_symbols", "n_capitals", "n_marks", "n_doubled",
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
@@ -113,8 +113,8 @@ def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
         share("n_repeat_words", "n_words", "windows"), share("n_doubled", "n_words", "doubled"))
     failed = ((F.col("n_words") < LEAST_WORDS)
               | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
-    return rows.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                       "n_repeat_words", failed.alias("base_failed"), severity.alias("severity"))
+    return rows.select("doc_id", *carry, "stratum", "n_words", "word_chars", "n_symbols",
+                       "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), severity.alias("severity"))
 
 
 def _binomial_tail(rejected: Column, total: Column, risk: float) -> Column:
@@ -173,10 +173,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK,
-          error: float = ERROR) -> DataFrame:
+          error: float = ERROR, carry: tuple[str, ...] = ()) -> DataFrame:
     """The columns of ``measure`` with the stratum's ``cutoff`` and ``kept``, for every row of
     ``docs`` (doc_id, text and the stratum's column); ``labels`` has doc_id and quality (0, 1)."""
-    measured = stored(measure(docs, stratum), "measured")
+    measured = stored(measure(docs, stratum, carry), "measured")
     chosen = cutoffs(measured, labels, risk, error).select(
         F.col("stratum").alias("of"), F.col("cutoff"))
     joined = measured.join(chosen, F.col("stratum").eqNullSafe(F.col("of")), "left").drop("of")

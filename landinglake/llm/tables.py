@@ -54,8 +54,31 @@ def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
     return few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``ids`` (one column); rows without one stay.
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number per row, the same whenever the frame is read: the place in its file
+    for a Parquet table, which is not copied; any other frame is stored first."""
+    meta = docs.metadataColumn("_metadata") if _is_parquet(docs) else None
+    if meta is None:
+        docs = stored(docs, "numbered")
+        meta = docs.metadataColumn("_metadata")
+    path, start = free_name(docs, "file_path"), free_name(docs, "file_start")
+    paths = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
+    # 2**40 rows a file.
+    files = F.broadcast(docs.sparkSession.createDataFrame(
+        [(p, i << 40) for i, p in enumerate(paths)], f"`{path}` string, `{start}` bigint"))
+    placed = docs.select("*", meta["file_path"].alias(path), meta["row_index"].alias(name))
+    return placed.join(files, path).select(
+        *(F.col(f"`{c}`") for c in docs.columns), (F.col(start) + F.col(name)).alias(name))
+
+
+def _is_parquet(docs: DataFrame) -> bool:
+    """Whether a frame is a Parquet table as read, so that a row is a place in a file."""
+    plan = docs._jdf.queryExecution().analyzed()
+    return plan.nodeName() == "LogicalRelation" and plan.toString().rstrip().endswith("parquet")
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is not in ``ids`` (one column); rows without one stay.
 
     The ids are counted first: up to ``BROADCAST_IDS`` of them go to the tasks, so that texts need
     no shuffle; more are joined by a shuffle.
@@ -63,7 +86,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     name = free_name(docs, "dropped")
     listed = stored(ids.toDF(name).filter(F.col(name).isNotNull()).distinct(), "ids")
     few = listed.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(listed) if few else listed, F.col("doc_id") == F.col(name),
+    return docs.join(F.broadcast(listed) if few else listed, F.col(key) == F.col(name),
                      "left_anti")
 
 

@@ -4,6 +4,8 @@ import collections
 import gzip
 import math
 import re
+import sys
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -11,6 +13,10 @@ from pyspark.sql import functions as F
 
 from landinglake.llm import language, ngram_join, toxicity, warc
 
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+
 
 def test_toxicity_compares_whole_texts(spark):
     rng = np.random.default_rng(7)
@@ -131,3 +137,35 @@ def test_classes_of_rows_without_id_and_of_an_id_with_three_texts(spark):
     assert {c for d, _, c in expected if d in (5, 6, 7, 8)} == {5}
     found = ngram_join.similarity_classes(docs).select("doc_id", "n_shingles", "component_id")
     assert sorted(map(tuple, found.collect()), key=str) == expected
+
+
+def test_stages_act_on_rows_whatever_their_ids(spark, folder):
+    def text(name, changed=0):
+        return " ".join(f"{name}{i}" for i in range(60 - changed))
+
+    schema = "doc_id bigint, text string, lang string, row_number string, File_Path string"
+    spark.createDataFrame([(9, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(
+        folder + "/labels.parquet")
+    spark.createDataFrame([(1, text("item"))], "item_id bigint, text string").write.parquet(
+        folder + "/benchmark.parquet")
+    cases = [
+        (corpus_pipeline.near_duplicates,
+         [(None, text("a")), (None, text("a")), (1, text("a", 2)), (2, text("b")), (2, text("b")),
+          (2, text("b")), (3, text("c")), (3, text("d")), (None, text("e")), (None, text("e")),
+          (None, text("f")), (None, None)],
+         [(1, text("a", 2)), (2, text("b")), (3, text("c")), (3, text("d")), (None, text("e")),
+          (None, text("f")), (None, None)]),
+        (corpus_pipeline.benchmark_leaks,
+         [(None, text("item")), (4, text("g")), (4, text("item")), (None, text("h")), (5, None)],
+         [(4, text("g")), (None, text("h")), (5, None)]),
+        (corpus_pipeline.quality_rules,
+         [(None, "short"), (6, "short"), (6, text("i")), (6, text("i")), (None, text("j"))],
+         [(6, text("i")), (6, text("i")), (None, text("j"))])]
+    for number, (stage, rows, expected) in enumerate(cases):
+        frame = spark.createDataFrame([(*r, "en", "x", "y") for r in rows], schema).repartition(3)
+        frame.write.parquet(f"{folder}/docs{number}")
+        for docs in (frame, spark.read.parquet(f"{folder}/docs{number}"), frame.limit(0)):
+            found = stage(spark, docs, folder)
+            assert found.columns == docs.columns
+            assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(
+                expected if docs.count() else [], key=str)
