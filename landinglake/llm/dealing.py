@@ -33,13 +33,16 @@ PACKED = ("part int, kind int, n_runs bigint, first_owner bigint, owners binary,
           "values binary, extras binary")
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``STEP_BYTES`` of text; a longer text is a step by itself."""
+def steps(batches: Iterator[pa.RecordBatch], column: str = "text",
+          size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of text (``STEP_BYTES`` if not told); a longer
+    text is a step by itself."""
+    size = size or STEP_BYTES
     for batch in batches:
         at = 0
         offsets = utf8_buffer(batch.column(column))[1]
         while at < batch.num_rows:
-            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + STEP_BYTES, "right")) - 1)
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
             yield batch.slice(at, end - at)
             at = end
 

@@ -141,5 +141,44 @@ select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
   not base_failed and not coalesce(severity > cutoff and gain > 0, false) as kept
 from scored s left join chosen c on s.lang is not distinct from c.lang"""
 
+FILTER_AUDIT = f"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+    {_words('text')} as words from documents),
+failing as (select doc_id, part,
+      case when len(words) < 100 then 'A' else '' end
+      || case when 100 * len(list_distinct(words)) < 80 * len(words) then 'B' else '' end
+      || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)
+        then 'C' else '' end
+      || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+      || case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end as fails
+    from d),
+marks as (select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels
+    group by doc_id),
+counted as (select part, fails, count(*) as n, count_if(good) as good, count_if(toxic) as toxic
+    from failing left join marks using (doc_id) group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (select a.x || b.x || c.x || d.x || e.x as filter_order
+    from letters a join letters b on b.x <> a.x join letters c on c.x not in (a.x, b.x)
+    join letters d on d.x not in (a.x, b.x, c.x) join letters e on e.x not in (a.x, b.x, c.x, d.x)),
+steps as (select filter_order, step, filter_order[step] as filter, left(filter_order, step - 1) as before,
+    left(filter_order, step) as upto from orders, (select unnest(range(1, 6)) as step)),
+figures as (select part, filter_order, step, filter,
+      sum(n) filter (translate(fails, upto, '') = fails) as kept,
+      sum(n) filter (contains(fails, filter) and translate(fails, before, '') = fails) as removed,
+      sum(n) filter (contains(fails, filter) and translate(fails, before, '') <> fails) as redundant,
+      sum(n) filter (fails = filter) as unique_fails,
+      sum(good) filter (contains(fails, filter) and translate(fails, before, '') = fails) as good_lost,
+      sum(toxic) filter (contains(fails, filter) and translate(fails, before, '') = fails) as toxic_lost
+    from counted cross join steps group by all)
+select part, filter_order, cast(step as int) as step, filter,
+  cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+  cast(coalesce(redundant, 0) as bigint) as redundant,
+  cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+  cast(coalesce(good_lost, 0) as bigint) as good_lost,
+  cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+  cast(coalesce(sum(removed) over (partition by part, filter), 0) as bigint) as shapley
+from figures"""
+
 ORACLES = {"op4_ngram_jaccard_join": NGRAM_JOIN, "op5_substring_dedup": SUBSTRINGS,
-           "op6_secret_ownership": SECRETS, "op8_quality_risk": QUALITY}
+           "op6_secret_ownership": SECRETS, "op8_quality_risk": QUALITY,
+           "op12_filter_interaction": FILTER_AUDIT}

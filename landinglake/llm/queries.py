@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landinglake.llm import (decontamination, language, ngram_join, packing, quality_risk,
-                             secret_scan, substrings, token_counts, toxicity, warc)
+from landinglake.llm import (decontamination, filter_audit, language, ngram_join, packing,
+                             periodic, quality_risk, secret_scan, substrings, token_counts, toxicity, warc)
 from landinglake.llm.oracles import ORACLES
 from landinglake.llm.tables import documents, show_package
 
@@ -110,3 +110,45 @@ def op3_toxicity_nearest(spark, sf_dir):
 def op2_warc_derivatives(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.derive(warc.page_responses(pages, WARC_DATE))
+
+
+@query
+def op12_filter_interaction(spark, sf_dir):
+    return filter_audit.filter_interactions(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): fixed rule of the query: from a word on, some texts repeat one period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", filter_audit.SPACE), "")
+    split = docs.select("doc_id", "text", F.expr("crc32(cast(cast(doc_id as string) as binary)) div 10")
+                        .alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    placed = split.withColumn("n", F.size("words")).withColumns(
+        {"a": F.expr("cast(g % nullif(n, 0) as int)")}).withColumn(
+        "p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")),
+                                     F.expr("cast((n - a) div p as int) + 1")))
+    changed = F.concat_ws(" ", F.slice("words", F.lit(1), F.col("a")),
+                          F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return placed.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text"))
+                         .alias("text"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(with_planted_repeats(documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.select("doc_id", "runs", "collapsed_text", longest.alias("longest"),
+                         F.array_join(lines, "").alias("lines"))
+    start, length, period = (-F.col("longest.start"), F.col("longest.length"),
+                             -F.col("longest.period"))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), start.alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
