@@ -141,6 +141,28 @@ select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
   not base_failed and not coalesce(severity > cutoff and gain > 0, false) as kept
 from scored s left join chosen c on s.lang is not distinct from c.lang"""
 
+COVER_PAIRS = """
+with recursive v as (select row_number() over () as row, vec_id, embedding::double[] as e
+    from embeddings where embedding is not null and len(embedding) > 0
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+      and len([x for x in embedding if x <> 0]) > 0),
+links as (select a.row as x, b.row as y from v a join v b
+    on a.row <> b.row and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(row, node) as (select row, row from v
+    union select r.row, l.y from reach r join links l on l.x = r.node),
+found as (select r.row, min(n.vec_id) as component_id from reach r join v n on n.row = r.node
+    group by r.row),
+counted as (select x as row, count(*) as n from links group by x),
+sound as (select v.vec_id, coalesce(n, 0) as n_links, component_id
+    from v join found using (row) left join counted using (row)),
+unsound as (select vec_id, 0 as n_links, vec_id as component_id from embeddings
+    where embedding is null or len(embedding) = 0
+      or len([x for x in embedding if x is null or not isfinite(x)]) > 0
+      or len([x for x in embedding if x <> 0]) = 0)
+select vec_id, cast(n_links as bigint) as n_links, component_id,
+  coalesce(vec_id = component_id, false) as kept
+from (select * from sound union all select * from unsound)"""
+
 FILTER_AUDIT = f"""
 with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
     {_words('text')} as words from documents),
@@ -181,4 +203,4 @@ from figures"""
 
 ORACLES = {"op4_ngram_jaccard_join": NGRAM_JOIN, "op5_substring_dedup": SUBSTRINGS,
            "op6_secret_ownership": SECRETS, "op8_quality_risk": QUALITY,
-           "op12_filter_interaction": FILTER_AUDIT}
+           "op11_cover_tree_pairs": COVER_PAIRS, "op12_filter_interaction": FILTER_AUDIT}

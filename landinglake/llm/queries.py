@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landinglake.llm import (decontamination, filter_audit, language, ngram_join, packing,
+from landinglake.llm import (cover_join, decontamination, filter_audit, language, ngram_join, packing,
                              periodic, quality_risk, secret_scan, substrings, token_counts, toxicity, warc)
 from landinglake.llm.oracles import ORACLES
 from landinglake.llm.tables import documents, show_package
@@ -112,6 +112,11 @@ def op2_warc_derivatives(spark, sf_dir):
     return warc.derive(warc.page_responses(pages, WARC_DATE))
 
 
+@query
+def op11_cover_tree_pairs(spark, sf_dir):
+    return cover_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op12_filter_interaction(spark, sf_dir):
     return filter_audit.filter_interactions(
