@@ -3,7 +3,7 @@
 A node stands for its centre and all vectors within its covering radius, which is measured. Its
 children are a net of its vectors: centres further apart than half the node's radius (rounded to a
 power of two), its own centre among them. So centres of a level are centres of all lower levels and
-radii halve at least. Single vectors are nodes of radius 0.
+radii halve at least; a small group that is hardly tighter than the net is children of radius 0. Single vectors are nodes of radius 0.
 
 Distances are chords, ``sqrt(2 - 2 cos)``. They are taken from products in single precision, so
 each comes as a lower and an upper bound; who needs an exact answer asks for the vectors.
@@ -75,10 +75,11 @@ class CoverTree:
             else:
                 by_group = np.argsort(group, kind="stable")
                 order[first:last] = own[by_group]
-                cuts = first + np.searchsorted(group[by_group], np.arange(group.max() + 2))
-                children.append(len(cuts) - 1)
-                begin += cuts[:-1].tolist()
-                end += cuts[1:].tolist()
+                cuts = np.searchsorted(group[by_group], np.arange(group.max() + 2))
+                starts = _child_starts(points[order[first:last]], cuts, wide, self.error)
+                children.append(len(starts))
+                begin += (first + starts).tolist()
+                end += (first + np.append(starts[1:], last - first)).tolist()
             node += 1
         self.points, self.order = points[order], order
         self.begin, self.end = np.array(begin), np.array(end)
@@ -142,6 +143,21 @@ def _net(points: np.ndarray, own: np.ndarray, radius: float) -> np.ndarray:
     return group
 
 
+def _child_starts(points: np.ndarray, cuts: np.ndarray, wide: float, error: float) -> np.ndarray:
+    """Where the children of a node begin among its points, given the groups of its net.
+
+    A few vectors that are hardly closer to each other than centres are would make a node that no
+    radius parts from others; they are children each.
+    """
+    sizes = np.diff(cuts)
+    centre = points[np.repeat(cuts[:-1], sizes)]
+    away = chord(np.einsum("ij,ij->i", points, centre).astype(np.float64) - error)
+    loose = (sizes <= LEAF) & (np.maximum.reduceat(away, cuts[:-1]) > wide / 2)
+    starts = np.repeat(loose, sizes)
+    starts[cuts[:-1]] = True
+    return np.flatnonzero(starts)
+
+
 def _slices(count: int, size: int) -> Iterator[slice]:
     for at in range(0, count, size):
         yield slice(at, at + size)
@@ -152,8 +168,8 @@ def traverse(a: CoverTree, b: CoverTree, reach: float, settle: Callable) -> None
     are further apart than both radii and ``reach``.
 
     ``settle(i, j, near, far)`` gets the other pairs, as node numbers with bounds of their centres'
-    distance, and returns which of them are to be opened. A node meets all the nodes of ``b`` that
-    are left for it in one product.
+    distance, and returns which of them are to be opened. A node meets all the nodes that are left
+    for it in one product.
     """
     pending = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while pending:
@@ -173,7 +189,18 @@ def traverse(a: CoverTree, b: CoverTree, reach: float, settle: Callable) -> None
                 left = near <= i_radius + j_radius + reach + 1e-12
                 i, j = nodes_a[i[left]], nodes_b[j[left]]
                 opened = settle(i, j, near[left], chord(cosine[left] - a.error))
-                i, j = i[opened], j[opened]
-                cuts = np.flatnonzero(np.diff(i, prepend=-1, append=-1))
-                for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    pending.append((a.open(i[begin:begin + 1]), b.open(j[begin:end])))
+                pending += _opened(a, b, i[opened], j[opened])
+
+
+def _opened(a: CoverTree, b: CoverTree, i: np.ndarray, j: np.ndarray
+            ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The children that meet: for each node of the side with fewer of them, its children and
+    those of all the nodes it met."""
+    by_b = len(np.unique(j)) < len(np.unique(i))
+    one, many = (j, i) if by_b else (i, j)
+    order = np.argsort(one, kind="stable")
+    one, many = one[order], many[order]
+    cuts = np.flatnonzero(np.diff(one, prepend=-1, append=-1))
+    for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        node, met = one[begin:begin + 1], many[begin:end]
+        yield (a.open(met), b.open(node)) if by_b else (a.open(node), b.open(met))
