@@ -10,7 +10,8 @@ writer, whose line separator is the end of a WARC record, and come back with ``r
 
 Every row is handled by itself, so nothing is shuffled. Edge cases: a null payload reads as empty
 and still gives both records; a null URI or header is left out, and line ends in a header read as spaces; bytes that are not in the declared
-character set are replaced; repeated responses give repeated records with equal ids; an empty table
+character set are replaced; a body that is compressed or chunked, as its HTTP head says, is unpacked for
+its text and read as it is where that fails; a very long body is one row's work; repeated responses give repeated records with equal ids; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -18,11 +19,11 @@ from __future__ import annotations
 
 import base64
 import codecs
-import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +50,9 @@ _TAG = re.compile(r"<(?:/?[a-z!?][^>]*)>", re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_PRE = re.compile(r"(<pre\b[^>]*>.*?(?:</pre\s*>|\Z))", re.S | re.I)
+_LINE_END = re.compile(r"\r\n?|\f")
+_CODED = re.compile(r"^(content|transfer)-encoding\s*:\s*([^\r\n]*)", re.M | re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
 
@@ -62,12 +66,59 @@ def record_name(*parts: str | None) -> str:
 
 
 def html_text(page: str) -> str:
-    """Visible text: one line per block element, white space within lines collapsed."""
-    visible = _TAG.sub("", _BREAKS.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(visible).split("\n"))
+    """Visible text: one line per block element, white space within lines collapsed. A line end of
+    the source is white space like any other, but for those inside ``pre``."""
+    parts = _PRE.split(_HIDDEN.sub(" ", page))
+    marked = [_LINE_END.sub("\n", part) if number % 2 else " ".join(re.split(r"\s+", part))
+              for number, part in enumerate(parts)]
+    visible = _TAG.sub("", _BREAKS.sub("\n", "".join(marked)))
+    lines = (" ".join(html.unescape(line).split()) for line in visible.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _unchunked(body: bytes) -> bytes:
+    """A body in HTTP chunks put together; what does not parse as chunks is kept."""
+    found, at = [], 0
+    while at < len(body):
+        end = body.find(b"\r\n", at)
+        try:
+            size = int(body[at:end if end >= 0 else len(body)].split(b";")[0].strip(), 16)
+        except ValueError:
+            return b"".join(found) + body[at:] if found else body
+        if end < 0 or size < 0 or not size:
+            break
+        found.append(body[end + 2:end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(found)
+
+
+def _inflated(body: bytes, window: int) -> bytes:
+    """What can be read of a compressed body, however many members it has."""
+    found = []
+    while body:
+        unpacker = zlib.decompressobj(window)
+        try:
+            found.append(unpacker.decompress(body))
+        except zlib.error:
+            break
+        body = unpacker.unused_data
+    return b"".join(found)
+
+
+def unpacked(payload: bytes, http_head: str) -> bytes:
+    """The payload without the chunks and compression that its HTTP head declares."""
+    coded = {kind.lower(): [c.strip().lower() for c in value.split(",") if c.strip()]
+             for kind, value in _CODED.findall(http_head)}
+    if "chunked" in coded.get("transfer", []):
+        payload = _unchunked(payload)
+    for coding in reversed(coded.get("content", [])):
+        if coding in ("gzip", "x-gzip"):
+            payload = _inflated(payload, 31) or payload
+        elif coding == "deflate":
+            payload = _inflated(payload, 15) or _inflated(payload, -15) or payload
+    return payload
+
+
 def _decoded(payload: bytes, content_type: str) -> str:
     named = _CHARSET.search(content_type)
     try:
@@ -118,7 +169,7 @@ def derive(responses: DataFrame) -> DataFrame:
                 headers = source["headers"] and list(source["headers"])
                 given = [_header(headers or [], f"warc-{part}-digest")
                          for part in ("payload", "block")]
-                page = _decoded(payload, head)
+                page = _decoded(unpacked(payload, head), head)
                 for kind, content_type, block in (
                         ("metadata", "application/warc-fields",
                          metadata_fields(page, head, payload_digest)),
@@ -180,24 +231,49 @@ def write_warc(records: DataFrame, folder: str, compression: str = "gzip") -> No
         .option("compression", compression).text(folder)
 
 
+def _members(content: bytes) -> Iterator[bytes]:
+    """The members of a gzip file one after the other, or a plain file as it is."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    left = memoryview(content)
+    while len(left):
+        unpacker = zlib.decompressobj(31)
+        yield unpacker.decompress(left)
+        left = left[len(left) - len(unpacker.unused_data):] if unpacker.eof else left[:0]
+        while len(left) and left[0] == 0:  # padding between members
+            left = left[1:]
+
+
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of a WARC file, gzipped or not."""
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    at = 0
-    while (at := content.find(b"WARC/", at)) >= 0:
-        end = content.find(b"\r\n\r\n", at)
-        if end < 0:
+    """Headers and block of each record of a WARC file, gzipped or not.
+
+    A gzip member is unpacked when the one before is used up, so a file whose records are members
+    each, as is usual, needs room for one record beside the file.
+    """
+    buffer = b""
+    members = _members(content)
+    while True:
+        at = buffer.find(b"WARC/")
+        end = buffer.find(b"\r\n\r\n", at) if at >= 0 else -1
+        if end >= 0:
+            lines = buffer[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+            headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+            length = next((v for k, v in headers.items() if k.lower() == "content-length"), "")
+            length = int(length) if length.isdigit() else 0
+        more = b"" if end >= 0 and len(buffer) >= end + 4 + length else next(members, None)
+        if more:
+            buffer += more
+        elif end < 0 and more is None:
             return
-        lines = content[at:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        length = next((int(v) for k, v in headers.items() if k.lower() == "content-length"), 0)
-        yield headers, content[end + 4:end + 4 + length]
-        at = end + 4 + length
+        elif end >= 0 and (more is None or len(buffer) >= end + 4 + length):
+            yield headers, buffer[end + 4:end + 4 + length]
+            buffer = buffer[end + 4 + length:]
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(headers, block) of every record of the WARC files at ``path``; a file is one task's."""
+    """(headers, block) of every record of the WARC files at ``path``; a file, of at most 2 GB,
+    is one task's."""
 
     def parse(batches):
         for batch in batches:
@@ -212,15 +288,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(parse, "headers map<string,string>, block binary")
 
 
+def _named(name: str) -> Column:
+    """A header's value, whatever the case its name is written in."""
+    found = F.filter(F.map_entries("headers"), lambda e: F.lower(e["key"]) == name)
+    return F.get(found, F.lit(0))["value"]
+
+
 def responses(records: DataFrame) -> DataFrame:
     """``RESPONSES`` among records as ``read_warc`` gives them."""
     block = F.col("block")
     # The head ends at the first empty line; Latin-1 keeps one character per byte.
     end = F.instr(F.decode(block, "ISO-8859-1"), "\r\n\r\n")
-    return records.filter(F.col("headers")["WARC-Type"] == "response").select(
-        F.col("headers")["WARC-Record-ID"].alias("record_id"),
-        F.col("headers")["WARC-Target-URI"].alias("target_uri"),
-        F.col("headers")["WARC-Date"].alias("date"), "headers",
+    return records.filter(F.lower(_named("warc-type")) == "response").select(
+        _named("warc-record-id").alias("record_id"),
+        _named("warc-target-uri").alias("target_uri"),
+        _named("warc-date").alias("date"), "headers",
         F.when(end > 0, F.decode(F.substring(block, F.lit(1), end - 1), "ISO-8859-1"))
         .alias("http_head"),
         F.when(end > 0, F.substring(block, end + 4, F.length(block))).otherwise(block)
