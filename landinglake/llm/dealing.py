@@ -25,7 +25,7 @@ FREQUENT_SHARE = 1024
 FREQUENT_LEAST = 64
 # Bytes of text whose values one task counts, and whose words are handled in one step.
 PART_BYTES = 6_000_000
-STEP_BYTES = 8_000_000
+STEP_BYTES = 2_000_000
 
 # One row per part of what a step deals. Owners stand in runs; owners, run lengths, values and
 # extras are packed in the narrowest integers that hold them, owners as differences.

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import look_up, run_starts, steps
-from landinglake.llm.tables import sample_each, stored
+from landinglake.llm.tables import sample_texts, stored
 
 UNKNOWN = "und"
 SAMPLE = 400
@@ -37,6 +37,8 @@ RIDGE = 1e-3
 GRAMS = 3
 BITS = 21
 _POINTS = 0x110000
+# Texts by n-grams whose presence is laid out at a time.
+CELLS = 1 << 22
 
 
 def letters_of(text: str) -> np.ndarray:
@@ -93,23 +95,32 @@ class Model:
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best language's number (-1 without letters) and score of each text."""
         best, scores = np.full(len(texts), -1), np.zeros(len(texts))
-        for row, text in enumerate(texts):
-            found = present_grams(text, self.table)
-            if not ((found > 1) & (found < 1 << BITS)).any():
-                continue
-            known, at = look_up(self.grams, found)
-            values = self.weights[at[known]].sum(0, dtype=np.float64) \
-                / np.sqrt(len(found)) + self.bias
-            best[row] = values.argmax()
-            scores[row] = min(1.0, max(0.0, values[best[row]]))
+        size = max(1, min(len(texts), CELLS // max(1, len(self.grams))))
+        present = np.zeros((size, len(self.grams)), np.float32)
+        for begin in range(0, len(texts), size):
+            used, lengths, some = [], np.ones(size), np.zeros(size, bool)
+            for row, text in enumerate(texts[begin:begin + size]):
+                found = present_grams(text, self.table)
+                some[row] = ((found > 1) & (found < 1 << BITS)).any()
+                known, at = look_up(self.grams, found)
+                used.append(at[known])
+                present[row, used[-1]] = 1
+                lengths[row] = max(1, len(found))
+            # One product for the block: presence by n-gram times weights by n-gram.
+            values = present @ self.weights / np.sqrt(lengths)[:, None] + self.bias
+            for row, at in enumerate(used):
+                present[row, at] = 0
+            rows = np.flatnonzero(some)
+            best[begin + rows] = values[rows].argmax(axis=1)
+            scores[begin + rows] = np.clip(values[rows].max(axis=1), 0, 1)
         return best, scores
 
 
 def learning_rows(docs: DataFrame, learn: Column, sample: int) -> DataFrame:
-    """(lang, text, place): at most ``sample`` rows per language, in order of a hash."""
+    """(lang, text, place): at most ``sample`` different texts per language, in order of a hash."""
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = known.select(F.col("lang").cast("string").alias("lang"), "text")
-    return sample_each(rows, "lang", sample, "lang", "text").select("lang", "text", "place")
+    return sample_texts(rows, "lang", "text", sample)
 
 
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, landmarks: int = LANDMARKS,

@@ -102,7 +102,7 @@ again as (select doc_id, win from win group by doc_id, win having count(*) > 1),
 covered as (select doc_id, count(distinct pos) as n from (
     select doc_id, unnest(range(i, i + 5)) as pos from win semi join again using (doc_id, win))
     group by doc_id),
-counted as (select doc_id, lang, cast(len(words) as bigint) as n_words,
+counted as (select doc_id, lang, text, cast(len(words) as bigint) as n_words,
       cast(length(array_to_string(words, '')) as bigint) as word_chars,
       cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
       length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_capitals,
@@ -118,17 +118,20 @@ scored as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base
       coalesce(n_dup_lines / nullif(n_lines, 0) / {_U['lines']}, 0),
       coalesce(n_repeat_words / nullif(n_words, 0) / {_U['windows']}, 0),
       coalesce(n_doubled / nullif(n_words, 0) / {_U['doubled']}, 0)) as severity from counted),
-labelled as (select lang, severity, q > 0 as good, substr(md5(cast(doc_id as varchar)), 1, 1) < '8'
-      as certifies from scored join (select doc_id, min(quality) as q from labels group by doc_id)
-      using (doc_id) where q is not null),
 levels as (select unnest({_LEVELS}) as level, unnest(range({len(_LEVELS)})) as step),
+labelled as (select lang, any_value(severity) as severity, any_value(base_failed) as base_failed,
+      min(q) > 0 as good, substr(md5(cast(min(doc_id) as varchar)), 1, 1) < '8' as certifies
+    from scored join (select doc_id, min(quality) as q from labels group by doc_id)
+      using (doc_id) where q is not null group by lang, text),
+at_level as (select lang, good, certifies, step, level,
+      not (not base_failed and not severity > level) as dropped from labelled, levels),
 tested as (select lang, step, level, count_if(good and certifies) as n,
-      count_if(good and certifies and severity > level) as lost,
-      coalesce(count_if(not good and not certifies and severity > level)
+      count_if(good and certifies and dropped) as lost,
+      coalesce(count_if(not good and not certifies and dropped)
         / nullif(count_if(not good and not certifies), 0), 0)
-      - coalesce(count_if(good and not certifies and severity > level)
+      - coalesce(count_if(good and not certifies and dropped)
         / nullif(count_if(good and not certifies), 0), 0) as gain
-    from labelled, levels group by all),
+    from at_level group by all),
 judged as (select *, case when lost > n * {_RISK} then false else list_sum([exp(lgamma(n + 1)
         - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RISK}) + (n - i) * ln(1 - {_RISK}))
         for i in range(0, cast(lost as bigint) + 1)]) <= {quality_risk.ERROR} / (select count(distinct coalesce(lang, '-'))

@@ -4,19 +4,26 @@ Every document gets one severity: the largest of its shares (symbols, capitals,
 repeated lines, repeated windows, words said twice), each in units of its rule. A document is
 rejected when its severity exceeds the cutoff of its stratum (its language).
 
-Cutoffs come from labelled documents, split by a hash of their id into a half that chooses and a
-half that certifies. Going from the most lenient level to the strictest, a level is certified
-while the exact binomial test on the good documents of the certifying half rejects "at least ``risk``
-of the stratum's good documents would be lost" at ``error / strata`` (fixed-sequence testing within
-a stratum, Bonferroni across strata). So with probability 1 - ``error`` no stratum loses more than
-``risk`` of its good documents. Among certified levels the other half takes the one that separates
-bad from good best, the more lenient one on ties. A stratum without a certified level rejects
-nothing by severity. The fixed base rules of ``base_failed`` apply in any case.
+Cutoffs come from labelled documents, equal texts of a stratum as one, split by a hash of their
+(least) id into a half that chooses and a half that certifies. What counts as lost is every good
+document that would not be kept, by the fixed base rules of ``base_failed`` too. Going from the most
+lenient level to the strictest, a level is certified while the exact binomial test on the good
+documents of the certifying half rejects "at least ``risk`` of the stratum's good documents would be
+lost" at ``error / strata`` (fixed-sequence testing within a stratum, Bonferroni across strata). So
+with probability 1 - ``error`` no stratum with a certified level loses more than ``risk`` of its
+good documents. Among certified levels the other half takes the one that separates bad from good
+best, the more lenient one on ties. A stratum without a certified level rejects nothing by severity.
+
+The base rules apply in any case. Where they alone lose more than ``risk``, no level is certified
+and no bound can hold, as the rules aren't this module's to change; ``cutoffs`` gives such strata
+``certified`` = 0 and shows in ``base_lost`` how many good documents of the half the rules reject.
 
 DataFrame functions only. Text is read once, numbers are stored, and only these are joined with
 the labels. Edge cases: a null text has no words (and so fails the base rules); a null stratum is a
 stratum of its own; a document with several labels counts as bad if one says so; rows without a
-doc_id have no label; without labels nothing is certified; empty tables give empty results; other
+doc_id have no label; copies of a text count as one trial, which is bad if one of them is; ties go
+to the more lenient level; a very long text is split within its row; without labels nothing is
+certified; empty tables give empty results; other
 columns are ignored.
 """
 
@@ -74,7 +81,7 @@ def _covered(at: Column) -> Column:
 
 def measure(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    severity) and the columns ``carry`` for every row of ``docs``."""
+    severity, digest of the text) and the columns ``carry`` for every row of ``docs``."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", *carry, F.col(stratum).cast("string").alias("stratum"),
                        text.alias("text"))
@@ -89,7 +96,7 @@ def measure(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ())
         _count_of(F.col("text"), CAPITALS).alias("n_capitals"),
         _count_of(F.col("text"), "!").alias("n_marks"),
         F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1))).alias("n_doubled"),
-        lines.alias("lines"), windows.alias("windows"))
+        F.xxhash64("text").alias("digest"), lines.alias("lines"), windows.alias("windows"))
     # Arrays that lambdas look into are columns of their own, made once per row. Only rows with a
     # repeated window sort theirs.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
@@ -99,7 +106,7 @@ def measure(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ())
     repeated = F.coalesce(_covered(F.col("at")), F.lit(0)).cast("bigint")
     rows = rows.select(
         "doc_id", *carry, "stratum", "n_words", (F.col("length") - F.col("spaces")).cast("bigint")
-        .alias("word_chars"), "n_symbols", "n_capitals", "n_marks", "n_doubled",
+        .alias("word_chars"), "n_symbols", "n_capitals", "n_marks", "n_doubled", "digest",
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"))
@@ -114,7 +121,8 @@ def measure(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ())
     failed = ((F.col("n_words") < LEAST_WORDS)
               | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     return rows.select("doc_id", *carry, "stratum", "n_words", "word_chars", "n_symbols",
-                       "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), severity.alias("severity"))
+                       "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+                       severity.alias("severity"), "digest")
 
 
 def _binomial_tail(rejected: Column, total: Column, risk: float) -> Column:
@@ -141,19 +149,26 @@ def _certifies(doc_id: Column) -> Column:
 
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
             levels: tuple[float, ...] = LEVELS) -> DataFrame:
-    """(stratum, n_good, certified, cutoff) per stratum with labels: good documents that certify,
-    number of certified levels, and the chosen one, null if there is none."""
+    """(stratum, n_good, base_lost, certified, cutoff) per stratum with labels: good texts that
+    certify and how many of them fail the base rules, number of certified levels, and the chosen
+    one, null if there is none."""
     marked = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = (measured.join(marked, "doc_id").filter("quality is not null")
-            .select("stratum", "severity", (F.col("quality") > 0).alias("good"),
-                    _certifies(F.col("doc_id")).alias("certifies")))
+    # Labelled documents are few; equal texts have equal measures.
+    texts = (measured.join(marked, "doc_id").filter("quality is not null")
+             .groupBy("stratum", "digest").agg(
+                 F.min("quality").alias("quality"), F.min("doc_id").alias("doc_id"),
+                 F.max("severity").alias("severity"), F.max("base_failed").alias("base_failed")))
+    rows = texts.select("stratum", "severity", "base_failed", (F.col("quality") > 0).alias("good"),
+                        _certifies(F.col("doc_id")).alias("certifies"))
 
     def lost(condition):
-        return F.array(*(F.count_if(condition & (F.col("severity") > level)) for level in levels))
+        return F.array(*(F.count_if(condition & (F.col("base_failed") | (F.col("severity") > level)))
+                         for level in levels))
 
     good, certifies = F.col("good"), F.col("certifies")
     counts = stored(rows.groupBy("stratum").agg(
-        F.count_if(good & certifies).alias("n_good"), lost(good & certifies).alias("lost"),
+        F.count_if(good & certifies).alias("n_good"),
+        F.count_if(good & certifies & F.col("base_failed")).alias("base_lost"), lost(good & certifies).alias("lost"),
         F.count_if(good & ~certifies).alias("chose_good"), lost(good & ~certifies).alias("good"),
         F.count_if(~good & ~certifies).alias("chose_bad"), lost(~good & ~certifies).alias("bad"),
     ), "holdout")
@@ -167,7 +182,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
         (-i).alias("lenient")))
     best = F.array_max(F.slice(each, 1, F.col("certified")))
     return counts.withColumn("certified", certified).select(
-        "stratum", "n_good", "certified",
+        "stratum", "n_good", "base_lost", "certified",
         F.when(best["gain"] > 0, F.get(F.array(*map(F.lit, levels)), -best["lenient"]))
         .alias("cutoff"))
 

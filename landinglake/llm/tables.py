@@ -54,6 +54,27 @@ def sample_each(rows: DataFrame, by: str, most: int, *draw: str) -> DataFrame:
     return few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
 
 
+def sample_texts(rows: DataFrame, by: str, text: str, most: int) -> DataFrame:
+    """At most ``most`` different texts per value of ``by``, with their ``place`` in the order of a
+    hash of both: copies of a text are one text, and every value that has a text is drawn from.
+
+    What passes the first filter is sized by the number of different texts, which is estimated
+    within tasks and adds up; no text is shuffled before that, and copies meet as one row a task.
+    """
+    mark = F.xxhash64(by, text)
+    marked = rows.select(by, text, mark.alias("mark"))
+    counts = stored(marked.groupBy(by).agg(F.approx_count_distinct("mark", 0.02).alias("texts")),
+                    "texts")
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts
+    # Twice as many as wanted and some more, so that a few too low an estimate costs nothing.
+    share = F.least(F.lit(1.0), (2.0 * most + 100) / F.col("texts"))
+    few = marked.join(counts, by).filter(F.pmod("mark", F.lit(1_000_003)) < share * 1_000_003)
+    few = few.groupBy(by, "mark").agg(F.min(text).alias(text))
+    order = Window.partitionBy(by).orderBy(F.pmod("mark", F.lit(1_000_003)), "mark")
+    return few.withColumn("place", F.row_number().over(order)).filter(
+        F.col("place") <= most).select(by, text, "place")
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a number per row, the same whenever the frame is read: the place in its file
     for a Parquet table, which is not copied; any other frame is stored first."""

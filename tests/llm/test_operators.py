@@ -184,7 +184,9 @@ def test_cutoffs_hold_the_exact_bound(spark):
     rows = [(i, "en", 0.1 if i % 50 else 1.2, 1) for i in range(3000)]
     rows += [(i, "en", 5.0, 0) for i in range(3000, 3300)]
     rows += [(i, None, 0.1, 1) for i in range(3300, 3340)]  # too few to certify anything
-    measured = spark.createDataFrame(rows, "doc_id bigint, stratum string, severity double, q int")
+    measured = spark.createDataFrame(
+        rows, "doc_id bigint, stratum string, severity double, q int").withColumns(
+        {"digest": F.col("doc_id"), "base_failed": F.lit(False)})
     labels = measured.selectExpr("doc_id", "q AS quality")
     found = {r.stratum: r for r in quality_risk.cutoffs(measured, labels, risk=0.03).collect()}
     assert found[None].certified == 0 and found[None].cutoff is None
