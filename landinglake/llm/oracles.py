@@ -53,7 +53,7 @@ def _kind(number: int) -> str:
     name, pattern, group, least = secret_scan.KINDS[number]
     pattern = _quoted(pattern)
     return f"""
-    select doc_id, source, {number} as kind_no, '{name}' as kind,
+    select doc_id, source, text, {number} as kind_no, '{name}' as kind,
       unnest(regexp_extract_all(text, {pattern}, 0)) as whole,
       unnest(regexp_extract_all(text, {pattern}, {group})) as value,
       unnest([length(x) for x in string_split_regex(text, {pattern})]) as gap,
@@ -63,31 +63,42 @@ def _kind(number: int) -> str:
 
 SECRETS = f"""
 with each as ({' union all '.join(map(_kind, range(len(secret_scan.KINDS))))}),
-placed as (select *, sum(gap + length(whole)) over (partition by doc_id, kind_no order by nth) as stop
-    from each where whole is not null),
-found as (select *, cast(stop - length(whole) as bigint) as start from placed
+placed as (select *, cast(sum(gap + length(whole)) over (
+      partition by doc_id, kind_no order by nth) as bigint) as stop from each where whole is not null),
+around as (select *, substr(text, greatest(start - {secret_scan.CONTEXT}, prior) + 1,
+      least(start - prior, {secret_scan.CONTEXT})) as before,
+      substr(text, stop + 1, least({secret_scan.CONTEXT}, next_start - stop)) as after
+    from (select *, lag(stop, 1, 0) over each_kind as prior,
+      lead(stop - length(whole), 1, length(text)) over each_kind as next_start
+      from (select *, cast(stop - length(whole) as bigint) as start from placed)
+      window each_kind as (partition by doc_id, kind_no order by nth))
     where length(value) >= least),
-owned as (select value, count(distinct coalesce(source, '')) as owners from found group by value),
+owned as (select value, count(distinct coalesce(source, '')) as owners,
+      count(distinct doc_id) as repositories, count(distinct (before, after)) as contexts
+    from around group by value),
 judged as (select doc_id, kind_no, start,
-      kind || ':' || start || ':' || cast(stop as bigint) as span,
-      case when owners >= {secret_scan.EXAMPLE_OWNERS} then 'example'
-        when length(value) >= {secret_scan.LEAST_LIVE} and regexp_matches(value, '[0-9]')
-          and regexp_matches(value, '[A-Za-z]')
-          and not regexp_matches(value, {_quoted(secret_scan.MADE_UP)}) then 'live'
-        else 'other' end as verdict
-    from found join owned using (value)),
-spans as (select * from judged where kind_no < {len(secret_scan.BASE)} or verdict <> 'example'),
+      kind || ':' || start || ':' || stop as span,
+      owners || '/' || repositories || '/' || contexts as copies,
+      length(value) >= {secret_scan.LEAST_LIVE} and regexp_matches(value, '[0-9]')
+        and regexp_matches(value, '[A-Za-z]')
+        and not regexp_matches(value, {_quoted(secret_scan.MADE_UP)}) as random,
+      least(owners, repositories, contexts) >= {secret_scan.EXAMPLE_OWNERS} as copied
+    from around join owned using (value)),
+spans as (select * from judged where kind_no < {len(secret_scan.BASE)} or random or not copied),
 lists as (select doc_id, count_if(kind_no = 0) as n_assign, count_if(kind_no = 1) as n_access,
       count_if(kind_no = 2) as n_hex,
       string_agg(span, ',' order by start, kind_no) filter (kind_no < {len(secret_scan.BASE)}) as base,
       string_agg(span, ',' order by start, kind_no) as spans,
-      string_agg(span, ',' order by start, kind_no) filter (verdict = 'live') as live,
-      string_agg(span, ',' order by start, kind_no) filter (verdict = 'example') as examples
+      string_agg(span, ',' order by start, kind_no) filter (random and not copied) as live,
+      string_agg(span, ',' order by start, kind_no) filter (random and copied) as shared,
+      string_agg(span, ',' order by start, kind_no) filter (not random and copied) as examples,
+      string_agg(copies, ',' order by start, kind_no) as copies
     from spans group by doc_id)
 select doc_id, cast(coalesce(n_assign, 0) as bigint) as n_assign,
   cast(coalesce(n_access, 0) as bigint) as n_access, cast(coalesce(n_hex, 0) as bigint) as n_hex,
   sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
-  coalesce(live, '') as live, coalesce(examples, '') as examples
+  coalesce(live, '') as live, coalesce(shared, '') as shared, coalesce(examples, '') as examples,
+  coalesce(copies, '') as copies
 from documents left join lists using (doc_id)"""
 
 _U, _LEVELS, _RISK = quality_risk.UNITS, list(quality_risk.LEVELS), quality_risk.RISK

@@ -70,7 +70,8 @@ def _remainder(divisor: int):
 def op6_secret_ownership(spark, sf_dir):
     found = secret_scan.document_spans(documents(spark, sf_dir))
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
-                        F.sha2("base", 256).alias("base_sha256"), "spans", "live", "examples")
+                        F.sha2("base", 256).alias("base_sha256"), "spans", "live", "shared", "examples",
+                        "copies")
 
 
 @query

@@ -1,18 +1,23 @@
 """Credentials in documents, judged by who owns copies of them across the whole corpus.
 
 Candidates are found by fixed patterns, each leftmost and without overlap. The hash of every
-candidate value is then counted by distinct repositories and distinct owners of the corpus: a value
-that at least ``example_owners`` owners have is a widely copied example, one of fewer owners that
-looks random is taken for live. Three kinds are always spans (``BASE``); vendor formats are added
-unless their value is an example.
-
-DataFrame functions only. Texts that can have no candidate are filtered first by plain substrings and the hex pattern, so
-that positions, which are running sums over the gaps between matches, are made for the few others.
-Counting is a chain of aggregations (value, owner, repository), then (value, owner), then value,
-each combined before its shuffle, so a value that a third of all documents hold is no hot group.
+candidate value is then counted over the corpus: by distinct owners, distinct repositories and
+distinct contexts, the ``CONTEXT`` characters on either side of it. A value is widely copied if each
+of the three is at least ``example_owners``; copies of one passage have one context, so they are no
+sign that a value is an example. The verdict of a span is ``live`` if its value looks random and is
+not widely copied, ``shared`` if it looks random and is, ``example`` if it is widely copied and does
+not look random, else ``other``. Three kinds are always spans (``BASE``); vendor formats are added
+unless they are examples. Only examples are left by ``redact``: what looks live never is.
+
+DataFrame functions only. Texts that can have no candidate are filtered first by plain substrings
+and the hex pattern, so that positions, which are running sums over the gaps between matches, are
+made for the few others. Candidates are few; they are stored, so that texts are scanned once for the
+counts and the spans. A value that a third of all documents hold is counted in steps, each combined
+before its shuffle, and its spans meet the counts in a join that AQE can split.
 
 Edge cases: a null text reads as empty and has no spans; a null owner or repository counts as one
-of its own; repeated rows have the same spans; an empty table gives an empty result; other columns
+of its own; repeated rows have the same spans and are one row in the counts; kinds that begin at one
+place are in the order listed; a very long text is scanned whole, within its row; an empty table gives an empty result; other columns
 are ignored. Positions are code points, the end exclusive.
 """
 
@@ -24,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from landinglake.llm.tables import free_name
+from landinglake.llm.tables import free_name, stored
+from landinglake.operators.joins import skew_join
 
 # The patterns of the base kinds; group 2 of the first is the value.
 ASSIGN = (r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
@@ -38,6 +44,8 @@ VENDOR = (r"gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Z
 BASE = (("assign", ASSIGN, 2, LEAST_VALUE), ("access", ACCESS, 0, 0), ("hex", HEX, 0, 0))
 KINDS = (*BASE, ("vendor", VENDOR, 0, 0))
 EXAMPLE_OWNERS = 3
+# Characters before and after a value that tell copies of one passage from uses of the value.
+CONTEXT = 24
 LEAST_LIVE = 16
 MADE_UP = r"(?i)example|sample|dummy|changeme|placeholder|xxxx|00000000|12345678"
 
@@ -65,29 +73,37 @@ def _key(text: Column, *columns: str) -> Column:
 
 
 def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
-    """(key, owner, repository, kind_no, start, end, value, live): every candidate of ``docs``
-    once per distinct row."""
+    """(key, owner, repository, kind_no, start, end, value, live, context): every candidate of
+    ``docs`` once per distinct row."""
     text = F.col("text")
     rows = (docs.filter(may_have_candidates(text))
             .select(_key(text, "doc_id", owner, repository).alias("key"),
                     F.col(owner).cast("string").alias("owner"),
                     F.col(repository).cast("string").alias("repository"), "text"))
+    # Per kind, columns of their own, so that each pattern is run once for each of them.
+    for number, (_, pattern, group, _) in enumerate(KINDS):
+        rows = rows.withColumns({
+            f"whole{number}": F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
+            f"gap{number}": F.split("text", pattern, -1)})
     found = []
     for number, (_, pattern, group, _) in enumerate(KINDS):
+        whole, gaps = F.col(f"whole{number}"), F.col(f"gap{number}")
+        value = F.regexp_extract_all("text", F.lit(pattern), F.lit(group)) if group else whole
         found.append(F.arrays_zip(
-            F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("whole"),
-            F.regexp_extract_all("text", F.lit(pattern), F.lit(group)).alias("value"),
-            F.transform(F.split("text", pattern, -1), F.length).alias("gap"),
-            F.array_repeat(F.lit(number), F.size(F.regexp_extract_all(
-                "text", F.lit(pattern), F.lit(0)))).alias("kind_no")))
+            whole.alias("whole"), value.alias("value"), gaps.alias("gap"),
+            F.slice(gaps, 2, F.size(whole)).alias("after"),
+            F.array_repeat(F.lit(number), F.size(whole)).alias("kind_no")))
     lists = rows.select("key", "owner", "repository", F.flatten(F.array(*found)).alias("found"))
     each = lists.select("key", "owner", "repository", F.posexplode("found").alias("at", "m"))
     # The gap after the last match has no match beside it.
-    each = each.filter("m.whole is not null").select(
+    each = each.select(
         "key", "owner", "repository", "at", F.col("m.kind_no").alias("kind_no"),
-        F.length("m.whole").alias("length"), "m.gap", F.col("m.value").alias("secret"))
-    once = each.groupBy("key", "kind_no", "at").agg(
-        *(F.first(c).alias(c) for c in ("owner", "repository", "length", "gap", "secret")))
+        F.length("m.whole").alias("length"), F.length("m.gap").alias("gap"),
+        F.right("m.gap", F.lit(CONTEXT)).alias("before"),
+        F.left("m.after", F.lit(CONTEXT)).alias("after"), F.col("m.value").alias("secret")) \
+        .filter("length is not null")
+    once = each.groupBy("key", "kind_no", "at").agg(*(F.first(c).alias(c) for c in (
+        "owner", "repository", "length", "gap", "secret", "before", "after")))
     before = (Window.partitionBy("key", "kind_no").orderBy("at")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     end = F.sum(F.col("gap") + F.col("length")).over(before).cast("bigint")
@@ -97,29 +113,38 @@ def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     return (once.withColumn("end", end).filter(F.length("secret") >= least)
             .select("key", "owner", "repository", "kind_no",
                     (F.col("end") - F.col("length")).alias("start"), "end",
-                    F.sha2("secret", 256).alias("value"), looks_live(F.col("secret")).alias("live")))
+                    F.sha2("secret", 256).alias("value"), looks_live(F.col("secret")).alias("live"),
+                    F.xxhash64("before", "after").alias("context")))
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, owners, repositories): how many distinct ones have each candidate value."""
-    one = F.lit(1)
-    # A repository belongs to an owner, so (owner, repository) tells repositories apart.
-    holders = found.groupBy("value", "owner", "repository").agg(F.count(one).alias("spans"))
-    per_owner = holders.groupBy("value", "owner").agg(F.count(one).alias("repositories"))
-    return per_owner.groupBy("value").agg(F.count(one).alias("owners"),
-                                          F.sum("repositories").alias("repositories"))
+    """(value, owners, repositories, contexts): how many distinct ones each candidate value has.
+
+    A repository belongs to an owner, so (owner, repository) tells repositories apart. Rows are
+    combined per value and distinct one before they are counted, so no group holds all rows of a
+    value.
+    """
+    def several(name: str, *columns: str) -> DataFrame:
+        one = found.groupBy("value", *columns).agg(F.count(F.lit(1)).alias("spans"))
+        return one.groupBy("value").agg(F.count(F.lit(1)).alias(name))
+
+    return several("owners", "owner").join(
+        several("repositories", "owner", "repository"), "value").join(
+        several("contexts", "context"), "value")
 
 
 def scan_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
                  example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """(key, spans) of every distinct row with spans, in order of start and kind; a span has
-    start, kind_no, end, verdict (example, live or other), owners and repositories."""
-    found = candidates(docs, owner, repository)
-    verdict = (F.when(F.col("owners") >= example_owners, "example")
-               .when(F.col("live"), "live").otherwise("other"))
-    judged = (found.join(ownership(found), "value").withColumn("verdict", verdict)
+    start, kind_no, end, verdict (example, live, shared or other), owners, repositories and
+    contexts."""
+    found = stored(candidates(docs, owner, repository), "candidates")
+    copied = F.least("owners", "repositories", "contexts") >= example_owners
+    verdict = (F.when(F.col("live"), F.when(copied, "shared").otherwise("live"))
+               .when(copied, "example").otherwise("other"))
+    judged = (skew_join(found, ownership(found), "value").withColumn("verdict", verdict)
               .filter((F.col("kind_no") < len(BASE)) | (F.col("verdict") != "example")))
-    span = F.struct("start", "kind_no", "end", "verdict", "owners", "repositories")
+    span = F.struct("start", "kind_no", "end", "verdict", "owners", "repositories", "contexts")
     return judged.groupBy("key").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
@@ -133,10 +158,11 @@ def _spans_of(column: Column | str, wanted=None) -> Column:
 
 def document_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
                    example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base, spans, live, examples) for every row of ``docs``
-    (doc_id, text and the owner and repository columns): counts and lists of spans."""
+    """(doc_id, n_assign, n_access, n_hex, base, spans, live, shared, examples, copies) for every
+    row of ``docs`` (doc_id, text and the owner and repository columns): counts and lists of spans,
+    and per span owners/repositories/contexts of its value."""
     no_spans = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,verdict:string,"
-                              "owners:bigint,repositories:bigint>>")
+                              "owners:bigint,repositories:bigint,contexts:bigint>>")
     rows = docs.select("doc_id", _key(F.col("text"), "doc_id", owner, repository).alias("key"))
     spans = F.coalesce("spans", no_spans).alias("all_spans")
     joined = rows.join(scan_secrets(docs, owner, repository, example_owners), "key", "left")
@@ -150,12 +176,16 @@ def document_spans(docs: DataFrame, owner: str = "source", repository: str = "do
         _spans_of("all_spans", lambda s: s["kind_no"] < len(BASE)).alias("base"),
         _spans_of("all_spans").alias("spans"),
         _spans_of("all_spans", lambda s: s["verdict"] == "live").alias("live"),
-        _spans_of("all_spans", lambda s: s["verdict"] == "example").alias("examples"))
+        _spans_of("all_spans", lambda s: s["verdict"] == "shared").alias("shared"),
+        _spans_of("all_spans", lambda s: s["verdict"] == "example").alias("examples"),
+        F.array_join(F.transform("all_spans", lambda s: F.concat_ws(
+            "/", *(s[c].cast("string") for c in ("owners", "repositories", "contexts")))), ",")
+        .alias("copies"))
 
 
 def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
            mark: str = "[secret]", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``docs`` with every span that is not a widely copied example replaced by ``mark``; all
+    """``docs`` with every span that is not an example replaced by ``mark``; all
     columns stay, and rows without such spans are not shuffled."""
     key, cut = free_name(docs, "row_key"), free_name(docs, "cut")
     spans = scan_secrets(docs, owner, repository, example_owners).select(

@@ -122,18 +122,36 @@ def test_base_spans(docs):
     assert values(found, "doc_id", "base") == expected
 
 
-def test_widely_copied_values_are_examples_and_others_live(spark):
-    live, copied = "9f3c61083db5dbdf4bd2369d2f80176e57f7", "deadbeef01" * 4
-    rows = [(i, f"key {copied}", f"owner{i}") for i in range(4)]
-    rows += [(i, f"ghp_{live.upper()}  {live}", "owner0") for i in range(4, 7)]
-    rows += [(i, f"ghp_{copied}", f"owner{i}") for i in range(7, 11)]
+def test_verdicts_follow_owners_repositories_contexts_and_looks(spark):
+    live, made_up = "9f3c61083db5dbdf4bd2369d2f80176e57f7", "0123456789abcdef00000000"
+    key = "ghp_" + "A1b2C3d4" * 5
+    rows = [(i, f"no. {i} has {made_up}", f"owner{i}") for i in range(4)]
+    rows += [(i, f"{live.upper()}  {live}", "owner0") for i in range(4, 7)]
+    # One passage in many sources is one context; the same key in other words is shared.
+    rows += [(i, f"a passage with {key} in it", f"owner{i}") for i in range(7, 11)]
+    rows += [(i, f"no. {i}: AKIA{'Q7XW' * 5} here", f"owner{i}") for i in range(11, 15)]
+    rows += [(15, "token = abcdefgh1", "owner0"), (16, f"one passage: {made_up}", "o")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     found = {r.doc_id: r for r in secret_scan.document_spans(docs).collect()}
-    assert found[0].examples == found[0].spans == "hex:4:44" and found[0].live == ""
-    assert found[5].spans == "vendor:0:40,hex:42:78" == found[5].live
-    assert found[8].spans == "hex:4:44"  # the vendor span's value is an example
+    assert found[0].examples == found[0].spans == "hex:10:34" and found[0].live == ""
+    assert found[0].copies == "5/5/5"
+    assert found[5].spans == found[5].live == "hex:38:74" and found[5].copies == "1/3/1"
+    assert found[8].spans == found[8].live == "vendor:15:59" and found[8].copies == "4/4/1"
+    assert found[12].spans == found[12].shared == "access:8:32" and found[12].live == ""
+    assert (found[15].spans, found[15].live, found[15].examples) == ("assign:0:17", "", "")
     texts = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
-    assert texts[0] == rows[0][1] and texts[5] == "[secret]  [secret]"
+    assert texts[0] == rows[0][1] and texts[5] == f"{live.upper()}  [secret]"
+    assert texts[8] == "a passage with [secret] in it" and texts[12] == "no. 12: [secret] here"
+
+
+def test_a_value_that_most_rows_hold_is_split_over_tasks(spark):
+    """The join of spans and counts shuffles both sides, so AQE can split a hot value."""
+    docs = spark.createDataFrame([(1, "token: abcdefgh", "s")],
+                                 "doc_id bigint, text string, source string")
+    found = secret_scan.candidates(docs, "source", "doc_id")
+    joined = secret_scan.skew_join(found, secret_scan.ownership(found).hint("merge"), "value")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "_key_hash" in plan and plan.count("Exchange hashpartitioning(value") >= 2
 
 
 def test_redaction_keeps_rows_and_columns(docs):
