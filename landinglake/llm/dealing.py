@@ -24,7 +24,7 @@ FREQUENT_SHARE = 1024
 # Below so many documents a value is not worth a special path.
 FREQUENT_LEAST = 64
 # Bytes of text whose values one task counts, and whose words are handled in one step.
-PART_BYTES = 6_000_000
+PART_BYTES = 4_000_000
 STEP_BYTES = 2_000_000
 
 # One row per part of what a step deals. Owners stand in runs; owners, run lengths, values and

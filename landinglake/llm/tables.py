@@ -16,6 +16,11 @@ from landinglake.storage import fresh_folder
 BROADCAST_IDS = 500_000
 
 
+# Bytes of an Arrow batch on its way to a Python worker; a longer row is a batch by itself.
+BATCH_BYTES = "4m"
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives executors."""
     folder = fresh_folder(frame.sparkSession, label)
@@ -117,7 +122,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def show_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did, if they have nothing
-    else on their path. A cluster that ships the package with the job is not affected."""
+    else on their path; a cluster that ships the package with the job is not affected. Arrow
+    batches, which hold 10,000 rows whatever their texts, are bounded in bytes, unless the session
+    has a bound of its own."""
+    if spark.conf.get(_BATCH_SETTING, None) in (None, _BATCH_DEFAULT):
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     paths = [str(Path(__file__).resolve().parents[2])]
     environment = spark.sparkContext.environment
     if paths[0] not in (known := environment.get("PYTHONPATH", "").split(os.pathsep)):
