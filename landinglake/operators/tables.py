@@ -12,7 +12,7 @@ from landinglake.errors import LocationMismatch
 from landinglake.functions.quoting import literal, quoted
 from landinglake.functions.times import TIME_PARTS
 from landinglake.operators.partitions import partition_clause
-from landinglake.sources.lake import TableDefinition, find_table
+from landinglake.sources.lake import TableDefinition, base_folder, find_table
 
 # Column of the run id, and the columns left out of the schema rows.
 RUN_ID = "process_execution_id"
@@ -23,15 +23,17 @@ PARTITION_BATCH = 500
 
 
 def resolve_location(definition: TableDefinition | None, path: str | None) -> str:
-    """Where to write: the given path, which an existing table must agree with."""
+    """The table's own folder: the given path, which an existing table must agree with. Its data
+    may lie in a folder of an overwrite below."""
     if definition is None:
         if path is None:
             raise ValueError("a new table needs a path")
         return path
-    if path is not None and _plain(path) != _plain(definition.location):
+    base = base_folder(definition.location)
+    if path is not None and _plain(path) != _plain(base):
         raise LocationMismatch(
-            f"{definition.name} lies at {definition.location}, not at {path}")
-    return path or definition.location
+            f"{definition.name} lies at {base}, not at {path}")
+    return path or base
 
 
 def _plain(path: str) -> str:
@@ -53,11 +55,6 @@ def create_table(spark: SparkSession, table: str, path: str, schema: StructType,
               f"LOCATION {literal(path)}")
 
 
-def drop_definition(spark: SparkSession, table: str) -> None:
-    """Forget a table; the files of a table with a location stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
 def extend_table(spark: SparkSession, definition: TableDefinition, schema: StructType) -> None:
     """Add the columns the table does not have yet."""
     known = {name.lower() for name in definition.schema.names}
@@ -66,15 +63,6 @@ def extend_table(spark: SparkSession, definition: TableDefinition, schema: Struc
         spark.sql(f"ALTER TABLE {definition.name} ADD COLUMNS ({_ddl(new)})")
 
 
-def restore_table(spark: SparkSession, definition: TableDefinition) -> None:
-    """Bring back a definition that was replaced, partitions from the folders."""
-    drop_definition(spark, definition.name)
-    create_table(spark, definition.name, definition.location, definition.schema,
-                 definition.partition_cols, definition.provider)
-    if definition.partition_cols:
-        spark.sql(f"MSCK REPAIR TABLE {definition.name}")
-
-
 def add_partitions(spark: SparkSession, table: str,
                    values: Iterable[Mapping[str, object]]) -> int:
     """Register partitions, those already known are left as they are."""

@@ -22,19 +22,22 @@ from pyspark.sql.types import StructType
 
 from landinglake.errors import AllRecordsRejected, NameCollision
 from landinglake.functions.names import clean_name
-from landinglake.functions.quoting import quoted
+from landinglake.functions.quoting import quoted, table_identifier
 from landinglake.functions.times import TIME_PARTS, add_time_parts, parse_time
 from landinglake.functions.types import lost_casts
 from landinglake.operators.audit import FAILED, Step, fold_status, step_frame
+from landinglake.operators.ledger import FileLedger
 from landinglake.operators.metastore import entity_mapping
 from landinglake.operators.quality import (accepted_rows, drop_null_columns, has_payload,
                                            profile_metric)
 from landinglake.operators.sinks import (append_database, append_files, purge_files,
                                         remove_rejects, write_rejects)
 from landinglake.operators.tables import RUN_ID, schema_rows
-from landinglake.plans.publish import LoadMarker, publish
+from landinglake.operators.journal import LoadMarker
+from landinglake.plans.publish import publish, undo_loads
 from landinglake.sources.lake import find_table
-from landinglake.sources.landing import CORRUPT_RECORD, Landing, entity_files, read_landing
+from landinglake.sources.landing import (CORRUPT_RECORD, Landing, entity_files, listed_files,
+                                         read_landing)
 from landinglake.storage import Storage, fresh_folder, join_path
 
 log = logging.getLogger(__name__)
@@ -88,6 +91,7 @@ class Ingested:
     steps: list[Step] = field(default_factory=list)
     files: tuple[str, ...] = ()
     load_id: str | None = None
+    loaded_before: int = 0
 
 
 class Recorder:
@@ -200,7 +204,9 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
                   purge_rejected: bool = True, once: bool = False) -> Ingested:
     """Load one entity's folder into its table; a failure is an outcome, not an exception.
 
-    With ``once``, a load of the very files that a finished load has read is not repeated.
+    With ``once``, each file is loaded once: the table's ledger tells which files finished loads
+    have read, and these are left out, whether they were purged or not and whatever else has come.
+    What a load that has died has left in the table, the rejects and the catalog is taken back.
 
     If every record is malformed the rejects are kept, the source files are deleted, and
     the table is left alone, as it is if all records are blank. A load that fails takes its
@@ -208,13 +214,39 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
     """
     step = Step.start(entity, LOAD_STEP)
     outcome = Ingested(entity, ok=False)
-    staged, rejects_id = None, ""
+    staged, rejects_id, ledger, marker = None, "", None, None
     try:
-        landing = landing or read_landing(spark, source, options.source_format,
-                                          options.schema_of(entity), options.read_options)
-        outcome.files = landing.files
         if once:
+            ledger = FileLedger(spark, lake_path)
+            undo_loads(spark, lake_path, table_identifier(table), len(options.partition_cols),
+                       also=lambda dead: (ledger.drop(dead),
+                                          remove_rejects(spark, reject_path, dead)))
+            loaded = ledger.loaded()
+            known = _loaded_before(spark, source, options, loaded, outcome)
+            try:
+                landing = landing or read_landing(
+                    spark, source, options.source_format, options.schema_of(entity),
+                    options.read_options, loaded)
+            except FileNotFoundError:
+                if not known:
+                    raise
+                step.records_cnt, step.reject_records_cnt = outcome.records, outcome.rejects
+                outcome.all_rejected = outcome.records == outcome.rejects > 0
+                outcome.files, outcome.ok = known, True
+                outcome.steps.append(step.end(description="loaded before"))
+                return outcome
             load_id = outcome.load_id = load_id or landing.load_id
+            outcome.files = (*landing.files, *known)
+            if known:  # a load that has finished, but perhaps died before it was recorded
+                outcome.steps.append(replace(
+                    step, records_cnt=outcome.records, reject_records_cnt=outcome.rejects).end(
+                    description="loaded before"))
+            marker = LoadMarker(spark, lake_path, load_id)
+            marker.start()
+        else:
+            landing = landing or read_landing(spark, source, options.source_format,
+                                              options.schema_of(entity), options.read_options)
+            outcome.files = landing.files
         rejects_id = load_id or uuid.uuid4().hex
         definition = find_table(spark, table)
         staged = stage(landing, run_id, definition and definition.columns, options.base_column,
@@ -222,10 +254,15 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
         outcome.records = step.records_cnt = staged.records
         outcome.rejects = step.reject_records_cnt = staged.rejects
         outcome.accepted, outcome.lost_values = staged.accepted, staged.lost_values
+        if ledger and landing.listed is not None:
+            ledger.stage(load_id, landing.listed, staged.records, staged.rejects, staged.accepted,
+                         staged.lost_values)
         if staged.rejects:
             write_rejects(staged.rows, reject_path, run_id, rejects_id)
         if staged.rejects and staged.rejects == staged.records:
             outcome.all_rejected = True
+            if marker:
+                marker.finish()
             if purge_rejected:
                 purge_files(spark, outcome.files)
             raise AllRecordsRejected(f"{entity}: all records are malformed")
@@ -235,6 +272,8 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
                 partition_cols=list(options.partition_cols), compression=options.compression,
                 file_format=options.file_format, entity=entity, load_id=load_id)
             outcome.steps += published.steps
+        elif marker:
+            marker.finish()
         lost = staged.lost_values
         outcome.steps.append(step.end(
             description=f"{lost} values did not fit their type" if lost else None))
@@ -254,6 +293,21 @@ def ingest_entity(spark: SparkSession, entity: str, source: str, table: str, lak
     return outcome
 
 
+def _loaded_before(spark: SparkSession, source: str, options: LoadOptions,
+                   loaded: DataFrame | None, outcome: Ingested) -> tuple[str, ...]:
+    """Files that are still there though a finished load has read them; the outcome gets the
+    counts of these loads."""
+    if loaded is None or not Storage(spark, source).exists(source):
+        return ()
+    found = listed_files(spark, source, options.read_options)
+    entries = found.join(loaded, found.columns).drop("length", "modified").collect()
+    loads = {r.load_id: r for r in entries}.values()
+    outcome.records, outcome.rejects, outcome.accepted, outcome.lost_values = (
+        sum(r[c] for r in loads) for c in ("records", "rejects", "accepted", "lost_values"))
+    outcome.loaded_before = len(entries)
+    return tuple(sorted(r.path for r in entries))
+
+
 def _clean_up(entity: str, work: Callable[[], object]) -> None:
     """What is left behind must not cost the outcome of the load, or of other entities."""
     try:
@@ -264,21 +318,29 @@ def _clean_up(entity: str, work: Callable[[], object]) -> None:
 
 def refresh_entity(spark: SparkSession, entity: str, source: str, table: str, lake_path: str,
                    reject_path: str, recorder: Recorder, run_id: int, job_run_id: int,
-                   options: LoadOptions = LoadOptions(), purge: bool = True) -> Ingested:
+                   options: LoadOptions = LoadOptions(), purge: bool = True,
+                   once: bool | None = None) -> Ingested:
     """Load an entity and record it: audit steps, column types, run mapping; then purge.
 
     The source files go last, and only those that were read. If the driver is lost between the
-    load and the purge, the next call finds the same files and only records and purges. An
+    load and the purge, the next call loads what has come since, records, and purges both. An
     entity with nothing but malformed records counts as done, without column types and mapping.
+    ``once`` (the same as ``purge`` unless told) loads each file once; without a purge it makes
+    a folder that only grows loadable again and again.
     """
+    once = purge if once is None else once
     outcome = ingest_entity(spark, entity, source, table, lake_path, reject_path, run_id, options,
-                            purge_rejected=purge, once=purge)
+                            purge_rejected=purge, once=once)
     try:
         outcome = record_outcome(spark, outcome, table, recorder, run_id, job_run_id)
-        if outcome.ok and not outcome.all_rejected and purge:
+        if outcome.ok and purge:
             purge_files(spark, outcome.files)
-            if outcome.load_id:  # its files are gone, so it cannot come again
-                LoadMarker(spark, lake_path, outcome.load_id).forget()
+        if outcome.ok and once:
+            ledger = FileLedger(spark, lake_path)
+            if purge:  # all files of all finished loads are gone, so they cannot come again
+                ledger.forget(ledger.committed())
+            elif Storage(spark, source).exists(source):
+                ledger.compact(listed_files(spark, source, options.read_options))
     except Exception:
         log.exception("%s: recording failed", entity)
         return replace(outcome, ok=False)
@@ -292,7 +354,7 @@ def record_outcome(spark: SparkSession, outcome: Ingested, table: str, recorder:
     if outcome.all_rejected:
         return replace(outcome, ok=True)
     if outcome.ok:
-        if outcome.accepted:
+        if outcome.accepted or outcome.loaded_before and find_table(spark, table):
             recorder.schema(schema_rows(spark, table, clean_name(outcome.entity), run_id))
         recorder.mapping(entity_mapping(spark, run_id, outcome.entity))
     return outcome

@@ -1,12 +1,16 @@
 """Publish a data set as a lake table: align, write, register, and undo on failure.
 
-Every file of a load carries the load's id in its name. That makes the load removable
-as a whole (a failure takes back exactly its own files) and lets an overwrite write first
-and drop the former files last, so the former data stay readable until the new are there.
+Every file of a load carries the load's id in its name. That makes the load removable as a whole: a
+failure takes back exactly its own files, and what it did to the catalog by the notes of its journal.
+
+An overwrite of a table writes a data folder of its own below the table's and then moves the table
+to it, so a reader gets the former rows or the new ones, never both or none; the former folder goes
+after a grace time. A dynamic load replaces the files of the partitions it touches in place.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from landinglake.functions.names import clean_columns, clean_name
 from landinglake.functions.quoting import quoted, table_identifier
@@ -22,9 +27,13 @@ from landinglake.operators.audit import Step
 from landinglake.operators.partitions import (partition_folder, read_touched,
                                              touched_metric)
 from landinglake.operators.sinks import load_prefix, write_files
-from landinglake.operators.tables import (add_partitions, create_table, drop_definition,
-                                          extend_table, resolve_location, restore_table)
-from landinglake.sources.lake import TableDefinition, find_table
+from landinglake.operators.swap import (GRACE, partition_names,
+                                        registered_values, relative_folder, retire, swap_table,
+                                        sweep, table_state)
+from landinglake.operators.tables import (add_partitions, create_table, extend_table,
+                                          resolve_location)
+from landinglake.operators.journal import LoadMarker, take_back_dead
+from landinglake.sources.lake import SNAPSHOT, TableDefinition, find_table
 from landinglake.storage import DELETE_THREADS, Storage, base_name, join_path
 
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
@@ -94,47 +103,34 @@ def drop_former_files(spark: SparkSession, path: str, load_id: str, depth: int,
         list(pool.map(clear, folders))
 
 
-class LoadMarker:
-    """Remembers in the table folder that a load was started or finished.
-
-    Only loads with a caller-given id have one: a repeated id is then loaded once.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, load_id: str):
-        self._storage = Storage(spark, path)
-        self._folder = join_path(path, "_loads")
-        self._name = join_path(self._folder, load_id)
-
-    def finished(self) -> bool:
-        return self._storage.exists(self._name + ".done")
-
-    def started(self) -> bool:
-        return self._storage.exists(self._name + ".started")
-
-    def start(self) -> None:
-        self._storage.make_folder(self._folder)
-        self._storage.touch(self._name + ".started")
-
-    def finish(self) -> None:
-        self._storage.touch(self._name + ".done")
-        self._storage.delete(self._name + ".started")
-
-    def forget(self) -> None:
-        self._storage.delete(self._name + ".done")
-
-
 def _register(spark: SparkSession, definition: TableDefinition | None, published: Published,
-              df: DataFrame, partition_cols: list[str], mode: str, provider: str) -> None:
-    if definition is not None and mode != "overwrite":
-        extend_table(spark, definition, df.schema)
-    else:
-        if definition is not None:
-            drop_definition(spark, published.table)
+              df: DataFrame, partition_cols: list[str], mode: str, provider: str,
+              marker: LoadMarker) -> None:
+    """Bring the catalog up to date; each step is noted first, so that it can be taken back."""
+    if definition is None:
+        marker.note("create")
         create_table(spark, published.table, published.path, df.schema, partition_cols, provider)
-    add_partitions(spark, published.table, published.partitions)
+        add_partitions(spark, published.table, published.partitions)
+    elif mode == "overwrite":
+        marker.note("swap", **table_state(definition, registered_values(spark, definition)))
+        swap_table(spark, published.table, published.path, swapped_schema(df, partition_cols),
+                   published.partitions)
+    else:
+        known = partition_names(spark, published.table) if partition_cols else set()
+        new = [v for v in published.partitions if relative_folder(spark, v) not in known]
+        marker.note("extend", schema=json.loads(definition.schema.json()), partitions=new)
+        extend_table(spark, definition, df.schema)
+        add_partitions(spark, published.table, new)
     spark.catalog.refreshTable(published.table)
 
 
+def swapped_schema(df: DataFrame, partition_cols: list[str]) -> StructType:
+    """The columns of ``df`` as a catalog has them, partition columns last."""
+    fields = {f.name: f for f in df.schema}
+    names = [n for n in fields if n not in partition_cols] + partition_cols
+    return StructType([StructField(n, fields[n].dataType) for n in names])
+
+
 def _stored_types(df: DataFrame, definition: TableDefinition | None) -> DataFrame:
     """Bring aligned columns to the type the table declares, so that its files stay readable."""
     declared = {**definition.columns, **definition.partitions} if definition else {}
@@ -146,44 +142,49 @@ def _stored_types(df: DataFrame, definition: TableDefinition | None) -> DataFram
 def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "append",
             partition_cols: list[str] | None = None, compression: str | None = None,
             file_format: str = "parquet", entity: str | None = None,
-            load_id: str | None = None,
-            before_commit: Callable[[Published], None] | None = None) -> Published:
+            load_id: str | None = None, grace: float = GRACE,
+            before_commit: Callable[[Published], None] | None = None,
+            check: Callable[[Published], None] | None = None) -> Published:
     """Write ``df`` into a lake table and register table and partitions.
 
     ``mode`` is append, overwrite (the whole table) or dynamic (only the partitions that
     ``df`` holds). ``df`` is evaluated once: row count and touched partitions come back as
-    metrics of the write. A failure removes the files of this load and raises again.
-    With a ``load_id`` a load that has finished is not repeated, and the remains of one
-    that has not are removed first. ``before_commit`` may check the outcome and raise.
+    metrics of the write. A failure removes the files of this load, brings the catalog back, and
+    raises again; remains of a load that has died are taken back first. With a ``load_id`` a load
+    that has finished is not repeated. ``before_commit`` may check the outcome and raise;
+    ``check`` may do so when the table is registered, and then see it as a reader does.
+    Data folders that overwrites have left stay for ``grace`` seconds, then the next load
+    deletes them.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}")
     spark, entity, table = df.sparkSession, entity or table, table_identifier(table)
     cleaned = clean_columns(df)
+    depth = len(partition_cols or [])
     definition = find_table(spark, table)
-    path = resolve_location(definition, path)
+    base = resolve_location(definition, path)
+    marker = LoadMarker(spark, base, load_id or uuid.uuid4().hex)
+    published = Published(table, base, load_id or marker.load_id)
+    if load_id and marker.finished():
+        published.skipped = True
+        return published
+    if undo_loads(spark, base, table, depth):
+        definition = find_table(spark, table)
     partition_cols = [clean_name(c) for c in partition_cols or []]
     if definition is not None and partition_cols != definition.partition_cols:
         raise ValueError(f"{table} is partitioned by {definition.partition_cols}, "
                          f"not by {partition_cols}")
+    marker.start()
+    former = definition.location if definition is not None else base
+    swap = definition is not None and mode == "overwrite"
+    path = join_path(base, SNAPSHOT + published.load_id) if swap else former
+    published.path = path
 
     def aligned(rows: DataFrame) -> DataFrame:
         # The former definition rules the types of an overwrite too, as it does for an append.
         return _stored_types(align_columns(rows, definition and definition.columns), definition)
 
-    marker = LoadMarker(spark, path, load_id) if load_id else None
-    published = Published(table, path, load_id or uuid.uuid4().hex)
-    depth = len(partition_cols)
-    if marker:
-        if marker.finished():
-            published.skipped = True
-            return published
-        if marker.started():
-            remove_load(spark, path, published.load_id, depth)
-        marker.start()
-
     step = Step.start(entity, "Load_datalake")
-    replaced_definition = False
     try:
         seen = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
@@ -209,21 +210,41 @@ def publish(df: DataFrame, table: str, path: str | None = None, *, mode: str = "
         step = Step.start(entity, "Update_glue_schema")
         if before_commit:
             before_commit(published)
-        replaced_definition = definition is not None and mode == "overwrite"
         _register(spark, definition, published, aligned(cleaned), partition_cols, mode,
-                  file_format)
+                  file_format, marker)
+        if check:
+            check(published)
         published.steps.append(step.end())
     except Exception:
-        remove_published(spark, published, depth)
-        if replaced_definition:
-            restore_table(spark, definition)
+        # The marker stays: if some of this fails too, the next load does it again.
+        marker.undo(table)
+        if swap:
+            Storage(spark, base).delete(path)
+        else:
+            remove_published(spark, published, depth)
         raise
-    if mode != "append":
+    if swap:
+        retire(spark, base, former)
+    elif mode != "append":
         touched = [partition_folder(spark, path, v) for v in published.partitions] or [path]
         drop_former_files(spark, path, published.load_id, depth,
                           touched if mode == "dynamic" else None)
         spark.catalog.refreshTable(table)
-    if marker:
+    if load_id:
         marker.finish()
+    else:
+        marker.forget()
+    sweep(spark, base, grace)
     return published
 
+
+def undo_loads(spark: SparkSession, base: str, table: str, depth: int,
+               also: Callable[[str], object] = lambda load_id: None) -> list[str]:
+    """Take back the loads of a table that have started and died: catalog, files, and ``also``."""
+    def remove(load_id: str) -> None:
+        definition = find_table(spark, table)
+        Storage(spark, base).delete(join_path(base, SNAPSHOT + load_id))
+        remove_load(spark, definition.location if definition else base, load_id, depth)
+        also(load_id)
+
+    return take_back_dead(spark, base, table, None, remove)

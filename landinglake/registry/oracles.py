@@ -350,4 +350,22 @@ ORACLES: dict[str, str] = {
         from events where value >= {BAD_TIME_BELOW} and value < {BROKEN_FROM} group by 1, 2, 3""",
 }
 # The same rows, however they have come in.
+ORACLES["ledger_reload"] = ORACLES["incremental"]
+ORACLES["incremental_nested"] = f"""
+    select r.*, how, case when evenement_type in ('view', 'error') then 'first' else 'second' end
+      as arrival
+    from ({ORACLES['incremental']}) r, (values ('stream'), ('batch')) as h(how)"""
+ORACLES["swap_overwrite"] = """
+    select cast(i as bigint) as overwrite, count_if(i = 0 or day(ts) > 5 * i) as before,
+      count_if(day(ts) > 5 * i + 5) as after
+    from events, (values (0), (1), (2)) as o(i) group by i"""
+ORACLES["journal_undo"] = """
+    select 'column' as kind, column_name as name from information_schema.columns
+    where table_name = 'events'
+    union all select 'column', unnest(['year', 'month', 'day'])
+    union all select distinct 'partition',
+      'year=' || year(ts) || '/month=' || month(ts) || '/day=' || day(ts)
+    from events where day(ts) <= 20
+    union all select 'rows', day(ts) || ': ' || count(*) from events where day(ts) <= 20
+    group by day(ts)"""
 ORACLES["incremental_all"] = ORACLES["curated_layer"]

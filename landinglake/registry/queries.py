@@ -579,6 +579,44 @@ def staged_publish(spark, sf_dir):
     return _event_text(spark.table(name))
 
 
+@query
+def swap_overwrite(spark, sf_dir):
+    """Rows a reader gets before and after each overwrite moves the table to its new folder."""
+    df, seen = _by_day(spark, sf_dir), []
+    name, path = _lake(spark, (df, "append"))
+
+    def look(published) -> None:
+        seen.append(spark.table(published.table).count())
+
+    for first in (5, 10, 15):
+        publish(df.filter(F.col("day") > first), name, path, mode="overwrite",
+                partition_cols=DAY_PARTS, before_commit=look, check=look)
+    return spark.createDataFrame(
+        [(i, *seen[2 * i:2 * i + 2]) for i in range(3)],
+        "overwrite bigint, before bigint, after bigint")
+
+
+@query
+def journal_undo(spark, sf_dir):
+    """Columns and partitions after an append, a dynamic load and an overwrite that fail when
+    they are registered: those of the load before."""
+    df = _by_day(spark, sf_dir)
+    name, path = _lake(spark, (df.filter("day <= 20"), "append"))
+    for mode in ("append", "dynamic", "overwrite"):
+        try:
+            publish(df.filter("day > 18").withColumn("fresh", F.lit(mode)), name, path, mode=mode,
+                    partition_cols=DAY_PARTS, check=_refuse)
+        except _Refused:
+            pass
+    columns = spark.createDataFrame([(c,) for c in spark.table(name).columns], "name string")
+    days = spark.table(name).groupBy("day").agg(F.count(F.lit(1)).alias("records"))
+    return audit.union_steps(
+        columns.select(F.lit("column").alias("kind"), "name"),
+        spark.sql(f"show partitions {name}").select(F.lit("partition").alias("kind"),
+                                                    F.col("partition").alias("name")),
+        days.select(F.lit("rows").alias("kind"), F.concat_ws(": ", "day", "records").alias("name")))
+
+
 # Whole dataflows
 
 HOURLY = ingest.LoadOptions(partition_cols=TIME_PARTS, base_column="ts")
@@ -769,9 +807,78 @@ def incremental(spark, sf_dir):
     arrive(["click", "purchase", "signup"])
     start()
     start()
-    return spark.table(name).select(
-        "event_id", utc_text(F.col("ts")).alias("ts"), "user_id", "evenement_type",
-        F.col("value").cast("string").alias("value"), "props")
+    return _inbox_rows(spark.table(name))
+
+
+def _inbox_rows(df: DataFrame) -> DataFrame:
+    return df.select("event_id", utc_text(F.col("ts")).alias("ts"), "user_id", "evenement_type",
+                     F.col("value").cast("string").alias("value"), "props")
+
+
+@query
+def incremental_nested(spark, sf_dir):
+    """Files in sub-folders, one level of which is a column: the stream, in two arrivals and three
+    starts, and a batch load of the same tree."""
+    arrivals, path = write_tree(spark, sf_dir), fresh_folder(spark, "nested")
+    landing, tag = fresh_folder(spark, "inbox"), uuid.uuid4().hex
+    storage = Storage(spark, landing)
+    options = ingest.LoadOptions(schema=EVENT_SCHEMA, base_column="ts",
+                                 partition_cols=("year", "month", "day"))
+
+    def start(arrival: str, entities: list[str]) -> None:
+        for entity in entities:
+            folder = join_path(landing, f"arrival={arrival}", entity, "deep er+")
+            storage.make_folder(folder)
+            for file, _ in storage.children(join_path(arrivals, entity)):
+                storage.rename(file, join_path(folder, file.rsplit("/", 1)[-1]))
+        found = ingest_new_files(spark, "inbox", landing, f"stream_{tag}", join_path(path, "a"),
+                                 join_path(path, "error"), join_path(path, "checkpoint"), 31,
+                                 options)
+        if not all(o.ok for o in found):
+            raise RuntimeError(found[-1].steps[-1].description)
+
+    storage.make_folder(landing)
+    start("first", ["view", "error"])
+    start("second", ["click", "purchase", "signup"])
+    start("none", [])
+    done = ingest.ingest_entity(spark, "inbox", landing, f"batch_{tag}", join_path(path, "b"),
+                                join_path(path, "error"), 32, options)
+    if not done.ok:
+        raise RuntimeError(done.steps[-1].description)
+    return audit.union_steps(*[
+        _inbox_rows(spark.table(f"{how}_{tag}")).withColumn("how", F.lit(how)).join(
+            spark.table(f"{how}_{tag}").select("event_id", "arrival"), "event_id")
+        for how in ("stream", "batch")])
+
+
+@query
+def ledger_reload(spark, sf_dir):
+    """Two arrivals in a folder that is not purged, and four loads of it: each file is loaded
+    once, and the last load, which purges, finds nothing new."""
+    arrivals, path = write_tree(spark, sf_dir), fresh_folder(spark, "ledger")
+    landing, name = fresh_folder(spark, "inbox"), _new_table("ledger")
+    storage, recorder = Storage(spark, landing), ingest.Recorder(join_path(path, "records"))
+    options = ingest.LoadOptions(schema=EVENT_SCHEMA, base_column="ts",
+                                 partition_cols=("year", "month", "day"))
+
+    def load(entities: list[str], purge: bool = False) -> None:
+        storage.make_folder(landing)
+        for entity in entities:
+            for file, _ in storage.children(join_path(arrivals, entity)):
+                storage.rename(file, join_path(landing, f"{entity}-{file.rsplit('/', 1)[-1]}"))
+        outcome = ingest.refresh_entity(
+            spark, "inbox", landing, name, join_path(path, "lake"), join_path(path, "error"),
+            recorder, 51, 52, options, purge=purge, once=True)
+        if not outcome.ok:
+            raise RuntimeError(outcome.steps[-1].description)
+
+    load(["view", "error"])
+    load([])
+    load(["click", "purchase", "signup"])
+    load([], purge=True)
+    if storage.children(landing):
+        raise RuntimeError("files are left")
+    return _inbox_rows(spark.table(name))
 
 
 @query

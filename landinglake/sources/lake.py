@@ -13,6 +13,16 @@ from landinglake.functions.quoting import table_identifier
 from landinglake.storage import Storage, base_name, join_path
 
 
+# Data folders of overwrites, below the table's own.
+SNAPSHOT = "snapshot-"
+
+
+def base_folder(location: str) -> str:
+    """The table's own folder, whichever of its data folders is in use."""
+    location = location.rstrip("/")
+    return location.rsplit("/", 1)[0] if base_name(location).startswith(SNAPSHOT) else location
+
+
 @dataclass(frozen=True)
 class TableDefinition:
     """What the catalog knows of a table; partition columns are held apart."""

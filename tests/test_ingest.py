@@ -238,10 +238,16 @@ def test_failed_batch_is_raised_and_tried_again(spark, place, monkeypatch):
     assert spark.table(place.table).count() == 1
 
 
-def test_incremental_needs_a_schema(place):
-    with pytest.raises(ValueError, match="schema"):
-        ingest_new_files(place.spark, "orders", place.landing, place.table, place.lake,
-                         place.errors, place.folder + "/checkpoint")
+def test_incremental_infers_a_schema_per_batch(spark, place):
+    put(place.landing, "a.json", '{"id": 1}\n')
+    def start():
+        return ingest_new_files(spark, "orders", place.landing, place.table, place.lake,
+                                place.errors, place.folder + "/checkpoint")
+    assert [o.records for o in start()] == [1]
+    put(place.landing, "b.json", '{"id": 2, "fresh": "x"}\n')
+    assert [o.ok for o in start()] == [True]
+    assert sorted(map(tuple, spark.table(place.table).select("id", "fresh").collect())) == [
+        (1, None), (2, "x")]
 
 
 def test_archived_files_are_not_loaded_again(spark, place):

@@ -53,7 +53,8 @@ def test_replacing(spark, folder, new_table, mode, left):
     load(spark, "('x', 2), ('y', 4)", table=new_table, mode=mode)
     assert content(spark, new_table, "v", "day") == left
     assert content(spark, new_table, "v") == sorted((v,) for v, _ in left)
-    assert sorted(r[0] for r in spark.read.parquet(folder).select("v").collect()) == \
+    location = find_table(spark, new_table).location
+    assert sorted(r[0] for r in spark.read.parquet(location).select("v").collect()) == \
         sorted(v for v, _ in left)
     days = {r[0] for r in spark.sql(f"show partitions {new_table}").collect()}
     assert days == {f"day={d}" for _, d in left}
@@ -72,7 +73,7 @@ def test_unpartitioned(spark, folder, new_table):
 def test_overwrite_with_nothing_empties(spark, folder, new_table):
     load(spark, "('a', 1)", table=new_table, path=folder)
     publish(spark.sql("select 'a' v, 1 day where false"), new_table, partition_cols=["day"],
-            mode="overwrite")
+            mode="overwrite", grace=0)
     assert content(spark, new_table, "v") == [] and files(folder) == []
 
 
@@ -143,11 +144,16 @@ def test_failure_after_the_definition_is_replaced(spark, folder, new_table, monk
     import landinglake.plans.publish as module
     load(spark, "('a', 1), ('b', 2)", table=new_table, path=folder)
 
-    def broken(*_args):
+    swap = module.swap_table
+
+    def broken(*args):
+        swap(*args)
         raise Refused
-    monkeypatch.setattr(module, "add_partitions", broken)
+    monkeypatch.setattr(module, "swap_table", broken)
     with pytest.raises(Refused):
-        load(spark, "('x', 2)", table=new_table, mode="overwrite")
+        load(spark, "('x', 2), ('y', 3)", table=new_table, mode="overwrite")
+    monkeypatch.undo()
+    assert {r[0] for r in spark.sql(f"show partitions {new_table}").collect()} == {"day=1", "day=2"}
     assert content(spark, new_table, "v", "day") == [("a", 1), ("b", 2)]
 
 
@@ -314,7 +320,7 @@ def test_any_sequence_of_loads(spark, folder, new_table, seed):
         df = spark.createDataFrame([(v, d) for d, vs in new.items() for v in vs], "v long, day long")
         try:
             publish(df, new_table, folder, mode=mode, partition_cols=["day"],
-                    before_commit=refuse if fails else None)
+                    before_commit=refuse if fails else None, grace=0)
         except Refused:
             continue
         if mode == "overwrite":
@@ -323,5 +329,6 @@ def test_any_sequence_of_loads(spark, folder, new_table, seed):
             model[day] = values + (model.get(day, []) if mode == "append" else [])
     expected = sorted((v, day) for day, values in model.items() for v in values)
     assert content(spark, new_table, "v", "day") == expected
-    assert sorted(tuple(r) for r in spark.read.parquet(folder).select("v", "day").collect()) == expected
+    location = find_table(spark, new_table).location
+    assert sorted(tuple(r) for r in spark.read.parquet(location).select("v", "day").collect()) == expected
     assert {r[0] for r in spark.sql(f"show partitions {new_table}").collect()} == {f"day={d}" for d in model}
