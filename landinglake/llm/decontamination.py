@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import steps
-from landinglake.llm.tables import parts_for, text_bytes
+from landinglake.llm.tables import parts_for, text_bytes, trimmed
 from landinglake.llm.words import Words, window_hashes
 
 ERROR_PERCENT = 15
@@ -160,7 +160,7 @@ def _search(docs: DataFrame, items: list[tuple[int, str]], error_percent: int) -
                 [pa.array(c, pa.int64()) for c in list(zip(*rows)) or [[]] * 5],
                 names=[c.split()[0] for c in MATCHES.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(search, MATCHES)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(search), MATCHES)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, error_percent: int = ERROR_PERCENT,

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from landinglake.llm.components import connected_components
 from landinglake.llm.dealing import (PACKED, PART_BYTES, frequent_values, joined, look_up, pack,
                                      part_of, run_starts, steps, unpack)
-from landinglake.llm.tables import parts_for, stored, text_bytes
+from landinglake.llm.tables import parts_for, stored, text_bytes, trimmed
 from landinglake.llm.words import Words, mix, set_fingerprints, shingle_sets
 
 SIZE = 5
@@ -80,7 +80,7 @@ def describe_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield _record([None, None, None, shingles[counts > 1].view(np.int64),
                            counts[counts > 1]])
 
-    return stored(docs.select("doc_id", "text").mapInArrow(describe, _SET_COLUMNS), "sets")
+    return stored(docs.select("doc_id", "text").mapInArrow(trimmed(describe), _SET_COLUMNS), "sets")
 
 
 def _record(columns) -> pa.RecordBatch:
@@ -184,9 +184,9 @@ def sets_with_shared_prefix(docs: DataFrame, parts: int, frequent, size: int = S
                 [pa.array(ids[place[own]]), pa.array(n[own]), _lists(heads), _lists(wholes)],
                 names=["set_id", "n", "prefix", "shingles"])
 
-    counted = (docs.select("text").mapInArrow(deal, PACKED).repartitionById(parts, "part")
-               .mapInArrow(count, PACKED))
-    return counted.repartitionById(parts, "part").mapInArrow(prefixes, _SHARED)
+    counted = (docs.select("text").mapInArrow(trimmed(deal), PACKED).repartitionById(parts, "part")
+               .mapInArrow(trimmed(count), PACKED))
+    return counted.repartitionById(parts, "part").mapInArrow(trimmed(prefixes), _SHARED)
 
 
 def _lists(arrays) -> pa.Array:
@@ -301,7 +301,7 @@ def _verify(frame: DataFrame, keys: list[str], percent: int, parts: int) -> Data
 
     rows = frame.select(*keys, "is_other", "set_id", "n", "shingles")
     return (rows.repartition(parts, *keys).sortWithinPartitions(*keys, "is_other", "set_id")
-            .mapInArrow(verify, "a bigint, b bigint"))
+            .mapInArrow(trimmed(verify), "a bigint, b bigint"))
 
 
 def links(shared: DataFrame, cells: DataFrame, percent: int = PERCENT,

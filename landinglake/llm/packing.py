@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landinglake.llm.tables import stored
+from landinglake.llm.tables import stored, trimmed
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
@@ -117,7 +117,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), *[pa.int64()] * 3))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(pieces), PIECES)
 
 
 class BestFit:
@@ -178,7 +178,7 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = MAX_TOKENS,
     dealt = pieces.select(group.alias("group"), *pieces.columns)
     return (dealt.repartitionById(groups, "group")
             .sortWithinPartitions("group", F.desc("length"), "doc_id", "piece", "ids_crc32")
-            .mapInArrow(pack, PIECES + ", sequence_id bigint, offset bigint"))
+            .mapInArrow(trimmed(pack), PIECES + ", sequence_id bigint, offset bigint"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,

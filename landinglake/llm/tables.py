@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -120,6 +123,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a Python worker, which afterwards gives what it has freed back to the system. A
+    worker lives on after its task, beside those of other tasks and the heap of its executor."""
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library only
+        if trim:
+            trim(0)
+
+    return run
+
+
 def show_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did, if they have nothing
     else on their path; a cluster that ships the package with the job is not affected. Arrow
