@@ -6,13 +6,17 @@ unchanged (pigeonhole). So the hashes of all windows of the pieces' lengths are
 around each hit the edit distance of item and text is computed with Myers' bit-parallel algorithm
 over words, one bit per word of the item. The best stretch per document and item is reported.
 
-The benchmark goes to the tasks as a table. Its size is checked first: beyond ``block_bytes`` of
-text it is split by hash into blocks of that size, and the documents are searched for one block
-after another.
+Different items, split by hash into blocks whose bytes are counted before any is read, go to the
+tasks as a table. The documents are searched for one block at a time: its matches are stored, then
+its table is given up and the next block comes to the driver, which so never holds more than
+``block_bytes`` of text, or twice that of an item longer than half of it.
 
 Edge cases: null or empty texts and items without words match nothing; an item too short for an
 error must occur as it is; repeated rows or item ids give one row per (doc_id, item_id), with the
-best match; an empty table on either side gives an empty result; other columns are ignored.
+best match; ties go to the first, then shortest stretch; rows without a doc_id count as one
+document and items without an item_id as one item, named null; very long texts are searched whole,
+a step of rows at a time; an empty table on either side gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import steps
-from landinglake.llm.tables import parts_for, text_bytes, trimmed
+from landinglake.llm.tables import parts_for, stored, trimmed
 from landinglake.llm.words import Words, window_hashes
 
 ERROR_PERCENT = 15
@@ -43,13 +47,13 @@ def budget(n_words: int, error_percent: int = ERROR_PERCENT) -> int:
 class Pieces:
     """Item words, and their pieces by length in sorted tables."""
 
-    def __init__(self, items: list[tuple[int, str]], error_percent: int):
+    def __init__(self, items: list[tuple[int | None, str]], error_percent: int):
         words = Words(pa.array([text for _, text in items], pa.string()), lower=True)
         self.ids, self.words, self.budgets = [], [], []
         tables: dict[int, list[tuple[int, int, int]]] = {}
         for (item_id, _), begin, end in zip(items, words.first[:-1], words.first[1:]):
             own = words.hashes[begin:end]
-            if not len(own) or item_id is None:
+            if not len(own):
                 continue
             errors = budget(len(own), error_percent)
             cuts = [len(own) * i // (errors + 1) for i in range(errors + 2)]
@@ -147,7 +151,8 @@ def _matches(words: Words, pieces: Pieces) -> Iterator[tuple[int, int, int, int,
             yield row, item, *best
 
 
-def _search(docs: DataFrame, items: list[tuple[int, str]], error_percent: int) -> DataFrame:
+def _search(docs: DataFrame, items: list[tuple[int | None, str]], error_percent: int) -> DataFrame:
+    """``MATCHES`` of some items, stored, perhaps several of a document and item."""
     known = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches):
@@ -160,18 +165,38 @@ def _search(docs: DataFrame, items: list[tuple[int, str]], error_percent: int) -
                 [pa.array(c, pa.int64()) for c in list(zip(*rows)) or [[]] * 5],
                 names=[c.split()[0] for c in MATCHES.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(trimmed(search), MATCHES)
+    found = stored(docs.select("doc_id", "text").mapInArrow(trimmed(search), MATCHES), "matches")
+    known.destroy()
+    return found
+
+
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, list[int]]:
+    """(item_id, text, block) of the different items, and the blocks that have any. A block holds
+    at most ``block_bytes`` of text, unless a single item is more than half of it."""
+    items = stored(benchmark.select("item_id", "text").filter("text is not null").distinct(),
+                   "items")
+    size = F.octet_length("text").cast("bigint")
+    total = items.agg(F.sum(size)).first()[0] or 0
+    blocks = parts_for(total, max(1, block_bytes // 2))
+    while True:
+        dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+        sizes = dealt.groupBy("block").agg(F.sum(size).alias("bytes"), F.max(size).alias("longest"))
+        # Half a block that is one item will not get smaller by more blocks.
+        if sizes.filter((F.col("bytes") > block_bytes)
+                        & (2 * F.col("longest") <= F.col("bytes"))).isEmpty():
+            return dealt, sorted(r.block for r in sizes.select("block").collect())
+        blocks *= 2
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, error_percent: int = ERROR_PERCENT,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``MATCHES``: the best match of each ``benchmark`` item (item_id, text) in each of ``docs``
     (doc_id, text), if there is one."""
-    blocks = parts_for(text_bytes(benchmark), block_bytes)
-    wanted = benchmark.select("item_id", "text").filter("text is not null")
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    found = [_search(docs, [tuple(r) for r in wanted.filter(block == n).collect()], error_percent)
-             for n in range(blocks)]
+    items, blocks = item_blocks(benchmark, block_bytes)
+    found = [docs.sparkSession.createDataFrame([], MATCHES)]
+    for block in blocks:
+        rows = items.filter(F.col("block") == block).select("item_id", "text").collect()
+        found.append(_search(docs, [tuple(r) for r in rows], error_percent))
     best = F.min(F.struct("distance", "first_word", "end_word")).alias("best")
     return (reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best)
             .select("doc_id", "item_id", "best.*"))

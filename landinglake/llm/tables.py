@@ -17,6 +17,8 @@ from landinglake.storage import fresh_folder
 
 # Ids of 8 bytes that a join may send to every task.
 BROADCAST_IDS = 500_000
+# Files of a table whose names may pass through the driver and to every task.
+BROADCAST_FILES = 20_000
 
 
 # Bytes of an Arrow batch on its way to a Python worker; a longer row is a batch by itself.
@@ -85,13 +87,17 @@ def sample_texts(rows: DataFrame, by: str, text: str, most: int) -> DataFrame:
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a number per row, the same whenever the frame is read: the place in its file
-    for a Parquet table, which is not copied; any other frame is stored first."""
+    for a Parquet table, which is not copied; any other frame is stored first. A table of more than
+    ``BROADCAST_FILES`` files is stored with numbers that its writing tasks give."""
     meta = docs.metadataColumn("_metadata") if _is_parquet(docs) else None
     if meta is None:
         docs = stored(docs, "numbered")
         meta = docs.metadataColumn("_metadata")
     path, start = free_name(docs, "file_path"), free_name(docs, "file_start")
-    paths = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
+    named = docs.select(meta["file_path"].alias(path)).distinct()
+    paths = sorted(r[0] for r in named.limit(BROADCAST_FILES + 1).collect())
+    if len(paths) > BROADCAST_FILES:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
     # 2**40 rows a file.
     files = F.broadcast(docs.sparkSession.createDataFrame(
         [(p, i << 40) for i, p in enumerate(paths)], f"`{path}` string, `{start}` bigint"))

@@ -166,13 +166,68 @@ def test_benchmark_matches(spark, docs):
              (3, "ONE"), (3, "little words"), (None, "one"),
              (4, " ".join(["gone", *(f"word{i % 97}x{i % 31}" for i in range(21, 48)), "new"]))]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    expected = brute.edit_matches(brute.rows_of(docs), [i for i in items if i[0] is not None])
-    for block_bytes in (1 << 20, 300):
-        found = decontamination.benchmark_matches(docs, benchmark, block_bytes=block_bytes)
-        assert {(r.doc_id, r.item_id): r.distance for r in found.collect()} == expected
+    expected = brute.edit_matches(brute.rows_of(docs), items)
+    assert any(item is None for _, item in expected) == any(
+        "one" in brute.WORD.findall((text or "").lower()) for _, text in brute.rows_of(docs))
+    for block_bytes in (1 << 20, 300, 1):
+        found = decontamination.benchmark_matches(docs, benchmark, block_bytes=block_bytes).collect()
+        assert len(found) == len(expected)
+        assert {(r.doc_id, r.item_id): r.distance for r in found} == expected
     assert decontamination.benchmark_matches(docs, benchmark.limit(0)).count() == 0
 
 
+def test_benchmark_matches_report_the_closest_stretch(spark):
+    """First and last word of each match, by the distances of all stretches."""
+    rng = np.random.default_rng(5)
+    items = [(i, [f"w{w}" for w in rng.integers(0, 6, 14)]) for i in range(6)]
+    rows = []
+    for doc in range(40):
+        words = [f"w{w}" for w in rng.integers(0, 6, 30)]
+        own = list(items[doc % 6][1])
+        own[int(rng.integers(0, 14))] = "changed"
+        if doc % 3 == 0:
+            own.insert(int(rng.integers(0, 14)), "more")
+        rows.append((doc, [*words[:10], *own, *words[10:], *(own if doc % 4 == 0 else [])]))
+
+    def distance(a, b):
+        column = list(range(len(a) + 1))
+        for j, word in enumerate(b):
+            new = [j + 1]
+            for i, mine in enumerate(a):
+                new.append(min(column[i] + (mine != word), column[i + 1] + 1, new[i] + 1))
+            column = new
+        return column[-1]
+
+    expected = {}
+    for doc, words in rows:
+        for item, own in items:
+            stretches = ((distance(own, words[first:end]), end, end - first)
+                         for end in range(len(words) + 1)
+                         for first in range(max(0, end - 17), end + 1))
+            least, end, length = min(stretches)
+            if least <= decontamination.budget(14):
+                expected[doc, item] = (least, end - length, end)
+    found = decontamination.benchmark_matches(
+        spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id bigint, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string"))
+    assert len(expected) >= 40
+    assert {(r.doc_id, r.item_id): (r.distance, r.first_word, r.end_word)
+            for r in found.collect()} == expected
+
+
+def test_tables_of_many_files_are_numbered_by_their_tasks(spark, folder, monkeypatch):
+    from landinglake.llm import tables
+    spark.range(40).selectExpr("id as doc_id", "'t' as text").repartition(4).write.parquet(
+        folder + "/many")
+    docs = spark.read.parquet(folder + "/many")
+    for most in (10, 2):
+        monkeypatch.setattr(tables, "BROADCAST_FILES", most)
+        rows = tables.numbered(docs, "number")
+        first, again = rows.collect(), rows.collect()
+        assert sorted(first) == sorted(again) and len({r.number for r in first}) == 40
+        assert rows.columns == ["doc_id", "text", "number"]
+
+
 def test_edit_distances_agree_with_the_full_table():
     rng = np.random.default_rng(3)
     for _ in range(300):
