@@ -104,7 +104,7 @@ def op3_toxicity_nearest(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out)
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted",
-                         F.col("evidence.doc_id").alias("evidence"))
+                         F.col("evidence.doc_id").alias("evidence"), "blocks_read", "blocks")
 
 
 @query

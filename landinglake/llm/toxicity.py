@@ -2,24 +2,33 @@
 
 Examples that are near copies of each other (by min-hashes of their shingles) would make the words
 they happen to share look telling, so one of each such group is kept. Texts are TF-IDF vectors over
-words (lower-cased ASCII, without punctuation). Every word of the examples counts, and the more the
-stronger its link with the label is among them (one plus chi-squared over ``LINK``); document
-frequencies are taken over all documents. Examples lie in the inverted index in blocks, and for
-every term each block keeps its largest weight. The bounds these give for a query order the blocks,
-and search ends when no block left can reach the k-th best cosine, so the nearest examples are
-exact. They vote with weights that fall with distance; a logistic curve fitted on the examples' own
-votes, each without itself, calibrates the vote to a probability. A text that shares no word with
-any example, whose cosine with everything is 0, gets the rate of the examples without words.
-
-The fit uses at most ``sample`` labelled documents per class, taken by a hash; votes and rates are
-weighed so that classes count as often as they are labelled. All rows are scored, and each keeps its
-nearest examples as evidence.
-
-Edge cases: null and empty texts have no words; words of no example do not count, also not in the
-length of a text's vector; without labels of both classes, or without a word in the examples, every
-score is the rate of the label, or 0; a document with several labels is
-toxic if one says so; repeated rows get equal results; equal cosines go to the earlier example;
-empty tables give empty results; other columns are ignored.
+all their words (lower-cased ASCII, without punctuation). Document frequencies are counted over all
+documents; words of the examples count the more the stronger their link with the label is among
+these (one plus ``LINK`` times phi squared, which lies between 0 and 1 at any size of sample).
+
+Similar examples lie together in small blocks. The lists of the ``COMMON`` words that most examples
+have, which make most of the index, are kept by block, each with its largest weight. A query adds up
+the short lists of all its other words, bounds by the blocks' largest weights what its common words
+can add, and reads the common words' lists of the most promising blocks first, until no block left
+can reach the k-th best cosine. So the nearest examples are exact, and ``blocks_read`` tells how
+many of the ``blocks`` were read for it. They vote with weights that fall with distance; a logistic
+curve fitted on the examples' own votes, each without itself, calibrates the vote to a probability.
+A text that shares no word with any example, whose cosine with everything is 0, gets the rate of the
+examples without words.
+
+The fit uses at most ``sample`` labelled documents per class, taken by a hash, and of these no more
+than ``SAMPLE_BYTES`` of text, which bounds vocabulary and index; votes and rates are weighed so
+that classes count as often as they are labelled. The sample is drawn by a window over two groups,
+of about ``2 * sample`` ids each. All rows are scored, and each keeps its nearest examples as
+evidence. Words of no example count in the length of a text's vector: ``WORDS`` of the most
+frequent with their document frequency, the others with the largest that any of them has.
+
+Edge cases: null and empty texts have no words; very long texts are scored whole; without labels of
+both classes, or without a word in the examples, every score is the rate of the label, or 0; a
+document with several labels is toxic if one says so; an id with several texts is an example by the
+least of them; repeated rows get equal results; equal cosines go to the earlier example in the
+index, whose order the fit determines; empty tables give empty results; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,21 +38,28 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landinglake.llm.dealing import look_up, run_starts, steps
-from landinglake.llm.tables import sample_each, stored
+from landinglake.llm.tables import sample_each, stored, trimmed
 from landinglake.llm.words import MARKS, Words, mix, shingle_sets
 
 SAMPLE = 4000
-# Chi-squared with the label at which a term counts twice; 32 is a chance of about 1.5e-8 for one
-# term.
-LINK = 32.0
+SAMPLE_BYTES = 32_000_000
+# How much more a term counts that tells the label by itself (phi squared is 1).
+LINK = 100.0
+# Words of no example whose document frequencies go to the tasks.
+WORDS = 200_000
 NEIGHBOURS = 25
 EVIDENCE = 3
-# Examples per block: whole texts share words with every block, so small ones are hardly skipped.
-BLOCK = 8192
+# Examples per block, words whose lists are kept by block, and blocks that are read at first.
+BLOCK = 8
+COMMON = 256
+FIRST = 32
+# Numbers by which similar examples are laid together.
+SKETCH = 24
 # Min-hashes by which copies among the examples are told.
 SIGNS = 8
 THRESHOLD = 0.3
@@ -61,26 +77,17 @@ def _terms(batch: pa.RecordBatch):
     return rows[starts], terms[starts], np.diff(np.r_[starts, len(terms)])
 
 
-def _known_terms(batch: pa.RecordBatch, terms: np.ndarray):
-    """Row, number of the term and count of every distinct known word of a batch."""
-    words = Words(batch.column("text"), lower=True, breaks=MARKS)
-    known, at = look_up(terms, words.hashes)
-    rows = np.repeat(np.arange(batch.num_rows), words.counts())[known]
-    size = max(1, len(terms))
-    key = np.sort(rows * size + at[known])
-    starts = run_starts(key)
-    return key[starts] // size, key[starts] % size, np.diff(np.r_[starts, len(key)])
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """(doc_id, toxic, text) of at most ``sample`` documents per class, one per group of near
     copies."""
     marked = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")) \
         .filter("toxic is not null and doc_id is not null")
     chosen = sample_each(marked, "toxic", sample, "doc_id").select("doc_id", "toxic")
-    # At most two times ``sample`` ids, so the texts need not be shuffled.
+    # At most two times ``sample`` ids, so the texts need not be shuffled; rows of one id meet as
+    # one a task.
     rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-                  .select("doc_id", "toxic", "text"), "labelled")
+                  .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")),
+                  "labelled")
 
     def sign(batches):
         for batch in steps(batches):
@@ -89,15 +96,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
             signs = [np.where(np.diff(first) > 0, np.minimum.reduceat(
                 mix(full ^ np.uint64(seed + 1)), first[:-1]), 0) for seed in range(SIGNS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(s.view(np.int64)) for s in signs)],
-                names=["doc_id", *(f"s{i}" for i in range(SIGNS))])
+                [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()),
+                 pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64()),
+                 *(pa.array(s.view(np.int64)) for s in signs)],
+                names=["doc_id", "toxic", "bytes", *(f"s{i}" for i in range(SIGNS))])
 
-    signed = rows.mapInArrow(sign, "doc_id bigint, " + ", ".join(
+    signed = rows.mapInArrow(sign, "doc_id bigint, toxic int, bytes bigint, " + ", ".join(
         f"s{i} bigint" for i in range(SIGNS))).toArrow()
-    kept = first_of_copies(signed.column("doc_id").to_numpy(), np.column_stack(
-        [signed.column(f"s{i}").to_numpy() for i in range(SIGNS)]))
-    ids = rows.sparkSession.createDataFrame([(i,) for i in kept], "doc_id bigint")
-    return rows.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    ids, toxic, size = (signed.column(c).to_numpy() for c in ("doc_id", "toxic", "bytes"))
+    order = np.argsort(mix(ids.astype(np.int64).view(np.uint64)), kind="stable")
+    fits = np.zeros(len(ids), bool)
+    for own in (order[toxic[order] > 0], order[toxic[order] <= 0]):
+        fits[own] = np.cumsum(size[own]) <= SAMPLE_BYTES
+    kept = first_of_copies(ids[fits], np.column_stack(
+        [signed.column(f"s{i}").to_numpy()[fits] for i in range(SIGNS)]))
+    wanted = rows.sparkSession.createDataFrame([(i,) for i in kept], "doc_id bigint")
+    return rows.join(F.broadcast(wanted), "doc_id")
 
 
 def first_of_copies(ids: np.ndarray, signs: np.ndarray) -> list[int]:
@@ -120,7 +134,8 @@ def first_of_copies(ids: np.ndarray, signs: np.ndarray) -> list[int]:
 
 
 def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[np.ndarray, np.ndarray]:
-    """All terms of (toxic, text) rows, sorted, and the link of each with the label."""
+    """All terms of (toxic, text) rows, sorted, and the link (phi squared) of each with the
+    label."""
 
     def count(batches):
         for batch in steps(batches):
@@ -136,7 +151,7 @@ def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[np.ndarra
     a, b = F.col("toxic"), F.col("clean")
     c, d = n_toxic - a, n_clean - b
     # A term of every row says nothing about the label.
-    link = F.when(c + d > 0, (n_toxic + n_clean) * F.pow(a * d - b * c, F.lit(2)) / (
+    link = F.when(c + d > 0, F.pow(a * d - b * c, F.lit(2)) / (
         (a + b) * F.greatest(c + d, F.lit(1.0)) * float(n_toxic) * n_clean)).otherwise(0.0)
     found = (rows.mapInArrow(count, "term bigint, toxic bigint, clean bigint").groupBy("term")
              .agg(F.sum("toxic").cast("double").alias("toxic"),
@@ -147,80 +162,133 @@ def linked_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> tuple[np.ndarra
     return terms[order], found.column("link").to_numpy()[order]
 
 
-def document_frequencies(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
-    """In how many of ``docs`` each term occurs."""
-    known = docs.sparkSession.sparkContext.broadcast(terms)
+def document_frequencies(docs: DataFrame, terms: np.ndarray, most: int = WORDS
+                         ) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words, sorted, and in how many of ``docs`` each occurs: ``terms`` and, of the others, up to
+    ``most`` of the most frequent; then the largest number that a word left out has."""
 
     def count(batches):
-        total = np.zeros(len(known.value), np.int64)
         for batch in steps(batches):
-            total += np.bincount(_known_terms(batch, known.value)[1], minlength=len(total))
-        here = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(total[here])],
-                                         names=["term", "n"])
-
-    counts = (docs.select("text").mapInArrow(count, "term bigint, n bigint")
-              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
-    found = np.zeros(len(terms), np.int64)
-    found[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
-    return found
+            values, n = np.unique(_terms(batch)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)],
+                                             names=["term", "n"])
+
+    listed = docs.sparkSession.createDataFrame(pa.table(
+        {"term": pa.array(terms.view(np.int64)), "listed": pa.array(np.ones(len(terms), bool))}))
+    # The terms are those of a sample bounded in bytes.
+    counts = stored(docs.select("text").mapInArrow(trimmed(count), "term bigint, n bigint")
+                    .groupBy("term").agg(F.sum("n").alias("n"))
+                    .join(F.broadcast(listed), "term", "left")
+                    .select("term", "n", F.col("listed").isNotNull().alias("listed")), "counts")
+    # Ninths of doublings: some hundred classes of frequency at any size.
+    level = F.floor(F.log2("n") * 9)
+    classes = sorted(((r.level, r.words, r.most) for r in counts.filter("not listed").groupBy(
+        level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("most"))
+        .collect()), reverse=True)
+    taken, least, rest = 0, 1 << 30, 0
+    for own, words, largest in classes:
+        if taken + words > most:
+            rest = largest
+            break
+        taken, least = taken + words, own
+    found = counts.filter(F.col("listed") | (level >= least)).select("term", "n").toArrow()
+    words = found.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    return words[order], found.column("n").to_numpy()[order], rest
+
+
+def laid_together(vectors: list[tuple[np.ndarray, np.ndarray]], terms: np.ndarray,
+                  block: int = BLOCK) -> np.ndarray:
+    """An order of the vectors (numbers of ``terms``, weights) in which similar ones are near: they
+    are halved along their widest direction, down to blocks."""
+    signs = (terms[:, None] >> np.arange(SKETCH, dtype=np.uint64) & np.uint64(1)).astype(float) - .5
+    sketch = np.array([weights @ signs[own] for own, weights in vectors]).reshape(-1, SKETCH)
+    order, open_ = [np.zeros(0, int)], [np.arange(len(vectors))]
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= block:
+            order.append(rows)
+            continue
+        off = sketch[rows] - sketch[rows].mean(0)
+        widest = np.linalg.eigh(off.T @ off)[1][:, -1]
+        rows = rows[np.argsort(off @ widest, kind="stable")]
+        half = -(-len(rows) // block) // 2 * block
+        open_ += [rows[half:], rows[:half]]
+    return np.concatenate(order)
 
 
 class BlockMaxIndex:
-    """Unit vectors (numbers of terms, weights) by term, with a bound per term and block."""
+    """Unit vectors (numbers of terms, weights) by term. The lists of the most common terms are
+    kept by block, with the largest weight of each term in each block."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int,
-                 block: int = BLOCK):
+                 block: int = BLOCK, common: int = COMMON):
         self.size, self.block = len(vectors), block
         self.blocks = -(-len(vectors) // block)
         terms = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, int)
         weights = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
         owners = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        held = np.bincount(terms, minlength=n_terms)
+        top = np.argsort(-held, kind="stable")[:common]
+        self.place = np.full(n_terms, -1, np.int32)
+        self.place[top] = np.arange(len(top))
+        own = self.place[terms] >= 0
+        self.lists = np.zeros((self.blocks, len(top), block))
+        self.lists[owners[own] // block, self.place[terms[own]], owners[own] % block] = weights[own]
+        self.bounds = np.ascontiguousarray(self.lists.max(axis=2).T)
+        terms, weights, owners = terms[~own], weights[~own], owners[~own]
         order = np.lexsort((owners, terms))
-        self.owners, self.weights = owners[order], weights[order]
-        key = terms[order] * max(1, self.blocks) + self.owners // block
-        self.offsets = np.searchsorted(key, np.arange(n_terms * max(1, self.blocks) + 1))
-        self.bounds = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.bounds, (terms, owners // block), weights)
+        self.owners, self.weights = owners[order].astype(np.int32), weights[order]
+        self.offsets = np.searchsorted(terms[order], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int,
-                without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` vectors nearest to a unit vector, best first; fewer
-        if fewer have a cosine above 0."""
-        bounds = weights @ self.bounds[terms]
+                without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+        """Numbers and cosines of the ``k`` vectors nearest to a unit vector, best first, fewer
+        if fewer have a cosine above 0; and how many blocks were read for it."""
+        place = self.place[terms]
+        common = place >= 0
+        begins, ends = self.offsets[terms[~common]], self.offsets[terms[~common] + 1]
+        lists = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
+        sums = np.zeros(self.blocks * self.block)
+        if lists:
+            products = np.concatenate([self.weights[own] for own in lists])
+            products *= np.repeat(weights[~common], ends - begins)
+            sums += np.bincount(np.concatenate([self.owners[own] for own in lists]), products,
+                                len(sums))
+        sums = sums.reshape(self.blocks, self.block)
+        place, weights = place[common], weights[common]
+        bounds = sums.max(axis=1, initial=0) + weights @ self.bounds[place]
         order = np.argsort(-bounds, kind="stable")
-        numbers, cosines = np.zeros(0, int), np.zeros(0)
-        for block in order.tolist():
+        order = order[bounds[order] > 0]
+        numbers, cosines, read, wave = np.zeros(0, int), np.zeros(0), 0, FIRST
+        while read < len(order):
             # The sums are rounded; bounds within 1e-12 of the k-th best are looked at.
             least = cosines[-1] - 1e-12 if len(cosines) == k else 0.0
-            if bounds[block] <= 0 or bounds[block] < least:
+            own = order[read:read + wave]
+            own = own[bounds[own] >= least]
+            if not len(own):
                 break
-            at = terms * self.blocks + block
-            begins, ends = self.offsets[at], self.offsets[at + 1]
-            own = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
-            products = np.concatenate([self.weights[o] for o in own])
-            products *= np.repeat(weights, ends - begins)
-            found = np.bincount(np.concatenate([self.owners[o] for o in own])
-                                - block * self.block, products, self.block)
-            if 0 <= without - block * self.block < self.block:
-                found[without - block * self.block] = 0
-            here = np.flatnonzero((found > 0) & (found >= least))
-            if not len(here):
-                continue
-            if len(here) > k:
-                here = here[found[here] >= np.partition(found[here], -k)[-k]]
-            numbers = np.r_[numbers, here + block * self.block]
-            cosines = np.r_[cosines, found[here]]
+            read, wave = read + len(own), 4 * wave
+            found = sums[own] + np.einsum("h,bhk->bk", weights, self.lists[own[:, None], place])
+            at = (own[:, None] * self.block + np.arange(self.block)).ravel()
+            found = found.ravel()
+            here = (found > 0) & (found >= least) & (at != without)
+            numbers, cosines = np.r_[numbers, at[here]], np.r_[cosines, found[here]]
+            if len(numbers) > k:
+                here = cosines >= np.partition(cosines, -k)[-k]
+                numbers, cosines = numbers[here], cosines[here]
             best = np.lexsort((numbers, -cosines))[:k]
             numbers, cosines = numbers[best], cosines[best]
-        return numbers, cosines
+        return numbers, cosines, read
 
 
 @dataclass
 class Model:
     rate: float  # score of texts without a word of the examples
-    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))  # weighed by the link
+    number: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of a term, or -1
+    other: float = 0.0  # idf of all other words
     index: BlockMaxIndex | None = None
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -228,19 +296,26 @@ class Model:
     neighbours: int = NEIGHBOURS
     curve: tuple[float, float] = (1.0, 0.0)
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        return terms, weights / np.linalg.norm(weights)
+    def vectors(self, batch: pa.RecordBatch):
+        """(row, numbers of terms, weights) of every row of a batch that has a word: the unit
+        vector, less what no example has."""
+        rows, words, counts = _terms(batch)
+        known, at = look_up(self.words, words)
+        weights = 1 + np.log(counts)
+        weights *= np.where(known, self.idf[at], self.other) if len(self.idf) else self.other
+        numbers = np.where(known, self.number[at], -1) if len(self.idf) else np.full(len(at), -1)
+        starts = run_starts(rows)
+        ends = np.r_[starts[1:], len(rows)][:len(starts)]
+        for begin, end in zip(starts.tolist(), ends.tolist()):
+            own = weights[begin:end]
+            held = numbers[begin:end] >= 0
+            yield (int(rows[begin]), numbers[begin:end][held].astype(np.int64),
+                   own[held] / np.linalg.norm(own))
 
     def vote(self, numbers: np.ndarray, cosines: np.ndarray) -> float:
         weights = self.worth[numbers] / (NEAR + np.maximum(0.0, 1 - cosines))
         return float(weights @ self.toxic[numbers] / weights.sum())
 
-    def score(self, terms: np.ndarray, counts: np.ndarray, without: int = -1):
-        """Uncalibrated vote, or None without neighbours; numbers and cosines of these."""
-        numbers, cosines = self.index.nearest(*self.vector(terms, counts), self.neighbours, without)
-        return (self.vote(numbers, cosines) if len(numbers) else None), numbers, cosines
-
     def calibrated(self, vote: float | None) -> float:
         if vote is None:
             return self.rate
@@ -266,11 +341,11 @@ def logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> tuple[float,
     return max(0.0, float(fit[0])), float(fit[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_link: float = LINK,
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, link: float = LINK,
         neighbours: int = NEIGHBOURS) -> Model:
-    """Fit on at most ``sample`` documents per class of ``labels`` (doc_id, toxic). A term whose
-    link with the label is ``least_link`` counts twice."""
-    rows = labelled_sample(docs, labels, sample)
+    """Fit on at most ``sample`` documents per class of ``labels`` (doc_id, toxic). A term that
+    tells the label by itself counts ``link`` times more."""
+    rows = stored(labelled_sample(docs, labels, sample), "examples")
     counts = {r.toxic > 0: r.n for r in rows.groupBy("toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()}
     of_class = {r.toxic > 0: r.n for r in labels.groupBy("doc_id").agg(
@@ -281,46 +356,72 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_link: fl
     # What one example of a class stands for.
     share = {toxic: of_class[toxic] / n for toxic, n in counts.items()}
     plain_rate = of_class[True] / (of_class[True] + of_class[False])
-    terms, link = linked_terms(rows, counts[True], counts[False])
+    terms, links = linked_terms(rows, counts[True], counts[False])
     if not len(terms):
         return Model(plain_rate)
     total = docs.count()
-    idf = np.log1p(total / (1 + document_frequencies(docs, terms))) * (1 + link / least_link)
-    known = docs.sparkSession.sparkContext.broadcast(terms)
+    words, n, rest = document_frequencies(docs, terms)
+    known, number = look_up(terms, words)
+    idf = np.log1p(total / (1 + n)) * np.where(known, 1 + link * links[number], 1)
+    model = Model(plain_rate, words, idf, np.where(known, number, -1).astype(np.int32),
+                  math.log1p(total / (1 + rest)), neighbours=neighbours)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def vectors(batches):
         for batch in steps(batches):
-            at, numbers, n = _known_terms(batch, known.value)
-            bounds = np.searchsorted(at, np.arange(batch.num_rows + 1))
+            own = {row: (numbers.tobytes(), weights.tobytes())
+                   for row, numbers, weights in sent.value.vectors(batch)}
+            pairs = [own.get(row, (b"", b"")) for row in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic").cast(pa.int32()),
-                 pa.array([numbers[b:e].astype(np.int64).tobytes()
-                           for b, e in zip(bounds, bounds[1:])], pa.binary()),
-                 pa.array([n[b:e].astype(np.int64).tobytes()
-                           for b, e in zip(bounds, bounds[1:])], pa.binary())],
-                names=["doc_id", "toxic", "terms", "counts"])
-
-    # At most two times ``sample`` rows, each with the numbers of its distinct words.
-    examples = [(r["doc_id"], float(r["toxic"] > 0), np.frombuffer(r["terms"], np.int64),
-                 np.frombuffer(r["counts"], np.int64)) for r in rows.mapInArrow(
-        vectors, "doc_id bigint, toxic int, terms binary, counts binary").toArrow().to_pylist()]
+                 *(pa.array(c, pa.binary()) for c in zip(*pairs))],
+                names=["doc_id", "toxic", "terms", "weights"])
+
+    # At most two times ``sample`` rows of at most ``SAMPLE_BYTES`` of text a class.
+    found = rows.mapInArrow(vectors, "doc_id bigint, toxic int, terms binary, weights binary").toArrow()
+    sent.destroy()
+    examples = sorted((r["doc_id"], float(r["toxic"] > 0), np.frombuffer(r["terms"], np.int64),
+                       np.frombuffer(r["weights"])) for r in found.to_pylist())
     with_terms = [e for e in examples if len(e[2])]
-    # Examples that share their weightiest term lie together, which makes the blocks' bounds tight.
-    with_terms.sort(key=lambda e: (int(e[2][np.argmax(idf[e[2]])]), e[1], e[0]))
-    rate = _rate([e[1] for e in examples if not len(e[2])], share, plain_rate)
-    model = Model(rate, terms, idf, None, np.array([e[0] for e in with_terms], np.int64),
-                  np.array([e[1] for e in with_terms]),
-                  np.array([share[e[1] > 0] for e in with_terms]), neighbours)
-    model.index = BlockMaxIndex([model.vector(e[2], e[3]) for e in with_terms], len(terms))
-    votes = [(model.score(e[2], e[3], without=i)[0], e[1]) for i, e in enumerate(with_terms)]
-    votes = [(v, y) for v, y in votes if v is not None]
-    if votes:
-        y = np.array([y for _, y in votes])
-        weights = np.where(y > 0, share[True], share[False])
-        model.curve = logistic(np.array([_logit(v) for v, _ in votes]), y, weights)
+    order = laid_together([(e[2], e[3]) for e in with_terms], terms)
+    with_terms = [with_terms[i] for i in order.tolist()]
+    model.rate = _rate([e[1] for e in examples if not len(e[2])], share, plain_rate)
+    model.ids = np.array([e[0] for e in with_terms], np.int64)
+    model.toxic = np.array([e[1] for e in with_terms])
+    model.worth = np.array([share[e[1] > 0] for e in with_terms])
+    model.index = BlockMaxIndex([(e[2], e[3]) for e in with_terms], len(terms))
+    votes = _own_votes(rows, model)
+    if len(votes):
+        weights = np.where(votes[:, 1] > 0, share[True], share[False])
+        model.curve = logistic(np.array([_logit(v) for v in votes[:, 0]]), votes[:, 1], weights)
     return model
 
 
+def _own_votes(rows: DataFrame, model: Model) -> np.ndarray:
+    """Vote and label of every example that has neighbours, found without itself."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def vote(batches):
+        model = sent.value
+        place = {int(doc): i for i, doc in enumerate(model.ids)}
+        for batch in steps(batches):
+            found = []
+            for row, terms, weights in model.vectors(batch):
+                own = place[batch.column("doc_id")[row].as_py()]
+                numbers, cosines, _ = model.index.nearest(terms, weights, model.neighbours, own)
+                if len(numbers):
+                    found.append((int(model.ids[own]), model.vote(numbers, cosines),
+                                  model.toxic[own]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(list(zip(*found)) or [[]] * 3,
+                                                (pa.int64(), pa.float64(), pa.float64()))],
+                names=["doc_id", "vote", "toxic"])
+
+    found = rows.mapInArrow(vote, "doc_id bigint, vote double, toxic double").toArrow().sort_by("doc_id")
+    sent.destroy()
+    return np.column_stack([found.column(c).to_numpy() for c in ("vote", "toxic")])
+
+
 def _rate(labels: list[float], share: dict, otherwise: float) -> float:
     toxic = sum(labels) * share[True]
     clean = (len(labels) - sum(labels)) * share[False]
@@ -328,11 +429,13 @@ def _rate(labels: list[float], share: dict, otherwise: float) -> float:
 
 
 _RESULT = ("doc_id bigint, score double, predicted int, "
-           "evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>")
+           "evidence array<struct<doc_id:bigint,similarity:double,toxic:int>>, "
+           "blocks_read int, blocks int")
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, score, predicted, evidence) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, score, predicted, evidence, blocks_read, blocks) for every row of ``docs``
+    (doc_id, text)."""
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
@@ -340,13 +443,14 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
         for batch in steps(batches):
             scores = [model.rate] * batch.num_rows
             evidence: list[list[dict]] = [[] for _ in scores]
+            read, blocks = [0] * batch.num_rows, 0
             if model.index is not None and model.index.size:
-                rows, terms, counts = _known_terms(batch, model.terms)
-                starts = run_starts(rows)
-                for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
-                    vote, numbers, cosines = model.score(terms[begin:end], counts[begin:end])
-                    row = int(rows[begin])
-                    scores[row] = model.calibrated(vote)
+                blocks = model.index.blocks
+                for row, terms, weights in model.vectors(batch):
+                    numbers, cosines, read[row] = model.index.nearest(
+                        terms, weights, model.neighbours)
+                    scores[row] = model.calibrated(
+                        model.vote(numbers, cosines) if len(numbers) else None)
                     evidence[row] = [
                         {"doc_id": int(model.ids[n]), "similarity": float(c),
                          "toxic": int(model.toxic[n])}
@@ -356,7 +460,8 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
                  pa.array([int(s >= threshold) for s in scores], pa.int32()),
                  pa.array(evidence, pa.list_(pa.struct([
                      ("doc_id", pa.int64()), ("similarity", pa.float64()),
-                     ("toxic", pa.int32())])))],
-                names=["doc_id", "score", "predicted", "evidence"])
+                     ("toxic", pa.int32())]))),
+                 pa.array(read, pa.int32()), pa.array([blocks] * batch.num_rows, pa.int32())],
+                names=["doc_id", "score", "predicted", "evidence", "blocks_read", "blocks"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, _RESULT)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(score), _RESULT)

@@ -340,19 +340,22 @@ def test_toxicity_of_awkward_rows(spark, docs):
     ids = [(r.doc_id, int((r.doc_id or 0) % 3 == 0)) for r in docs.select("doc_id").collect()]
     for labels in (ids, [*ids, (5, None)], [(1, 1)], []):
         frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
-        rows = toxicity.score_toxicity(docs, toxicity.fit(docs, frame, least_link=0.5)).collect()
+        rows = toxicity.score_toxicity(docs, toxicity.fit(docs, frame, link=9.0)).collect()
         assert len(rows) == docs.count()
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
-def test_nearest_examples_are_exact():
+@pytest.mark.parametrize("common", [0, 9, 40])
+def test_nearest_examples_are_exact(common):
     rng = np.random.default_rng(2)
     vectors = []
     for _ in range(300):
         terms = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
         weights = rng.integers(1, 4, len(terms)).astype(float)
         vectors.append((terms, weights / np.linalg.norm(weights)))
-    index = toxicity.BlockMaxIndex(vectors, 40, block=16)
+    order = toxicity.laid_together(vectors, np.arange(1, 41).astype(np.uint64) * 977, 4)
+    assert sorted(order.tolist()) == list(range(300))
+    index = toxicity.BlockMaxIndex(vectors, 40, block=4, common=common)
     dense = np.zeros((300, 40))
     for row, (terms, weights) in enumerate(vectors):
         dense[row, terms] = weights
@@ -361,7 +364,8 @@ def test_nearest_examples_are_exact():
         cosines[number] = 0
         expected = np.lexsort((np.arange(300), -np.round(cosines, 10)))[:7]
         expected = expected[cosines[expected] > 0]
-        found, similar = index.nearest(terms, weights, 7, without=number)
+        found, similar, read = index.nearest(terms, weights, 7, without=number)
+        assert 0 < read <= index.blocks
         assert np.allclose(np.sort(cosines[expected]), np.sort(similar))
         assert len(found) == len(expected)
 
@@ -373,6 +377,8 @@ def test_toxicity_held_out(spark):
         labels, "doc_id").groupBy("toxic", "predicted").count().collect()}
     assert counts[1, 1] > 0.8 * (counts[1, 1] + counts.get((1, 0), 0))
     assert counts.get((0, 1), 0) < 0.03 * (counts[0, 0] + counts.get((0, 1), 0))
+    read = rows.filter("blocks_read > 0").selectExpr("sum(blocks_read) / sum(blocks)").first()[0]
+    assert 0 < read < 0.6, read
 
 
 PAGE = ('<html lang="en"><head><title>A &amp; B</title><style>p{}</style></head><body>'

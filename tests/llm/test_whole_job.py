@@ -20,7 +20,7 @@ import corpus_pipeline  # noqa: E402
 
 def test_toxicity_compares_whole_texts(spark):
     rng = np.random.default_rng(7)
-    rows = [(i, " ".join(f"W{w}" for w in rng.integers(0, 60, rng.integers(4, 30))) + ".")
+    rows = [(i, " ".join(f"W{w}" for w in rng.integers(0, 150, rng.integers(4, 30))) + ".")
             for i in range(60)]
     labels = [(i, int(i % 4 == 0)) for i in range(0, 40)]
     counts = {i: collections.Counter(re.findall("[a-z0-9]+", t.lower())) for i, t in rows}
@@ -31,11 +31,12 @@ def test_toxicity_compares_whole_texts(spark):
         a = sum(word in counts[i] for i, toxic in labels if toxic)
         b = sum(word in counts[i] for i, toxic in labels if not toxic)
         c, d = 10 - a, 30 - b
-        link = 40 * (a * d - b * c) ** 2 / ((a + b) * (c + d) * 10 * 30) if c + d else 0
-        weight[word] = math.log1p(60 / (1 + frequency[word])) * (1 + link / toxicity.LINK)
+        link = (a * d - b * c) ** 2 / ((a + b) * (c + d) * 10 * 30) if c + d else 0
+        weight[word] = 1 + toxicity.LINK * link
 
     def vector(i):
-        own = {w: (1 + math.log(n)) * weight[w] for w, n in counts[i].items() if w in weight}
+        own = {w: (1 + math.log(n)) * math.log1p(60 / (1 + frequency[w])) * weight.get(w, 1)
+               for w, n in counts[i].items()}
         length = math.sqrt(sum(v * v for v in own.values()))
         return {w: v / length for w, v in own.items()}
 
@@ -50,6 +51,25 @@ def test_toxicity_compares_whole_texts(spark):
         assert np.allclose([e.similarity for e in row.evidence], cosines)
         assert all(e.toxic == examples[e.doc_id] for e in row.evidence)
 
+    def vote(doc, out=None):
+        near = sorted(((sum(v * vectors[e].get(w, 0) for w, v in vectors[doc].items()), e)
+                       for e in examples if e != out), reverse=True)[:toxicity.NEIGHBOURS]
+        shares = [(1 / (toxicity.NEAR + max(0, 1 - c)), examples[e]) for c, e in near if c > 0]
+        total = sum(s for s, _ in shares)
+        return min(max(sum(s * y for s, y in shares) / total, 0.005), 0.995) if shares else None
+
+    def logit(share):
+        return math.log(share / (1 - share))
+
+    own = [(vote(e, e), y) for e, y in examples.items()]
+    own = [(logit(v), y) for v, y in own if v is not None]
+    slope, shift = toxicity.logistic(np.array([v for v, _ in own]), np.array([y for _, y in own]),
+                                     np.ones(len(own)))
+    for row in found:
+        expected = 1 / (1 + math.exp(-(slope * logit(vote(row.doc_id)) + shift)))
+        assert math.isclose(row.score, expected, abs_tol=1e-9), (row, expected)
+        assert row.predicted == (expected >= toxicity.THRESHOLD)
+
 
 def test_derivatives_keep_the_headers_of_their_source(spark, folder, tmp_path):
     block = b"HTTP/1.1 200 OK\r\n\r\n<p>text</p>"
