@@ -233,9 +233,10 @@ class BlockMaxIndex:
         self.place = np.full(n_terms, -1, np.int32)
         self.place[top] = np.arange(len(top))
         own = self.place[terms] >= 0
-        self.lists = np.zeros((self.blocks, len(top), block))
-        self.lists[owners[own] // block, self.place[terms[own]], owners[own] % block] = weights[own]
-        self.bounds = np.ascontiguousarray(self.lists.max(axis=2).T)
+        # One row per common term and block.
+        lists = np.zeros((len(top), self.blocks, block))
+        lists[self.place[terms[own]], owners[own] // block, owners[own] % block] = weights[own]
+        self.bounds, self.lists = lists.max(axis=2), lists.reshape(-1, block)
         terms, weights, owners = terms[~own], weights[~own], owners[~own]
         order = np.lexsort((owners, terms))
         self.owners, self.weights = owners[order].astype(np.int32), weights[order]
@@ -247,16 +248,13 @@ class BlockMaxIndex:
         if fewer have a cosine above 0; and how many blocks were read for it."""
         place = self.place[terms]
         common = place >= 0
-        begins, ends = self.offsets[terms[~common]], self.offsets[terms[~common] + 1]
-        lists = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
-        sums = np.zeros(self.blocks * self.block)
-        if lists:
-            products = np.concatenate([self.weights[own] for own in lists])
-            products *= np.repeat(weights[~common], ends - begins)
-            sums += np.bincount(np.concatenate([self.owners[own] for own in lists]), products,
-                                len(sums))
+        begin = self.offsets[terms[~common]]
+        sizes = self.offsets[terms[~common] + 1] - begin
+        at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        products = self.weights[at] * np.repeat(weights[~common], sizes)
+        sums = np.bincount(self.owners[at], products, self.blocks * self.block)
         sums = sums.reshape(self.blocks, self.block)
-        place, weights = place[common], weights[common]
+        place, weights = place[common].astype(np.int64), weights[common]
         bounds = sums.max(axis=1, initial=0) + weights @ self.bounds[place]
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
@@ -269,9 +267,10 @@ class BlockMaxIndex:
             if not len(own):
                 break
             read, wave = read + len(own), 4 * wave
-            found = sums[own] + np.einsum("h,bhk->bk", weights, self.lists[own[:, None], place])
+            own = np.sort(own)
+            lists = np.take(self.lists, (place[:, None] * self.blocks + own).ravel(), axis=0)
             at = (own[:, None] * self.block + np.arange(self.block)).ravel()
-            found = found.ravel()
+            found = sums[own].ravel() + weights @ lists.reshape(len(place), len(at))
             here = (found > 0) & (found >= least) & (at != without)
             numbers, cosines = np.r_[numbers, at[here]], np.r_[cosines, found[here]]
             if len(numbers) > k:
