@@ -57,7 +57,9 @@ EVIDENCE = 3
 # Examples per block, words whose lists are kept by block, and blocks that are read at first.
 BLOCK = 8
 COMMON = 256
-FIRST = 32
+FIRST = 64
+# More than single precision may cost in the sum of ``COMMON`` products of a unit vector's weights.
+ROUGH = 5e-5
 # Numbers by which similar examples are laid together.
 SKETCH = 24
 # Min-hashes by which copies among the examples are told.
@@ -70,9 +72,10 @@ NEAR = 0.1
 def _terms(batch: pa.RecordBatch):
     """Row, term and count of every distinct word of every row of a batch."""
     words = Words(batch.column("text"), lower=True, breaks=MARKS)
-    rows = np.repeat(np.arange(batch.num_rows), words.counts())
-    order = np.lexsort((words.hashes, rows))
-    rows, terms = rows[order], words.hashes[order]
+    rows, terms = np.repeat(np.arange(batch.num_rows), words.counts()), words.hashes.copy()
+    bounds = words.first.tolist()
+    for begin, end in zip(bounds, bounds[1:]):
+        terms[begin:end].sort()
     starts = run_starts(rows, terms)
     return rows[starts], terms[starts], np.diff(np.r_[starts, len(terms)])
 
@@ -237,6 +240,7 @@ class BlockMaxIndex:
         lists = np.zeros((len(top), self.blocks, block))
         lists[self.place[terms[own]], owners[own] // block, owners[own] % block] = weights[own]
         self.bounds, self.lists = lists.max(axis=2), lists.reshape(-1, block)
+        self.rough = self.lists.astype(np.float32)
         terms, weights, owners = terms[~own], weights[~own], owners[~own]
         order = np.lexsort((owners, terms))
         self.owners, self.weights = owners[order].astype(np.int32), weights[order]
@@ -251,10 +255,12 @@ class BlockMaxIndex:
         begin = self.offsets[terms[~common]]
         sizes = self.offsets[terms[~common] + 1] - begin
         at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-        products = self.weights[at] * np.repeat(weights[~common], sizes)
-        sums = np.bincount(self.owners[at], products, self.blocks * self.block)
+        products = np.take(self.weights, at)
+        products *= np.repeat(weights[~common], sizes)
+        sums = np.bincount(np.take(self.owners, at), products, self.blocks * self.block)
         sums = sums.reshape(self.blocks, self.block)
         place, weights = place[common].astype(np.int64), weights[common]
+        rough = weights.astype(np.float32)
         bounds = sums.max(axis=1, initial=0) + weights @ self.bounds[place]
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
@@ -268,11 +274,17 @@ class BlockMaxIndex:
                 break
             read, wave = read + len(own), 4 * wave
             own = np.sort(own)
-            lists = np.take(self.lists, (place[:, None] * self.blocks + own).ravel(), axis=0)
+            lists = np.take(self.rough, (place[:, None] * self.blocks + own).ravel(), axis=0)
             at = (own[:, None] * self.block + np.arange(self.block)).ravel()
-            found = sums[own].ravel() + weights @ lists.reshape(len(place), len(at))
-            here = (found > 0) & (found >= least) & (at != without)
-            numbers, cosines = np.r_[numbers, at[here]], np.r_[cosines, found[here]]
+            # In single precision first, then what may be among the best as it is.
+            found = sums[own].ravel() + rough @ lists.reshape(len(place), len(at))
+            found[at == without] = 0
+            if len(found) > k:
+                least = max(least, np.partition(found, -k)[-k] - ROUGH)
+            at = at[(found > 0) & (found >= least - ROUGH)]
+            found = sums.ravel()[at] + weights @ self.lists[
+                place[:, None] * self.blocks + at // self.block, at % self.block]
+            numbers, cosines = np.r_[numbers, at], np.r_[cosines, found]
             if len(numbers) > k:
                 here = cosines >= np.partition(cosines, -k)[-k]
                 numbers, cosines = numbers[here], cosines[here]
