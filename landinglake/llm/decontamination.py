@@ -193,10 +193,11 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, error_percent: int
     """``MATCHES``: the best match of each ``benchmark`` item (item_id, text) in each of ``docs``
     (doc_id, text), if there is one."""
     items, blocks = item_blocks(benchmark, block_bytes)
-    found = [docs.sparkSession.createDataFrame([], MATCHES)]
+    found = []
     for block in blocks:
         rows = items.filter(F.col("block") == block).select("item_id", "text").collect()
         found.append(_search(docs, [tuple(r) for r in rows], error_percent))
     best = F.min(F.struct("distance", "first_word", "end_word")).alias("best")
+    found = found or [docs.sparkSession.createDataFrame([], MATCHES)]
     return (reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best)
             .select("doc_id", "item_id", "best.*"))

@@ -13,22 +13,22 @@ of the input are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landinglake.llm.tables import stored, trimmed
+from landinglake.llm.tables import give_back, stored, trimmed
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 # Open sequences of a packer, and pieces dealt to one packer.
 OPEN_BINS = 16_384
 PIECES_PER_GROUP = 32_768
-# Entries of a worker's caches of chunks and of pre-tokens; a full one starts afresh.
+# Entries of a worker's cache of chunks and pre-tokens; a full one starts afresh.
 CACHE_ENTRIES = 300_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -54,14 +54,19 @@ class ChunkIds(dict):
         self.split = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.bytes_of = _byte_letters()
-        self.pre_tokens: dict[str, bytes] = {}
+        give_back()  # what reading the vocabulary took
 
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isprintable() and "<" not in chunk or self.plain(chunk):
-            found = self._plain_ids(chunk.lower())
+            text = chunk.lower()
+            found = self._plain_ids(text)
+            if text == chunk and text in self:  # a pre-token by itself
+                return found
         else:
-            found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids,
-                             "<u4").tobytes()
+            found = _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        return self._keep(chunk, found)
+
+    def _keep(self, chunk: str, found: bytes) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
         self[chunk] = found
@@ -75,20 +80,21 @@ class ChunkIds(dict):
         return b"".join(map(self._pre_token, self.split(chunk)))
 
     def _pre_token(self, text: str) -> bytes:
-        found = self.pre_tokens.get(text)
+        found = self.get(text)
         if found is None:
             letters = text if text.isascii() else "".join(
                 self.bytes_of[b] for b in text.encode())
-            found = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-            if len(self.pre_tokens) >= CACHE_ENTRIES:
-                self.pre_tokens.clear()
-            self.pre_tokens[text] = found
+            found = self._keep(text, _packed([t.id for t in self.model.tokenize(letters)]))
         return found
 
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each byte: Latin-1 characters
     that can be seen stand for themselves, the others are numbered from 256."""

@@ -5,13 +5,18 @@ import gzip
 import math
 import re
 import sys
+from array import array
 from pathlib import Path
 
 import brute
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from landinglake.llm import language, ngram_join, toxicity, warc
+from landinglake.llm import decontamination, language, ngram_join, packing, toxicity, warc
+from landinglake.llm.queries import tokenizer_path
+from landinglake.llm.tables import numbered
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -189,3 +194,30 @@ def test_stages_act_on_rows_whatever_their_ids(spark, folder):
             assert found.columns == docs.columns
             assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(
                 expected if docs.count() else [], key=str)
+
+
+def test_stages_start_no_further_kind_of_python_workers(spark, folder, monkeypatch):
+    """A list of rows given to Spark starts workers that none of the other stages uses."""
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize",
+                        lambda *_, **__: pytest.fail("rows of a list"))
+    docs = spark.range(40).selectExpr("id as doc_id", "concat('a b c d e f ', id) as text")
+    docs.write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
+    rows = numbered(docs, "row").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(40))
+    assert len({r.row for r in rows}) == 40
+    items = spark.sql("select 1L as item_id, 'a b c d e f 7' as text")
+    assert decontamination.benchmark_matches(docs, items).count()
+
+
+def test_tokens_are_kept_in_one_bounded_table(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 60)
+    chunks = packing.ChunkIds(tokenizer_path("word_bpe_49k.json"))
+    whole = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    for i in range(200):
+        text = (f"Word{i} word{i}, don't (won't) 'll ),' s'{i} <s> Éé{i}x ÉCOLE école. it's plain "
+                f"{'xyzabc'[i % 6] * (1 + i % 9)} ½ 日本 {'qrst'[i % 4]}{chr(97 + i % 26)}\n\n!!")
+        ids = array("I", chunks.ids(text)).tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
+        held = len(chunks) + sum(len(x) for x in vars(chunks).values() if isinstance(x, dict))
+        assert held <= 60
