@@ -9,9 +9,12 @@ these (one plus ``LINK`` times phi squared, which lies between 0 and 1 at any si
 Similar examples lie together in small blocks. The lists of the ``COMMON`` words that most examples
 have, which make most of the index, are kept by block, each with its largest weight. A query adds up
 the short lists of all its other words, bounds by the blocks' largest weights what its common words
-can add, and reads the common words' lists of the most promising blocks first, until no block left
-can reach the k-th best cosine. So the nearest examples are exact, and ``blocks_read`` tells how
-many of the ``blocks`` were read for it. They vote with weights that fall with distance; a logistic
+can add, and reads the common words' lists of the most promising blocks first, then those of all
+blocks that can still reach the k-th best cosine. ``QUERIES`` texts are answered together: one
+product of matrices gives their bounds, and one a block what its lists add for the texts that read
+it. These are in single precision; what may be among the best by that is added up in double
+precision. So the nearest examples are exact, and ``blocks_read`` tells how many of the ``blocks``
+were read for a text. They vote with weights that fall with distance; a logistic
 curve fitted on the examples' own votes, each without itself, calibrates the vote to a probability.
 A text that shares no word with any example, whose cosine with everything is 0, gets the rate of the
 examples without words.
@@ -34,7 +37,9 @@ whatever their names.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,14 +57,16 @@ SAMPLE_BYTES = 32_000_000
 LINK = 100.0
 # Words of no example whose document frequencies go to the tasks.
 WORDS = 200_000
+# Words that a task counts before it passes their numbers on.
+HELD = 1_000_000
 NEIGHBOURS = 25
 EVIDENCE = 3
-# Examples per block, words whose lists are kept by block, and blocks that are read at first.
+# Examples per block, words whose lists are kept by block, examples whose blocks are read at first,
+# and queries answered together.
 BLOCK = 8
-COMMON = 256
-FIRST = 64
-# More than single precision may cost in the sum of ``COMMON`` products of a unit vector's weights.
-ROUGH = 5e-5
+COMMON = 512
+FIRST = 512
+QUERIES = 256
 # Numbers by which similar examples are laid together.
 SKETCH = 24
 # Min-hashes by which copies among the examples are told.
@@ -170,11 +177,26 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray, most: int = WORDS
     """Words, sorted, and in how many of ``docs`` each occurs: ``terms`` and, of the others, up to
     ``most`` of the most frequent; then the largest number that a word left out has."""
 
+    def counted(held):
+        terms = np.concatenate([own for own, _ in held])
+        order = np.argsort(terms)
+        terms = terms[order]
+        starts = run_starts(terms)
+        n = np.concatenate([n for _, n in held])[order]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(terms[starts].view(np.int64)),
+             pa.array(np.add.reduceat(n, starts) if len(starts) else n)], names=["term", "n"])
+
     def count(batches):
+        held, size = [], 0
         for batch in steps(batches):
-            values, n = np.unique(_terms(batch)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)],
-                                             names=["term", "n"])
+            held.append(np.unique(_terms(batch)[1], return_counts=True))
+            size += len(held[-1][0])
+            if size >= HELD:
+                yield counted(held)
+                held, size = [], 0
+        if held:
+            yield counted(held)
 
     listed = docs.sparkSession.createDataFrame(pa.table(
         {"term": pa.array(terms.view(np.int64)), "listed": pa.array(np.ones(len(terms), bool))}))
@@ -221,8 +243,8 @@ def laid_together(vectors: list[tuple[np.ndarray, np.ndarray]], terms: np.ndarra
 
 
 class BlockMaxIndex:
-    """Unit vectors (numbers of terms, weights) by term. The lists of the most common terms are
-    kept by block, with the largest weight of each term in each block."""
+    """Unit vectors (numbers of terms, weights, none negative) by term. The lists of the most
+    common terms are kept by block, with the largest weight of each term in each block."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int,
                  block: int = BLOCK, common: int = COMMON):
@@ -236,61 +258,106 @@ class BlockMaxIndex:
         self.place = np.full(n_terms, -1, np.int32)
         self.place[top] = np.arange(len(top))
         own = self.place[terms] >= 0
-        # One row per common term and block.
-        lists = np.zeros((len(top), self.blocks, block))
-        lists[self.place[terms[own]], owners[own] // block, owners[own] % block] = weights[own]
-        self.bounds, self.lists = lists.max(axis=2), lists.reshape(-1, block)
-        self.rough = self.lists.astype(np.float32)
+        # By block and common term, in single precision; by vector, as they are.
+        self.lists = np.zeros((self.blocks, len(top), block), np.float32)
+        self.lists[owners[own] // block, self.place[terms[own]], owners[own] % block] = weights[own]
+        self.bounds = np.ascontiguousarray(self.lists.max(axis=2).T)
+        self.common, self.common_weights = self.place[terms[own]], weights[own]
+        self.common_offsets = np.searchsorted(owners[own], np.arange(len(vectors) + 1))
+        # The share by which a sum of products in single precision may be off.
+        self.rough = (len(top) + 8) * 2.0 ** -24
         terms, weights, owners = terms[~own], weights[~own], owners[~own]
         order = np.lexsort((owners, terms))
-        self.owners, self.weights = owners[order].astype(np.int32), weights[order]
+        self.owners, self.weights = owners[order], weights[order]
         self.offsets = np.searchsorted(terms[order], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int,
                 without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
         """Numbers and cosines of the ``k`` vectors nearest to a unit vector, best first, fewer
         if fewer have a cosine above 0; and how many blocks were read for it."""
-        place = self.place[terms]
-        common = place >= 0
-        begin = self.offsets[terms[~common]]
-        sizes = self.offsets[terms[~common] + 1] - begin
-        at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-        products = np.take(self.weights, at)
-        products *= np.repeat(weights[~common], sizes)
-        sums = np.bincount(np.take(self.owners, at), products, self.blocks * self.block)
-        sums = sums.reshape(self.blocks, self.block)
-        place, weights = place[common].astype(np.int64), weights[common]
-        rough = weights.astype(np.float32)
-        bounds = sums.max(axis=1, initial=0) + weights @ self.bounds[place]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        numbers, cosines, read, wave = np.zeros(0, int), np.zeros(0), 0, FIRST
-        while read < len(order):
-            # The sums are rounded; bounds within 1e-12 of the k-th best are looked at.
-            least = cosines[-1] - 1e-12 if len(cosines) == k else 0.0
-            own = order[read:read + wave]
-            own = own[bounds[own] >= least]
-            if not len(own):
-                break
-            read, wave = read + len(own), 4 * wave
-            own = np.sort(own)
-            lists = np.take(self.rough, (place[:, None] * self.blocks + own).ravel(), axis=0)
-            at = (own[:, None] * self.block + np.arange(self.block)).ravel()
-            # In single precision first, then what may be among the best as it is.
-            found = sums[own].ravel() + rough @ lists.reshape(len(place), len(at))
-            found[at == without] = 0
-            if len(found) > k:
-                least = max(least, np.partition(found, -k)[-k] - ROUGH)
-            at = at[(found > 0) & (found >= least - ROUGH)]
-            found = sums.ravel()[at] + weights @ self.lists[
-                place[:, None] * self.blocks + at // self.block, at % self.block]
-            numbers, cosines = np.r_[numbers, at], np.r_[cosines, found]
-            if len(numbers) > k:
-                here = cosines >= np.partition(cosines, -k)[-k]
-                numbers, cosines = numbers[here], cosines[here]
-            best = np.lexsort((numbers, -cosines))[:k]
-            numbers, cosines = numbers[best], cosines[best]
-        return numbers, cosines, read
+        return next(self.nearest_each([(terms, weights, without)], k))
+
+    def nearest_each(self, queries: list[tuple[np.ndarray, np.ndarray, int]], k: int
+                     ) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """What ``nearest`` gives for each of the queries (terms, weights, without)."""
+        # Groups of about the same size.
+        groups = -(-len(queries) // QUERIES)
+        for group in range(groups):
+            yield from self._nearest(queries[len(queries) * group // groups:
+                                             len(queries) * (group + 1) // groups], k)
+
+    def _nearest(self, queries, k):
+        sums = np.empty((len(queries), self.blocks * self.block))
+        exact = np.zeros((len(queries), len(self.bounds)))
+        for row, (terms, weights, _) in enumerate(queries):
+            place = self.place[terms]
+            common = place >= 0
+            exact[row, place[common]] = weights[common]
+            sums[row] = self._short_lists(terms[~common], weights[~common])
+        rough = exact.astype(np.float32)
+        # Cosines where the common lists are read, what the short ones add elsewhere.
+        flat = sums.astype(np.float32)
+        found = flat.reshape(len(queries), self.blocks, self.block)
+        bounds = rough @ self.bounds
+        bounds += reduce(np.maximum, (found[:, :, i] for i in range(self.block)))
+        bounds *= 1 + 2 * self.rough
+        rows, without = np.arange(len(queries)), np.array([q[2] for q in queries])
+
+        def read(wanted):
+            # One product a block, with the queries that want it.
+            for block, own in enumerate(np.ascontiguousarray(wanted.T)):
+                if len(own := np.flatnonzero(own)):
+                    found[own, block] += rough[own] @ self.lists[block]
+            flat[rows[without >= 0], without[without >= 0]] = 0
+
+        # The most promising blocks first; they tell what the others have to reach.
+        promising = bounds > 0
+        first = min(self.blocks, -(-FIRST // self.block))
+        best = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        wanted = np.zeros_like(promising)
+        np.put_along_axis(wanted, best, True, axis=1)
+        read(wanted & promising)
+        near = np.take_along_axis(found, best[:, :, None], axis=1).reshape(len(queries), -1)
+        least = np.zeros(len(queries), np.float32)
+        if near.shape[1] >= k:
+            least = np.maximum(0, np.partition(near, -k, axis=1)[:, -k]) * np.float32(
+                1 - 4 * self.rough)
+        more = promising & ~wanted & (bounds >= least[:, None])
+        read(more)
+        blocks = ((wanted & promising) | more).sum(axis=1).tolist()
+        for row in range(len(queries)):
+            at = np.flatnonzero((flat[row] >= least[row]) & (flat[row] > 0))
+            if len(at) > k:
+                # What may be among the best is added up as it is.
+                near = flat[row, at]
+                at = at[near >= np.partition(near, -k)[-k] * (1 - 4 * self.rough)]
+            cosines = sums[row, at] + self._common_sums(exact[row], at)
+            order = np.lexsort((at, -cosines))[:k]
+            yield at[order], cosines[order], blocks[row]
+
+    def _short_lists(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the terms that are not common add to the cosines of a query."""
+        begin = self.offsets[terms]
+        sizes = self.offsets[terms + 1] - begin
+        at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
+        # All places are inside; clipping only spares a copy.
+        products = np.take(self.weights, at, mode="clip")
+        products *= np.repeat(weights, sizes)
+        return np.bincount(np.take(self.owners, at, mode="clip"), products,
+                           self.blocks * self.block)
+
+    def _common_sums(self, weights: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """What the common terms of a query add to its cosines with the vectors ``numbers``."""
+        begin, end = self.common_offsets[numbers], self.common_offsets[numbers + 1]
+        sums, some = np.zeros(len(numbers)), end > begin
+        if some.any():
+            own = [slice(*pair) for pair in zip(begin[some].tolist(), end[some].tolist())]
+            products = weights[np.concatenate([self.common[each] for each in own])]
+            products *= np.concatenate([self.common_weights[each] for each in own])
+            sizes = (end - begin)[some]
+            sums[some] = np.add.reduceat(products, np.cumsum(sizes) - sizes)
+        return sums
 
 
 @dataclass
@@ -311,7 +378,10 @@ class Model:
         """(row, numbers of terms, weights) of every row of a batch that has a word: the unit
         vector, less what no example has."""
         rows, words, counts = _terms(batch)
-        known, at = look_up(self.words, words)
+        # In order, so that neighbours in the table are looked up one after the other.
+        order = np.argsort(words)
+        known, at = np.empty(len(words), bool), np.empty(len(words), np.int64)
+        known[order], at[order] = look_up(self.words, words[order])
         weights = 1 + np.log(counts)
         weights *= np.where(known, self.idf[at], self.other) if len(self.idf) else self.other
         numbers = np.where(known, self.number[at], -1) if len(self.idf) else np.full(len(at), -1)
@@ -416,10 +486,11 @@ def _own_votes(rows: DataFrame, model: Model) -> np.ndarray:
         model = sent.value
         place = {int(doc): i for i, doc in enumerate(model.ids)}
         for batch in steps(batches):
-            found = []
-            for row, terms, weights in model.vectors(batch):
-                own = place[batch.column("doc_id")[row].as_py()]
-                numbers, cosines, _ = model.index.nearest(terms, weights, model.neighbours, own)
+            found, ids = [], batch.column("doc_id").to_pylist()
+            queries = [(terms, weights, place[ids[row]])
+                       for row, terms, weights in model.vectors(batch)]
+            for (_, _, own), (numbers, cosines, _) in zip(
+                    queries, model.index.nearest_each(queries, model.neighbours)):
                 if len(numbers):
                     found.append((int(model.ids[own]), model.vote(numbers, cosines),
                                   model.toxic[own]))
@@ -453,25 +524,26 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
         model = known.value
         for batch in steps(batches):
             scores = [model.rate] * batch.num_rows
-            evidence: list[list[dict]] = [[] for _ in scores]
+            evidence, held = [(np.zeros(0, int), np.zeros(0))], np.zeros(batch.num_rows + 1, np.int32)
             read, blocks = [0] * batch.num_rows, 0
             if model.index is not None and model.index.size:
                 blocks = model.index.blocks
-                for row, terms, weights in model.vectors(batch):
-                    numbers, cosines, read[row] = model.index.nearest(
-                        terms, weights, model.neighbours)
+                rows = list(model.vectors(batch))
+                found = model.index.nearest_each(
+                    [(terms, weights, -1) for _, terms, weights in rows], model.neighbours)
+                for (row, _, _), (numbers, cosines, read[row]) in zip(rows, found):
                     scores[row] = model.calibrated(
                         model.vote(numbers, cosines) if len(numbers) else None)
-                    evidence[row] = [
-                        {"doc_id": int(model.ids[n]), "similarity": float(c),
-                         "toxic": int(model.toxic[n])}
-                        for n, c in zip(numbers[:EVIDENCE], cosines[:EVIDENCE])]
+                    evidence.append((numbers[:EVIDENCE], cosines[:EVIDENCE]))
+                    held[row + 1] = len(evidence[-1][0])
+            best, similarity = (np.concatenate(c) for c in zip(*evidence))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64()),
                  pa.array([int(s >= threshold) for s in scores], pa.int32()),
-                 pa.array(evidence, pa.list_(pa.struct([
-                     ("doc_id", pa.int64()), ("similarity", pa.float64()),
-                     ("toxic", pa.int32())]))),
+                 pa.ListArray.from_arrays(np.cumsum(held, dtype=np.int32), pa.StructArray.from_arrays(
+                     [pa.array(model.ids[best]), pa.array(similarity),
+                      pa.array(model.toxic[best].astype(np.int32))],
+                     names=["doc_id", "similarity", "toxic"])),
                  pa.array(read, pa.int32()), pa.array([blocks] * batch.num_rows, pa.int32())],
                 names=["doc_id", "score", "predicted", "evidence", "blocks_read", "blocks"])
 

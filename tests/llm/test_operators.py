@@ -370,6 +370,37 @@ def test_nearest_examples_are_exact(common):
         assert len(found) == len(expected)
 
 
+def test_nearest_examples_of_many_texts_together(monkeypatch):
+    # Neighbours that single precision cannot tell apart, more queries than a group takes, queries
+    # without a common term, without any shared term, and left out of their own neighbours.
+    monkeypatch.setattr(toxicity, "FIRST", 16)
+    monkeypatch.setattr(toxicity, "QUERIES", 16)
+    rng = np.random.default_rng(5)
+    dense = np.zeros((203, 61))
+    dense[:, :60] = rng.random((203, 60)) * (rng.random((203, 60)) < rng.random(60) ** 2)
+    dense[100:140] = dense[7] + 1e-9 * rng.random((40, 1)) * dense[9]
+    dense[:, 0] += 0.01
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = toxicity.BlockMaxIndex(vectors, 61, block=4, common=20)
+    asked = [(*v, row if row % 2 else -1) for row, v in enumerate(vectors)]
+    asked += [(np.array([60]), np.ones(1), -1), (np.zeros(0, int), np.zeros(0), 3)]
+    together = list(index.nearest_each(asked, 9))
+    assert len(together) == len(asked)
+    assert [len(found) for found, _, _ in together[-2:]] == [0, 0]
+    for (terms, weights, without), (found, similar, read) in zip(asked[:-2], together):
+        cosines = dense[:, terms] @ weights
+        if without >= 0:
+            cosines[without] = 0
+        assert without not in found and 0 < read <= index.blocks
+        assert np.allclose(cosines[found], similar, rtol=0, atol=1e-14)
+        assert np.allclose(np.sort(cosines)[::-1][:9], similar, rtol=0, atol=1e-14)
+    assert sum(read for _, _, read in together) < 0.9 * index.blocks * len(together)
+    alone = [index.nearest(terms, weights, 9, without) for terms, weights, without in asked]
+    for one, other in zip(alone, together):
+        assert np.array_equal(one[0], other[0]) and np.allclose(one[1], other[1], 0, 1e-14)
+
+
 def test_toxicity_held_out(spark):
     rows = QUERIES["op3_toxicity_nearest"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
